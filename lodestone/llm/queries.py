@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import packing, topk
+from . import packing, topk, toxicity, warc
 
 QUERIES = {
+    "op3_warc": warc.op3_warc,
     "op5_topk": topk.op5_topk,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op10_packing": packing.op10_packing,
 }
 
 ORACLE = {
+    "op3_warc": warc.OP3_SQL,
     "op5_topk": topk.OP5_SQL,
 }
