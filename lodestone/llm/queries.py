@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import packing, topk, toxicity, warc
+from . import jaccard, packing, topk, toxicity, warc
 
 QUERIES = {
+    "op1_jaccard": jaccard.op1_jaccard,
     "op3_warc": warc.op3_warc,
     "op5_topk": topk.op5_topk,
     "op8_toxicity": toxicity.op8_toxicity,
@@ -12,6 +13,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_jaccard": jaccard.OP1_SQL,
     "op3_warc": warc.OP3_SQL,
     "op5_topk": topk.OP5_SQL,
 }
