@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import jaccard, packing, topk, toxicity, warc
+from . import jaccard, packing, substrings, topk, toxicity, warc
 
 QUERIES = {
     "op1_jaccard": jaccard.op1_jaccard,
+    "op2_substrings": substrings.op2_substrings,
     "op3_warc": warc.op3_warc,
     "op5_topk": topk.op5_topk,
     "op8_toxicity": toxicity.op8_toxicity,

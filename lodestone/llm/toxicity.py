@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, mix, powers, prefix_hash, prepare, spans, utf8
 
-TRAIN_DOCS = 3000
-TRAIN_CHARS = 20_000
+TRAIN_DOCS = 1500
+TRAIN_CHARS = 10_000
 THRESHOLD = 0.7
 BITS = 18
 PREFIXES = (4, 5, 6)
@@ -90,10 +90,10 @@ class Crf:
         return self.weights[w.features].sum(0, dtype=np.float64) + self.bias
 
 
-def forward_backward(score: np.ndarray, w: Words, crf: Crf) -> tuple[np.ndarray, np.ndarray]:
-    """Marginals of the toxic tag by word, and the expected number of each transition in all."""
+def forward_backward(score: np.ndarray, w: Words, crf: Crf, count: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+    """Marginals of the toxic tag by word and, with `count`, the expected number of each transition in all."""
     out = np.zeros(len(score))
-    pairs = np.zeros((2, 2))
+    pairs = np.zeros((2, 2)) if count else None
     if not len(score):
         return out, pairs
     heads = np.flatnonzero(w.at == 0)
@@ -105,7 +105,14 @@ def forward_backward(score: np.ndarray, w: Words, crf: Crf) -> tuple[np.ndarray,
         pick = np.flatnonzero((lengths >= low) & (lengths <= high))
         if not len(pick):
             continue
-        pick = pick[np.argsort(-lengths[pick], kind="stable")]
+        for part in np.split(pick[np.argsort(-lengths[pick], kind="stable")], range(4096, len(pick), 4096)):
+            _chains(part, lengths, heads, odds, t, f, out, pairs)
+    return out, pairs
+
+
+def _chains(pick, lengths, heads, odds, t, f, out, pairs) -> None:
+    """Some chains, from long to short, side by side; adds to out and pairs."""
+    if len(pick):
         n, head = lengths[pick], heads[pick]
         steps = int(n[0])
         live = [int(np.searchsorted(-n, -i, "left")) for i in range(steps + 1)]  # chains longer than i
@@ -128,6 +135,12 @@ def forward_backward(score: np.ndarray, w: Words, crf: Crf) -> tuple[np.ndarray,
             out[head[:m] + i] = p1
             if i:
                 x0, x1 = b0[:m], e[i, :m] * b1[:m]
+                if pairs is None:
+                    y0, y1 = t[0, 0] * x0 + t[0, 1] * x1, t[1, 0] * x0 + t[1, 1] * x1
+                    z = y0 + y1
+                    b0, b1 = b0.copy(), b1.copy()
+                    b0[:m], b1[:m] = y0 / z, y1 / z
+                    continue
                 j = [[a0[i - 1, :m] * t[0, 0] * x0, a0[i - 1, :m] * t[0, 1] * x1], [a1[i - 1, :m] * t[1, 0] * x0, a1[i - 1, :m] * t[1, 1] * x1]]
                 z = j[0][0] + j[0][1] + j[1][0] + j[1][1]
                 pairs += [[(j[r][c] / z).sum() for c in (0, 1)] for r in (0, 1)]
@@ -136,7 +149,6 @@ def forward_backward(score: np.ndarray, w: Words, crf: Crf) -> tuple[np.ndarray,
                 z = y0 + y1
                 b0, b1 = b0.copy(), b1.copy()
                 b0[:m], b1[:m] = y0 / z, y1 / z
-    return out, pairs
 
 
 def summaries(p: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
@@ -147,6 +159,16 @@ def summaries(p: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return np.stack([np.log1p(total), most], 1)
 
 
+def _all_words(texts: list[str]) -> Words:
+    data, offsets = utf8(pa.array(texts, pa.string()))
+    parts, chains = [], 0
+    for i, j in spans(offsets, CHUNK):
+        w = words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+        parts.append((w.start, w.end, w.doc + i, w.chain + chains, w.at, w.features))
+        chains += int(w.chain[-1]) + 1 if len(w.chain) else 0
+    return Words(*(np.concatenate(x, -1) for x in zip(*parts)))
+
+
 def _distinct(w: Words, n: int) -> np.ndarray:
     """Documents kept for fitting: of near copies, found by the smallest hashes of their word triples, the first."""
     f = w.features[0].astype(np.uint64)
@@ -167,12 +189,11 @@ def _distinct(w: Words, n: int) -> np.ndarray:
 def fit(texts: list[str], toxic: np.ndarray, prior: float, epochs: int = 30) -> tuple[Crf, np.ndarray]:
     """The CRF and the logistic weights of a document's summaries. prior: share of toxic rows among all training rows."""
     n, size = len(texts), 1 << BITS
-    data, offsets = utf8(pa.array(texts, pa.string()))
     crf = Crf(np.zeros(size + 1, np.float32), -4.0, np.log([[0.95, 0.05], [0.8, 0.2]]), np.log([0.95, 0.05]))
     if not n or toxic.all() or not toxic.any():
         base = np.log(max(prior, 1e-3) / max(1 - prior, 1e-3))
         return crf, np.array([base, 0.0, 0.0])
-    w = words(data, offsets)
+    w = _all_words(texts)
     keep = _distinct(w, n)
     fitted = keep & (np.arange(n) % 3 != 2)
     df = np.zeros((2, size))
@@ -195,7 +216,7 @@ def fit(texts: list[str], toxic: np.ndarray, prior: float, epochs: int = 30) ->
     grad2 = np.full(size + 1, 1e-6)
     bias2, trans2, first2 = 1e-6, np.full((2, 2), 1e-6), np.full(2, 1e-6)
     for _ in range(epochs):
-        p, pairs = forward_backward(crf.emission(some), some, crf)
+        p, pairs = forward_backward(crf.emission(some), some, crf, True)
         miss = y - p
         g = np.zeros(size + 1)
         for k in range(len(some.features)):
