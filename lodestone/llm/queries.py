@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import jaccard, packing, substrings, topk, toxicity, warc
+from . import jaccard, lines, packing, substrings, topk, toxicity, warc
 
 QUERIES = {
     "op1_jaccard": jaccard.op1_jaccard,
     "op2_substrings": substrings.op2_substrings,
     "op3_warc": warc.op3_warc,
+    "op4_lines": lines.op4_lines,
     "op5_topk": topk.op5_topk,
     "op8_toxicity": toxicity.op8_toxicity,
     "op10_packing": packing.op10_packing,
@@ -16,5 +17,6 @@ QUERIES = {
 ORACLE = {
     "op1_jaccard": jaccard.OP1_SQL,
     "op3_warc": warc.OP3_SQL,
+    "op4_lines": lines.OP4_SQL,
     "op5_topk": topk.OP5_SQL,
 }
