@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -220,10 +221,23 @@ def _by_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(ok)).select(["a", "b"])
 
 
+def _zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    z = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        data, offsets = utf8(batch.column("text"))
+        raw = data.data
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([z.compress(raw[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], pa.binary())], ["node", "z"])
+
+
+def _unzipped(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    z = zstandard.ZstdDecompressor()
+    return utf8(pa.array([z.decompress(x) for x in column.to_pylist()], pa.large_binary()))
+
+
 def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        da, oa = utf8(batch.column("ta"))
-        db, ob = utf8(batch.column("tb"))
+        da, oa = _unzipped(batch.column("ta"))
+        db, ob = _unzipped(batch.column("tb"))
         keep = np.zeros(len(oa) - 1, bool)
         for i, j in spans(oa + ob, CHUNK):
             ha, fa = shingles(da[oa[i] : oa[j]], oa[i : j + 1] - oa[i])
@@ -257,10 +271,10 @@ def _against_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Of pairs (a, b) of nodes, those that link: bit counts first, then whole texts."""
     one, two = (nodes.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("bitmap").alias(f"b{k}")) for k in "ab")
-    near = pairs.join(one, "a").join(two, "b").filter("100 * least(na, nb) >= 80 * greatest(na, nb)").mapInArrow(_by_bits, "a long, b long")
+    near = pairs.hint("merge").join(one, "a").hint("merge").join(two, "b").filter("100 * least(na, nb) >= 80 * greatest(na, nb)").mapInArrow(_by_bits, "a long, b long")
     near = settle(near, "near")
-    t = texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
-    return near.join(t[0], "a").join(t[1], "b").select("a", "b", "ta", "tb").mapInArrow(_exact, "a long, b long")
+    t = texts.select(F.col("node").alias("a"), F.col("z").alias("ta")), texts.select(F.col("node").alias("b"), F.col("z").alias("tb"))
+    return near.hint("merge").join(t[0], "a").hint("merge").join(t[1], "b").select("a", "b", "ta", "tb").mapInArrow(_exact, "a long, b long")
 
 
 def join(docs: DataFrame, tile_most: int = TILE_MOST) -> DataFrame:
@@ -300,7 +314,9 @@ def join(docs: DataFrame, tile_most: int = TILE_MOST) -> DataFrame:
     star = hot.join(pivots, "shingle").filter("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
     first = settle(first.unionByName(star).distinct(), "first")
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(hot.select("node")).distinct()
-    texts = settle(docs.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.first("text").alias("text")).withColumnRenamed("doc_id", "node"), "texts")
+    # texts travel compressed; what grows with the corpus is merged at every size, never broadcast
+    zipped = docs.filter("doc_id is not null").mapInArrow(_zipped, "node long, z binary")
+    texts = settle(zipped.join(wanted.hint("merge"), "node", "left_semi").dropDuplicates(["node"]), "texts")
     links = settle(_links(first, nodes, texts), "links")
     known = components(links)
 
