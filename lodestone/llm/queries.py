@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard, lines, mixing, packing, substrings, topk, toxicity, warc
+from . import jaccard, lines, mixing, packing, spotsigs, substrings, topk, toxicity, warc
 
 QUERIES = {
     "op1_jaccard": jaccard.op1_jaccard,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_topk": topk.op5_topk,
     "op7_mixing": mixing.op7_mixing,
     "op8_toxicity": toxicity.op8_toxicity,
+    "op9_spotsigs": spotsigs.op9_spotsigs,
     "op10_packing": packing.op10_packing,
 }
 
