@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard, lines, mixing, packing, spotsigs, substrings, topk, toxicity, warc
+from . import jaccard, lines, mixing, packing, spotsigs, substrings, tokencounts, topk, toxicity, warc
 
 QUERIES = {
     "op1_jaccard": jaccard.op1_jaccard,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_warc": warc.op3_warc,
     "op4_lines": lines.op4_lines,
     "op5_topk": topk.op5_topk,
+    "op6_token_counts": tokencounts.op6_token_counts,
     "op7_mixing": mixing.op7_mixing,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_spotsigs": spotsigs.op9_spotsigs,
