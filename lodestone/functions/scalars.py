@@ -13,6 +13,7 @@ from urllib.parse import parse_qsl, quote, unquote, urlencode, urlsplit, urlunsp
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def ratio(num, den, digits: int | None = None, default: float | None = None) -> Column:
@@ -28,30 +29,30 @@ def tokenize(col) -> Column:
     return F.regexp_extract_all(F.lower(col), F.lit("(?U)([\\w']+)"), F.lit(1))
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def fold_tokens(text: pd.Series) -> pd.Series:
     """Tokens after NFKC and case folding, which Spark has no function for."""
     word = re.compile(r"[\w']+")
     return text.map(lambda t: word.findall(unicodedata.normalize("NFKC", t).casefold()) if t is not None else None)
 
 
-@F.pandas_udf("array<struct<token:string,start:int,end:int>>")
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("token", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))
 def tokens_with_spans(text: pd.Series) -> pd.Series:
     word = re.compile(r"[\w']+")
     return text.map(lambda t: [{"token": m.group().lower(), "start": m.start(), "end": m.end()} for m in word.finditer(t)] if t is not None else None)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: unicodedata.normalize("NFKC", t) if t is not None else None)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def casefold(text: pd.Series) -> pd.Series:
     return text.map(lambda t: t.casefold() if t is not None else None)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape_html(text: pd.Series) -> pd.Series:
     return text.map(lambda t: html.unescape(t) if t is not None else None)
 
@@ -74,7 +75,7 @@ def chunk_uuid(doc_id, offset, text) -> Column:
     return F.concat(F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-5"), F.substring(h, 14, 3), F.lit("-"), variant, F.substring(h, 18, 3), F.lit("-"), F.substring(h, 21, 12))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def legacy_chunk_uuid(doc_id: pd.Series, source: pd.Series, text: pd.Series) -> pd.Series:
     """uuid5 over document, source and the first 16 digits of the text's SHA-256."""
     space = uuid.NAMESPACE_URL
@@ -119,7 +120,7 @@ def canonical(url: str | None, role: str = "index") -> str | None:
 
 
 def canonical_url(role: str = "index"):
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def f(url: pd.Series) -> pd.Series:
         return url.map(lambda u: canonical(u, role))
 

@@ -31,7 +31,7 @@ def run_indicators(http: DataFrame, attempts: DataFrame) -> DataFrame:
 def first_success(attempts: DataFrame) -> DataFrame:
     """Seconds from a work's first attempt to its first success."""
     g = attempts.groupBy("run_id", "work_id").agg(F.min("ts").alias("t0"), F.min(F.when(F.col("outcome") == "success", F.col("ts"))).alias("t1"))
-    return g.where("t1 is not null").select("run_id", "work_id", (F.col("t1").cast("double") - F.col("t0").cast("double")).alias("ttfp_s"))
+    return g.where("t1 is not null").select("run_id", "work_id", (F.col("t1").cast("timestamp").cast("double") - F.col("t0").cast("timestamp").cast("double")).alias("ttfp_s"))
 
 
 def limited_by_host(http: DataFrame) -> DataFrame:
@@ -48,7 +48,7 @@ def open_durations(transitions: DataFrame) -> DataFrame:
     w = Window.partitionBy("host").orderBy("ts", "event_id")
     t = transitions.withColumn("next_ts", F.lead("ts").over(w)).withColumn("next_state", F.lead("new_state").over(w))
     t = t.where("new_state = 'OPEN' and next_state <> 'OPEN'")
-    return t.select("host", "ts", (F.col("next_ts").cast("double") - F.col("ts").cast("double")).alias("open_s"))
+    return t.select("host", "ts", (F.col("next_ts").cast("timestamp").cast("double") - F.col("ts").cast("timestamp").cast("double")).alias("open_s"))
 
 
 def advisor_metrics(http: DataFrame, now, seconds: int = 600) -> DataFrame:
@@ -69,14 +69,14 @@ def completion(jobs: DataFrame) -> DataFrame:
 
 def time_to_complete(jobs: DataFrame, keys: list[str]) -> DataFrame:
     """Percentiles (by index) of seconds from creation to completion."""
-    done = jobs.where(F.col("state").isin(*DONE)).withColumn("s", F.col("updated_at").cast("double") - F.col("created_at").cast("double"))
+    done = jobs.where(F.col("state").isin(*DONE)).withColumn("s", F.col("updated_at").cast("timestamp").cast("double") - F.col("created_at").cast("timestamp").cast("double"))
     return by_index(done, keys, "s", {"p50_s": 0.5, "p95_s": 0.95, "p99_s": 0.99}, clamp=True)
 
 
 def lease_latency(jobs: DataFrame, ops: DataFrame) -> DataFrame:
     """Seconds from creation to the first operation, for all jobs."""
     first = ops.groupBy("job_id").agg(F.min("started_at").alias("t"))
-    return jobs.join(first, "job_id", "left").select("job_id", (F.col("t").cast("double") - F.col("created_at").cast("double")).alias("lease_s"))
+    return jobs.join(first, "job_id", "left").select("job_id", (F.col("t").cast("timestamp").cast("double") - F.col("created_at").cast("timestamp").cast("double")).alias("lease_s"))
 
 
 def replay_rate(ops: DataFrame) -> DataFrame:
@@ -178,5 +178,5 @@ def queue_stats(jobs: DataFrame) -> DataFrame:
 
 def bandwidth(downloads: DataFrame, seconds: int = 60) -> DataFrame:
     """Bytes over the last `seconds` before each download, by host."""
-    w = Window.partitionBy("host").orderBy(F.col("ts").cast("long")).rangeBetween(-seconds, 0)
+    w = Window.partitionBy("host").orderBy(F.col("ts").cast("timestamp").cast("long")).rangeBetween(-seconds, 0)
     return downloads.withColumn("recent_bytes", F.sum("bytes").over(w))

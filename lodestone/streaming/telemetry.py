@@ -73,6 +73,11 @@ def breaker_steps(rows: list[tuple[float, bool]], state: tuple, threshold: int,
     return out, (name, fails, opened)
 
 
+def _transitions(host: str, out: list[tuple[float, str, str]]) -> pd.DataFrame:
+    text = lambda x: pd.Series(x, dtype=object)
+    return pd.DataFrame({"host": text([host] * len(out)), "ts": pd.Series([float(t) for t, _, _ in out], dtype=float), "old_state": text([a for _, a, _ in out]), "new_state": text([b for _, _, b in out])})
+
+
 def breaker(calls: DataFrame, threshold: int = 5, window: float = 30.0, cooldown: float = 60.0) -> DataFrame:
     """Transitions (host, ts, old_state, new_state) of a stream of calls (host, ts, failed), with state by host."""
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -83,7 +88,7 @@ def breaker(calls: DataFrame, threshold: int = 5, window: float = 30.0, cooldown
         rows = list(zip(pdf["ts"].astype("int64") / 1e9 if pdf["ts"].dtype.kind != "M" else pdf["ts"].map(pd.Timestamp.timestamp), pdf["failed"]))
         out, (name, fails, opened) = breaker_steps(rows, (name, fails, opened), threshold, window, cooldown)
         state.update((name, list(fails), float(opened)))
-        yield pd.DataFrame({"host": [key[0]] * len(out), "ts": [float(t) for t, _, _ in out], "old_state": [a for _, a, _ in out], "new_state": [b for _, _, b in out]})
+        yield _transitions(key[0], out)
 
     return calls.groupBy("host").applyInPandasWithState(run, "host string, ts double, old_state string, new_state string", "name string, fails array<double>, opened double", "append", GroupStateTimeout.NoTimeout)
 
@@ -94,6 +99,6 @@ def breaker_batch(calls: DataFrame, threshold: int = 5, window: float = 30.0, co
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["ts", "event_id"], kind="stable")
         out, _ = breaker_steps(list(zip(pdf["ts"].map(pd.Timestamp.timestamp), pdf["failed"])), ("CLOSED", [], 0.0), threshold, window, cooldown)
-        return pd.DataFrame({"host": [pdf["host"].iloc[0]] * len(out), "ts": [float(t) for t, _, _ in out], "old_state": [a for _, a, _ in out], "new_state": [b for _, _, b in out]})
+        return _transitions(pdf["host"].iloc[0], out)
 
     return calls.groupBy("host").applyInPandas(run, "host string, ts double, old_state string, new_state string")
