@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import prepare, settle
 
 CHAIN = 2
 FEW = 6
@@ -134,15 +134,18 @@ def near_pairs(docs: DataFrame, least: float = LIKE) -> DataFrame:
     prepare(docs.sparkSession)
     sigs = F.udf(lambda t: sorted(signatures(t or "")), "array<long>")
     sets = docs.select(F.col("doc_id").cast("long").alias("doc_id"), sigs("text").alias("s")).filter((F.size("s") > 0) & F.col("doc_id").isNotNull())
-    sets = sets.groupBy("s").agg(F.min("doc_id").alias("id")).withColumn("n", F.size("s"))
+    sets = settle(sets.groupBy("s").agg(F.min("doc_id").alias("id")).withColumn("n", F.size("s")), "sigs")
     head = F.slice("s", F.lit(1), F.col("n") - F.ceil(F.col("n") * least).cast("int") + 1)
-    rows = sets.withColumn("g", F.explode(head)).withColumn("band", F.floor(F.log("n") / F.lit(-np.log(least))))
-    up = rows.select("g", F.explode(F.array("band", F.col("band") + 1)).alias("band"), F.col("id").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"), F.col("band").alias("ba"))
-    pairs = up.join(rows.select("g", "band", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb")), ["g", "band"])
+    rows = sets.select(F.explode(head).alias("g"), "id", "n").withColumn("band", F.floor(F.log("n") / F.lit(-np.log(least))))
+    up = rows.select("g", F.explode(F.array("band", F.col("band") + 1)).alias("band"), F.col("id").alias("a"), F.col("n").alias("na"), F.col("band").alias("ba"))
+    pairs = up.join(rows.select("g", "band", F.col("id").alias("b"), F.col("n").alias("nb")), ["g", "band"])
     pairs = pairs.filter("a <> b and (ba < band or a < b)").filter(F.least("na", "nb") >= least * F.greatest("na", "nb"))
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    # sets travel with the pairs alone, not with every row of a class
+    one, two = (sets.select(F.col("id").alias(k), F.col("s").alias(f"s{k}")) for k in "ab")
     both = F.size(F.array_intersect("sa", "sb"))
-    found = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (both / (F.col("na") + F.col("nb") - both)).alias("likeness"))
-    return found.filter(F.col("likeness") >= least).distinct()
+    found = pairs.join(one, "a").join(two, "b").select("a", "b", (both / (F.size("sa") + F.size("sb") - both)).alias("likeness"))
+    return found.filter(F.col("likeness") >= least)
 
 
 def op9_spotsigs(spark, sf_dir: str) -> DataFrame:
