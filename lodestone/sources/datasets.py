@@ -6,10 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CHUNKS = T.StructType.fromDDL("doc_id string not null, chunk_id bigint not null, text string not null, tokens int not null, span struct<start:int,end:int>, created_at timestamp, schema_version string, section string, meta map<string,string>")
-DENSE = T.StructType.fromDDL("uuid string not null, vec array<float>, dim int, created_at timestamp")
-SPARSE = T.StructType.fromDDL("uuid string not null, indices array<int>, weights array<float>, created_at timestamp")
-LEXICAL = T.StructType.fromDDL("uuid string not null, terms array<string>, weights array<float>, created_at timestamp")
+_S, _I, _L, _TS = T.StringType(), T.IntegerType(), T.LongType(), T.TimestampType()
+_FLOATS = T.ArrayType(T.FloatType())
+CHUNKS = (
+    T.StructType().add("doc_id", _S, False).add("chunk_id", _L, False).add("text", _S, False).add("tokens", _I, False).add("span", T.StructType().add("start", _I).add("end", _I))
+    .add("created_at", _TS).add("schema_version", _S).add("section", _S).add("meta", T.MapType(_S, _S))
+)
+DENSE = T.StructType().add("uuid", _S, False).add("vec", _FLOATS).add("dim", _I).add("created_at", _TS)
+SPARSE = T.StructType().add("uuid", _S, False).add("indices", T.ArrayType(_I)).add("weights", _FLOATS).add("created_at", _TS)
+LEXICAL = T.StructType().add("uuid", _S, False).add("terms", T.ArrayType(_S)).add("weights", _FLOATS).add("created_at", _TS)
 FAMILIES = {"dense": DENSE, "sparse": SPARSE, "lexical": LEXICAL}
 
 
