@@ -10,7 +10,7 @@ from lodestone.streaming import telemetry as streams
 def test_dataset_round_trip(spark, tmp_path):
     root = str(tmp_path / "Chunks")
     rows = spark.range(1025).select(F.concat(F.lit("doc-"), F.floor(F.col("id") / 10).cast("string")).alias("doc_id"), F.col("id").alias("chunk_id"), F.concat(F.lit("chunk text "), F.col("id").cast("string")).alias("text"), F.col("id").cast("int").alias("tokens"))
-    rows = rows.withColumn("span", F.struct(F.lit(0).alias("start"), F.length("text").alias("end"))).withColumn("created_at", F.timestamp_seconds(F.lit(1704067200) + F.col("chunk_id") * 86400 % 5000000)).withColumn("schema_version", F.lit("docparse/chunks/1.0.0")).withColumn("section", F.lit(None).cast("string")).withColumn("meta", F.lit(None).cast("map<string,string>"))
+    rows = rows.withColumn("span", F.struct(F.lit(0).alias("start"), F.length("text").alias("end"))).withColumn("created_at", F.timestamp_seconds(F.lit(1704067200) + F.col("chunk_id") * 86400 % 5000000)).withColumn("schema_version", F.lit("chunks/1.0.0")).withColumn("section", F.lit(None).cast("string")).withColumn("meta", F.lit(None).cast("map<string,string>"))
     datasets.write_dataset(rows, root, datasets.CHUNKS, fmt="parquet")
     back = datasets.open_chunks(spark, root, ["doc_id", "tokens"], "mm = '01'")
     assert 0 < back.count() < 1025 and back.columns == ["doc_id", "tokens"]
