@@ -192,3 +192,18 @@ def growth(versions: DataFrame, files: DataFrame) -> DataFrame:
     f = files.groupBy("version_id").agg(F.sum("size_bytes").alias("bytes"))
     v = versions.join(f, "version_id", "left").select("service", "version_id", "created_at", F.coalesce("bytes", F.lit(0)).alias("bytes"))
     return v.withColumn("change", F.col("bytes") - F.lag("bytes").over(Window.partitionBy("service").orderBy("created_at", "version_id")))
+
+
+def since(plans: DataFrame, cutoff, column: str = "last_modified") -> DataFrame:
+    """Plans changed at or after the cutoff; those of unknown age stay."""
+    return plans.where(F.col(column).isNull() | (F.col(column) >= F.lit(cutoff).cast("timestamp")))
+
+
+def version_listing(rows: DataFrame) -> DataFrame:
+    """Versions by the first time known of downloaded_at, last_modified, mtime, newest first."""
+    return rows.withColumn("at", F.coalesce("downloaded_at", "last_modified", "mtime")).orderBy(F.desc_nulls_last("at"), "version_id")
+
+
+def canonical_triples(triples: DataFrame) -> DataFrame:
+    """Distinct (s, p, o) in order; the sort spills. Blank nodes are to be named beforehand."""
+    return triples.select("s", "p", "o").distinct().orderBy("s", "p", "o")

@@ -300,3 +300,74 @@ def hit_rate(found: DataFrame, k: int, key: str, target: str) -> DataFrame:
     own = found.where(F.col(key) == F.col(target)).groupBy("query_id").agg(F.min("rank").alias("r"))
     every = found.select("query_id").distinct().join(own, "query_id", "left")
     return every.agg(F.avg((F.coalesce("r", F.lit(1 << 30)) <= k).cast("double")).alias("hit_rate"), F.avg("r").alias("mean_rank"))
+
+
+def hash_embedding(dim: int = 2560):
+    """A deterministic encoder: the bytes of each token's SHA-256 over 255, tiled to `dim`, summed, L2-normalised; no tokens give zeros."""
+
+    @F.pandas_udf("array<float>")
+    def encode(tokens: pd.Series) -> pd.Series:
+        known: dict[str, np.ndarray] = {}
+
+        def one(words) -> list[float]:
+            v = np.zeros(32)
+            for w in words if words is not None else ():
+                if w not in known:
+                    known[w] = np.frombuffer(hashlib.sha256(w.encode()).digest(), np.uint8) / 255.0
+                v += known[w]
+            full = np.resize(v, dim)
+            n = np.linalg.norm(full)
+            return (full / n if n else full).astype(np.float32).tolist()
+
+        return tokens.map(one)
+
+    return encode
+
+
+def partition_vectors(vectors: DataFrame, cells: int = 16, seed: int = 0, key: str = "vec_id", vec: str = "embedding", sample: int = 50_000):
+    """An inverted file: centroids from a bounded sample of `sample` rows by Lloyd's steps, and every row with its cell. Gives (centroids, rows)."""
+    rows = vectors.where(F.col(vec).isNotNull())
+    some = rows.orderBy(F.xxhash64(F.lit(seed), key)).limit(sample).select(normalize(vec).alias("v")).collect()
+    x = np.array([r["v"] for r in some])
+    c = x[np.random.default_rng(seed).permutation(len(x))[:cells]].copy()
+    for _ in range(10):
+        near = (x @ c.T).argmax(1)
+        for k in range(len(c)):
+            if (near == k).any():
+                c[k] = x[near == k].mean(0)
+        c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
+    b = vectors.sparkSession.sparkContext.broadcast(c)
+
+    @F.pandas_udf("int")
+    def cell(v: pd.Series) -> pd.Series:
+        return pd.Series((np.vstack(v.to_numpy()) @ b.value.T).argmax(1))
+
+    return c, rows.withColumn("cell", cell(F.col(vec)))
+
+
+def probe_search(queries: DataFrame, centroids: np.ndarray, rows: DataFrame, k: int = CHANNEL_K, probes: int = 4, key: str = "vec_id", vec: str = "embedding") -> DataFrame:
+    """Approximate cosine top-k: each query reads its `probes` nearest cells, a join on the cell."""
+    b = queries.sparkSession.sparkContext.broadcast(centroids)
+
+    @F.pandas_udf("array<int>")
+    def near(v: pd.Series) -> pd.Series:
+        return pd.Series(list(np.argsort(-(np.vstack(v.to_numpy()) @ b.value.T), axis=1)[:, :probes].astype(np.int32)))
+
+    q = queries.select("query_id", normalize("vector").alias("__q"), F.explode(near(F.col("vector"))).alias("cell"))
+    hits = q.join(rows.select(F.col(key), normalize(vec).alias("__v"), "cell"), "cell").select("query_id", key, dot("__q", "__v").alias("score"))
+    return top_k(hits, k, key)
+
+
+def reservoir(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:
+    """n rows at random, the same for the same seed."""
+    return df.orderBy(F.xxhash64(F.lit(seed), key), key).limit(n)
+
+
+def namespace_stats(chunks: DataFrame, namespace: str) -> DataFrame:
+    """Chunks and documents by namespace, and over all (null)."""
+    return chunks.rollup(namespace).agg(F.count(F.lit(1)).alias("chunks"), F.count_distinct("doc_id").alias("documents"))
+
+
+def should_rebuild(live: int, deleted: int, share: float = 0.2) -> bool:
+    """An index is rebuilt when its dead rows pass a share of all."""
+    return live + deleted > 0 and deleted / (live + deleted) >= share

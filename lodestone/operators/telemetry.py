@@ -180,3 +180,19 @@ def bandwidth(downloads: DataFrame, seconds: int = 60) -> DataFrame:
     """Bytes over the last `seconds` before each download, by host."""
     w = Window.partitionBy("host").orderBy(F.col("ts").cast("timestamp").cast("long")).rangeBetween(-seconds, 0)
     return downloads.withColumn("recent_bytes", F.sum("bytes").over(w))
+
+
+def limit_streaks(http: DataFrame) -> DataFrame:
+    """By host: the longest run of 429 answers in order of time, and the mean Retry-After within it."""
+    w = Window.partitionBy("host").orderBy("ts", "event_id")
+    r = http.withColumn("__ok", F.sum((F.col("status") != 429).cast("int")).over(w)).where("status = 429")
+    runs = r.groupBy("host", "__ok").agg(F.count(F.lit(1)).alias("streak"), F.avg("retry_after_s").alias("retry_after_s"))
+    return runs.groupBy("host").agg(F.max("streak").alias("longest_streak"), F.round(F.max_by("retry_after_s", F.struct("streak", F.col("retry_after_s"))), 4).alias("retry_after_s"))
+
+
+def metric_summary(rows: DataFrame, metric: str, value: str, since=None, ts: str = "ts") -> DataFrame:
+    """By metric within a window of time: count, extremes, mean, percentiles by index."""
+    rows = rows if since is None else rows.where(F.col(ts) >= F.lit(since).cast("timestamp"))
+    p = by_index(rows, [metric], value, {"p50": 0.5, "p95": 0.95, "p99": 0.99}, clamp=True)
+    g = rows.groupBy(metric).agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("min"), F.max(value).alias("max"), F.round(F.avg(value), 6).alias("avg"))
+    return g.join(p, metric)

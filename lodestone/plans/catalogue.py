@@ -693,6 +693,45 @@ def hourly_indicators(s, d):
     return g.select("host", F.col("window.start").alias("start"), "calls", "cached")
 
 
+@query("SELECT host, CAST(max(n) AS BIGINT) AS longest_streak FROM (SELECT host, k, count(*) AS n FROM (SELECT host, status, sum(CASE WHEN status <> 429 THEN 1 ELSE 0 END) OVER (PARTITION BY host ORDER BY ts, event_id) AS k FROM @http) WHERE status = 429 GROUP BY host, k) GROUP BY host")
+def limit_streaks(s, d):
+    return telemetry.limit_streaks(view(s, d, "http")).select("host", "longest_streak")
+
+
+@query("""WITH h AS (SELECT * FROM @http WHERE ts >= TIMESTAMP '2024-01-15') SELECT host, count(*) AS n, min(elapsed_ms) AS min, max(elapsed_ms) AS max, round(avg(elapsed_ms), 6) AS avg,
+  list_sort(list(elapsed_ms))[CAST(floor(count(*) * 0.5) AS BIGINT) + 1] AS p50, list_sort(list(elapsed_ms))[CAST(floor(count(*) * 0.95) AS BIGINT) + 1] AS p95, list_sort(list(elapsed_ms))[CAST(floor(count(*) * 0.99) AS BIGINT) + 1] AS p99 FROM h GROUP BY host""")
+def metric_summary(s, d):
+    return telemetry.metric_summary(view(s, d, "http"), "host", "elapsed_ms", "2024-01-15")
+
+
+@query("SELECT job_id, created_at FROM @jobs WHERE available_at IS NULL OR available_at >= TIMESTAMP '1998-01-01'")
+def plans_since(s, d):
+    return catalog.since(view(s, d, "jobs"), "1998-01-01", "available_at").select("job_id", "created_at")
+
+
+@query("SELECT source, count(*) AS chunks, count(DISTINCT doc_id) AS documents FROM documents GROUP BY source UNION ALL SELECT NULL, count(*), count(DISTINCT doc_id) FROM documents")
+def namespace_stats(s, d):
+    return retrieval.namespace_stats(view(s, d, "documents"), "source")
+
+
+@query("SELECT DISTINCT source AS s, lang AS p, CAST(n_chars % 7 AS STRING) AS o FROM documents")
+def canonical_triples(s, d):
+    return catalog.canonical_triples(view(s, d, "documents").select(F.col("source").alias("s"), F.col("lang").alias("p"), (F.col("n_chars") % 7).cast("string").alias("o")))
+
+
+@query()
+def probe_search(s, d):
+    v = view(s, d, "embeddings")
+    c, rows = retrieval.partition_vectors(v)
+    asked = v.where("vec_id % 25 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    return retrieval.probe_search(asked, c, rows, 10, 8)
+
+
+@query()
+def hash_embeddings(s, d):
+    return view(s, d, "documents").select("doc_id", retrieval.hash_embedding(64)(ascii_tokens()).alias("vec"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hybrid retrieval of the benchmark's items over the documents."""
     items = view(spark, sf_dir, "benchmark").withColumnRenamed("item_id", "query_id")

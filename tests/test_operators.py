@@ -134,3 +134,21 @@ def test_profiler_names_costly_nodes(spark):
     report = profiler.profile(a.join(a.select("k").distinct(), "k").groupBy("k").count())
     assert report["exchanges"] >= 1 and isinstance(report["advice"], list)
     assert any("cross" in x for x in profiler.profile(a.crossJoin(a.select(F.col("id").alias("j"))))["advice"])
+
+
+def test_probes_find_most_neighbours(spark):
+    g = np.random.default_rng(5)
+    m = (g.normal(size=(8, 16))[g.integers(0, 8, 600)] + 0.3 * g.normal(size=(600, 16))).astype(np.float32)
+    v = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(m)], "vec_id long, embedding array<float>")
+    q = v.where("vec_id % 50 = 0").selectExpr("vec_id as query_id", "embedding as vector")
+    c, rows = retrieval.partition_vectors(v, 8)
+    assert rows.count() == 600
+    got = retrieval.recall_at(retrieval.probe_search(q, c, rows, 10, 4), retrieval.dense_search(q, v, 10), 10)
+    assert got.agg(F.avg("recall")).first()[0] >= 0.9
+    assert retrieval.should_rebuild(8, 2) and not retrieval.should_rebuild(0, 0)
+    assert retrieval.reservoir(v, 7, "vec_id").count() == 7
+
+
+def test_hash_embedding_is_a_unit_vector(spark):
+    r = spark.createDataFrame([(["a", "b"],), ([],), (None,)], "t array<string>").select(retrieval.hash_embedding(48)("t").alias("v")).collect()
+    assert abs(sum(x * x for x in r[0].v) - 1) < 1e-5 and len(r[0].v) == 48 and not any(r[1].v) and not any(r[2].v)
