@@ -113,20 +113,47 @@ def _matmul(block, top: int | None, floor: float | None):
     return run
 
 
-def dense_search(queries: DataFrame, vectors: DataFrame, k: int | None = CHANNEL_K, floor: float | None = None, key: str = "vec_id", vec: str = "embedding", most_queries: int = 4096) -> DataFrame:
-    """Cosine top-k (or range, with `floor`) of a request's queries (query_id, vector) over all vectors, as block products in Arrow batches.
+def _block_pairs(top: int | None, floor: float | None):
+    """Pairs of a query block and a corpus block: the best of each pair, or all over the floor."""
 
-    The query block is the request itself: its number of rows is checked against `most_queries`, then it is broadcast.
+    def run(batches):
+        for pdf in batches:
+            for r in pdf.itertuples():
+                ids, q = np.array([x["id"] for x in r.q]), np.vstack([x["v"] for x in r.q])
+                keys, v = np.array([x["id"] for x in r.c]), np.vstack([x["v"] for x in r.c])
+                s = q @ v.T
+                for i, qid in enumerate(ids):
+                    at = np.arange(len(keys)) if floor is None else np.flatnonzero(s[i] >= floor)
+                    if top is not None and len(at) > top:
+                        at = at[np.lexsort((keys[at], -s[i][at]))[:top]]
+                    if len(at):
+                        yield pd.DataFrame({"query_id": np.full(len(at), qid), "key": keys[at], "score": s[i][at]})
+
+    return run
+
+
+def dense_search(queries: DataFrame, vectors: DataFrame, k: int | None = CHANNEL_K, floor: float | None = None, key: str = "vec_id", vec: str = "embedding", most_queries: int = 4096, block: int = 2048) -> DataFrame:
+    """Cosine top-k (or range, with `floor`) of queries (query_id, vector) over all vectors, as block products in Arrow batches.
+
+    Up to `most_queries` queries are one block that is broadcast: their number is checked first. Beyond it, blocks of
+    queries meet blocks of the corpus by a join on the corpus block.
     """
     rows = queries.select("query_id", "vector").limit(most_queries + 1).collect()
-    if len(rows) > most_queries:
-        raise ValueError(f"over {most_queries} queries in one request")
-    q = np.array([r["vector"] for r in rows], np.float64) if rows else np.zeros((0, 1))
-    q /= np.where((n := np.linalg.norm(q, axis=1, keepdims=True)) > 0, n, 1)
-    block = vectors.sparkSession.sparkContext.broadcast((np.array([r["query_id"] for r in rows], np.int64), q))
     corpus = vectors.select(F.col(key).cast("long").alias("key"), F.col(vec).alias("vec")).where(F.col("vec").isNotNull())
-    hits = corpus.mapInPandas(_matmul(block, k, floor), "query_id long, key long, score double").withColumnRenamed("key", key)
-    return top_k(hits, k if k is not None else (1 << 31) - 2, key)
+    kinds = "query_id long, key long, score double"
+    if len(rows) <= most_queries:
+        q = np.array([r["vector"] for r in rows], np.float64) if rows else np.zeros((0, 1))
+        q /= np.where((n := np.linalg.norm(q, axis=1, keepdims=True)) > 0, n, 1)
+        sent = vectors.sparkSession.sparkContext.broadcast((np.array([r["query_id"] for r in rows], np.int64), q))
+        hits = corpus.mapInPandas(_matmul(sent, k, floor), kinds)
+    else:
+        nq, nc = -(-queries.count() // block), max(1, -(-corpus.count() // block))
+        member = lambda i, v: F.collect_list(F.struct(F.col(i).alias("id"), normalize(v).alias("v")))
+        qs = queries.groupBy(F.pmod(F.xxhash64("query_id"), F.lit(nq)).alias("qb")).agg(member("query_id", "vector").alias("q"))
+        cs = corpus.groupBy(F.pmod(F.xxhash64("key"), F.lit(nc)).alias("cb")).agg(member("key", "vec").alias("c"))
+        met = qs.withColumn("cb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nc - 1).cast("long")))).join(cs, "cb")
+        hits = met.select("q", "c").mapInPandas(_block_pairs(k, floor), kinds)
+    return top_k(hits.withColumnRenamed("key", key), k if k is not None else (1 << 31) - 2, key)
 
 
 def rrf(channels: list[tuple[DataFrame, float]], k0: float = K0, key: str = "doc_id") -> DataFrame:

@@ -530,25 +530,25 @@ _DOT = "list_sum(list_transform(range(1, len(q.embedding) + 1), lambda i: q.embe
 _NORM = "sqrt(list_sum(list_transform({0}.embedding, lambda x: x::DOUBLE * x::DOUBLE)))"
 
 
-@query(f"""WITH s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, round({_DOT} / ({_NORM.format("q")} * {_NORM.format("c")}), 9) AS score FROM embeddings q, embeddings c WHERE q.vec_id % 25 = 0)
+@query(f"""WITH s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, round({_DOT} / ({_NORM.format("q")} * {_NORM.format("c")}), 9) AS score FROM embeddings q, embeddings c WHERE q.vec_id % 100 = 0)
   SELECT query_id, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s) WHERE r <= 10""")
 def dense_search(s, d):
     v = view(s, d, "embeddings")
-    asked = v.where("vec_id % 25 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    asked = v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
     return retrieval.dense_search(asked, v, 10).select("query_id", F.round("score", 6).alias("score"))
 
 
-@query(f"SELECT q.vec_id AS query_id, count(*) AS n FROM embeddings q, embeddings c WHERE q.vec_id % 25 = 0 AND {_DOT} / ({_NORM.format('q')} * {_NORM.format('c')}) >= 0.5 GROUP BY 1")
+@query(f"SELECT q.vec_id AS query_id, count(*) AS n FROM embeddings q, embeddings c WHERE q.vec_id % 100 = 0 AND {_DOT} / ({_NORM.format('q')} * {_NORM.format('c')}) >= 0.5 GROUP BY 1")
 def range_search(s, d):
     v = view(s, d, "embeddings")
-    asked = v.where("vec_id % 25 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    asked = v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
     return retrieval.dense_search(asked, v, None, 0.5).groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query()
 def mmr_rerank(s, d):
     v = view(s, d, "embeddings")
-    asked = v.where("vec_id % 25 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    asked = v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
     hits = retrieval.dense_search(asked, v, 50).join(v.select("vec_id", F.col("embedding").alias("vector")), "vec_id")
     return retrieval.mmr(hits.drop("rank"), key="vec_id")
 
@@ -556,7 +556,7 @@ def mmr_rerank(s, d):
 @query()
 def shaped_results(s, d):
     v = view(s, d, "embeddings")
-    asked = v.where("vec_id % 25 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    asked = v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
     hits = retrieval.dense_search(asked, v, 50).join(v.select("vec_id", "label", F.col("embedding").alias("vector")), "vec_id")
     rows = hits.select("query_id", F.col("vec_id").alias("chunk_id"), F.col("label").cast("long").alias("doc"), "score", F.col("rank").alias("fused_rank"), (F.col("vec_id") % 90 + 10).alias("tokens"), (F.col("vec_id") % 700 + 100).alias("bytes"), "vector")
     return retrieval.shape(rows)
@@ -723,7 +723,7 @@ def canonical_triples(s, d):
 def probe_search(s, d):
     v = view(s, d, "embeddings")
     c, rows = retrieval.partition_vectors(v)
-    asked = v.where("vec_id % 25 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    asked = v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
     return retrieval.probe_search(asked, c, rows, 10, 8)
 
 
