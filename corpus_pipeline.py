@@ -14,6 +14,10 @@ from lodestone.llm import jaccard, lines, mixing, packing, toxicity
 from lodestone.llm.common import prepare, settle
 
 
+#: Words that a packing worker remembers: fewer than alone, as workers also hold what earlier stages left.
+WORD_CACHE = 150_000
+
+
 def not_toxic(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject; it learns from the labelled rows of this table that are not held out."""
     prepare(spark)
@@ -42,7 +46,7 @@ def packed(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 4096 tokens."""
     import public_tokenizers
 
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), cache=WORD_CACHE)
 
 
 STAGES = [

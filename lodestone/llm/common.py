@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -42,6 +45,26 @@ def fresh_dir(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
+def tidy() -> None:
+    """Give memory that numpy and Arrow have freed back to the system: workers and the driver live on between stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidied(run):
+    """A partition function that tidies up when its partition is done."""
+
+    def then_tidy(batches):
+        try:
+            yield from run(batches)
+        finally:
+            tidy()
+
+    return then_tidy
+
+
 def settle(df: DataFrame, what: str) -> DataFrame:
     """Write a table into the shared folder and read it again: cuts the lineage, and survives lost executors."""
     spark = df.sparkSession

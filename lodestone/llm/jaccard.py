@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, mix, powers, prefix_hash, prepare, settle, spans, utf8, word_spans
+from .common import LOWER, mix, powers, prefix_hash, prepare, settle, spans, tidied, utf8, word_spans
 from .components import components
 
 WORDS = 5
@@ -271,10 +271,10 @@ def _against_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Of pairs (a, b) of nodes, those that link: bit counts first, then whole texts."""
     one, two = (nodes.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("bitmap").alias(f"b{k}")) for k in "ab")
-    near = pairs.hint("merge").join(one, "a").hint("merge").join(two, "b").filter("100 * least(na, nb) >= 80 * greatest(na, nb)").mapInArrow(_by_bits, "a long, b long")
+    near = pairs.hint("merge").join(one, "a").hint("merge").join(two, "b").filter("100 * least(na, nb) >= 80 * greatest(na, nb)").mapInArrow(tidied(_by_bits), "a long, b long")
     near = settle(near, "near")
     t = texts.select(F.col("node").alias("a"), F.col("z").alias("ta")), texts.select(F.col("node").alias("b"), F.col("z").alias("tb"))
-    return near.hint("merge").join(t[0], "a").hint("merge").join(t[1], "b").select("a", "b", "ta", "tb").mapInArrow(_exact, "a long, b long")
+    return near.hint("merge").join(t[0], "a").hint("merge").join(t[1], "b").select("a", "b", "ta", "tb").mapInArrow(tidied(_exact), "a long, b long")
 
 
 def join(docs: DataFrame, tile_most: int = TILE_MOST) -> DataFrame:
@@ -287,7 +287,7 @@ def join(docs: DataFrame, tile_most: int = TILE_MOST) -> DataFrame:
     spark = prepare(docs.sparkSession)
     tasks = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    made = settle(docs.mapInArrow(_nodes, "doc_id long, n_shingles long, s1 long, s2 long, bitmap binary, slice int, counts binary"), "sets")
+    made = settle(docs.mapInArrow(tidied(_nodes), "doc_id long, n_shingles long, s1 long, s2 long, bitmap binary, slice int, counts binary"), "sets")
     sums = made.filter("slice is not null").select("slice", "counts").groupBy("slice").applyInArrow(_add_counts, "slice int, counts binary")
     parts = {r["slice"]: r["counts"] for r in sums.collect()}  # SLICES rows, 4 MB in all
     counts = np.concatenate([np.frombuffer(parts[k], np.uint32) for k in range(SLICES)]) if parts else np.zeros(1 << SKETCH_BITS, np.uint32)
@@ -296,8 +296,8 @@ def join(docs: DataFrame, tile_most: int = TILE_MOST) -> DataFrame:
     # a node is the smallest doc_id with its set; s1 stands for it in tiles
     nodes = settle(sets.filter("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bitmap").alias("bitmap")), "nodes")
     tiles = int(max(tasks, total // 5 // 400_000))
-    dealt = docs.select("text").mapInArrow(_prefixes(spark.sparkContext.broadcast(counts), tiles), "tile int, shingles binary, nodes binary, sizes binary")
-    found = settle(dealt.repartition(tiles, "tile").mapInArrow(_tiles(tile_most), "kind int, a long, b long, n long"), "tiles")
+    dealt = docs.select("text").mapInArrow(tidied(_prefixes(spark.sparkContext.broadcast(counts), tiles)), "tile int, shingles binary, nodes binary, sizes binary")
+    found = settle(dealt.repartition(tiles, "tile").mapInArrow(tidied(_tiles(tile_most)), "kind int, a long, b long, n long"), "tiles")
     ids = nodes.select("s1", "node")
     pairs = found.filter("kind = 0").groupBy("a", "b").agg(F.sum("n").alias("shared"))
     pairs = pairs.join(ids.select(F.col("s1").alias("a"), F.col("node").alias("x")), "a").join(ids.select(F.col("s1").alias("b"), F.col("node").alias("y")), "b")
@@ -315,7 +315,7 @@ def join(docs: DataFrame, tile_most: int = TILE_MOST) -> DataFrame:
     first = settle(first.unionByName(star).distinct(), "first")
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(hot.select("node")).distinct()
     # texts travel compressed; what grows with the corpus is merged at every size, never broadcast
-    zipped = docs.filter("doc_id is not null").mapInArrow(_zipped, "node long, z binary")
+    zipped = docs.filter("doc_id is not null").mapInArrow(tidied(_zipped), "node long, z binary")
     texts = settle(zipped.join(wanted.hint("merge"), "node", "left_semi").dropDuplicates(["node"]), "texts")
     links = settle(_links(first, nodes, texts), "links")
     known = components(links)
@@ -333,7 +333,7 @@ def join(docs: DataFrame, tile_most: int = TILE_MOST) -> DataFrame:
     block = lambda size: F.pmod(F.xxhash64("node"), F.ceil(F.col(size) / F.lit(BLOCK)).cast("long"))
     few = open_rows.filter("label <> main").withColumn("i", block("few")).groupBy("shingle", "i").agg(F.collect_list(member).alias("few"))
     many = open_rows.withColumn("j", block("total")).groupBy("shingle", "j").agg(F.collect_list(member).alias("many"))
-    left = few.join(many, "shingle").select("few", "many").mapInArrow(_against_blocks, "a long, b long").distinct().join(first, ["a", "b"], "left_anti")
+    left = few.join(many, "shingle").select("few", "many").mapInArrow(tidied(_against_blocks), "a long, b long").distinct().join(first, ["a", "b"], "left_anti")
     more = _links(rest.unionByName(left).distinct(), nodes, texts)
     whole = components(settle(links.unionByName(more), "links"))
 

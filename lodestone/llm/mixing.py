@@ -44,31 +44,45 @@ def _ln_choose(n: Column, k: Column) -> Column:
     return _ln_factorial(n) - _ln_factorial(k) - _ln_factorial(n - k)
 
 
+def _let(value: Column, f) -> Column:
+    """f of a value that is computed once, and named once in the plan."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def hypergeometric(total: Column, good: Column, draws: Column, u: Column) -> Column:
     """How many of `draws` out of `total` are among the `good`, by inverting the distribution at u; walks within 12 deviations of the mean."""
-    total, good, draws = (x.cast("double") for x in (total, good, draws))
-    least, most = F.greatest(F.lit(0.0), draws + good - total), F.least(good, draws)
-    mean = F.when(total > 0, draws * good / total).otherwise(F.lit(0.0))
-    dev = F.sqrt(F.when(total > 1, mean * (1 - good / total) * (total - draws) / (total - 1)).otherwise(F.lit(0.0)))
-    low, high = F.greatest(least, F.floor(mean - 12 * dev - 1).cast("double")), F.least(most, F.ceil(mean + 12 * dev + 1).cast("double"))
-    p = F.exp(_ln_choose(good, low) + _ln_choose(total - good, draws - low) - _ln_choose(total, draws))
-    state = F.struct(p.alias("p"), F.lit(0.0).alias("sum"), low.alias("x"), F.lit(False).alias("done"))
 
-    def step(s, k):
-        k = k.cast("double")
-        more = s["sum"] + s["p"]
-        done = s["done"] | (more >= u)
-        ratio = (good - k) * (draws - k) / ((k + 1) * (total - good - draws + k + 1))
-        return F.when(s["done"], s).otherwise(F.struct(F.when(done, s["p"]).otherwise(s["p"] * ratio).alias("p"), more.alias("sum"), F.when(done, k).otherwise(F.least(k + 1, high)).alias("x"), done.alias("done")))
+    def moments(a):
+        mean = F.when(a["t"] > 0, a["d"] * a["g"] / a["t"]).otherwise(F.lit(0.0))
+        var = F.when(a["t"] > 1, a["d"] * a["g"] / a["t"] * (1 - a["g"] / a["t"]) * (a["t"] - a["d"]) / (a["t"] - 1)).otherwise(F.lit(0.0))
+        return _let(F.struct(mean.alias("mean"), F.sqrt(var).alias("dev")), lambda m: ends(a, m))
+
+    def ends(a, m):
+        low = F.greatest(F.lit(0.0), a["d"] + a["g"] - a["t"], F.floor(m["mean"] - 12 * m["dev"] - 1).cast("double"))
+        high = F.least(a["g"], a["d"], F.ceil(m["mean"] + 12 * m["dev"] + 1).cast("double"))
+        return _let(F.struct(low.alias("low"), high.alias("high")), lambda e: F.when(e["high"] <= e["low"], e["low"]).otherwise(walk(a, e)).cast("long"))
+
+    def walk(a, e):
+        p = F.exp(_ln_choose(a["g"], e["low"]) + _ln_choose(a["t"] - a["g"], a["d"] - e["low"]) - _ln_choose(a["t"], a["d"]))
+        state = F.struct(p.alias("p"), F.lit(0.0).alias("sum"), e["low"].alias("x"), F.lit(False).alias("done"))
+
+        def step(s, k):
+            k = k.cast("double")
+            done = s["sum"] + s["p"] >= a["u"]
+            ratio = (a["g"] - k) * (a["d"] - k) / ((k + 1) * (a["t"] - a["g"] - a["d"] + k + 1))
+            go = F.struct((s["p"] * ratio).alias("p"), (s["sum"] + s["p"]).alias("sum"), F.least(k + 1, e["high"]).alias("x"), F.lit(False).alias("done"))
+            stop = F.struct(s["p"].alias("p"), s["sum"].alias("sum"), k.alias("x"), F.lit(True).alias("done"))
+            return F.when(s["done"], s).when(done, stop).otherwise(go)
+
+        return F.aggregate(F.sequence(e["low"].cast("long"), e["high"].cast("long")), state, step)["x"]
 
-    walk = F.aggregate(F.sequence(low.cast("long"), F.greatest(low, high).cast("long")), state, step)
-    return F.when(high <= low, low).otherwise(F.least(walk["x"], high)).cast("long")
+    return _let(F.struct(total.cast("double").alias("t"), good.cast("double").alias("g"), draws.cast("double").alias("d"), u.alias("u")), moments)
 
 
 def _draw(seed: int, level: int):
     def draw(s, x):
         n = hypergeometric(s["left"], x, s["need"], _uniform(F.lit(seed), F.lit(level), F.col("shard"), s["i"]))
-        return F.struct((s["left"] - x).alias("left"), (s["need"] - n).alias("need"), F.concat(s["got"], F.array(n)).alias("got"), (s["i"] + 1).alias("i"))
+        return _let(n, lambda n: F.struct((s["left"] - x).alias("left"), (s["need"] - n).alias("need"), F.concat(s["got"], F.array(n)).alias("got"), (s["i"] + 1).alias("i")))
 
     return draw
 
@@ -82,8 +96,8 @@ def split_quotas(quotas: DataFrame, levels: int, seed: int = SEED) -> DataFrame:
         start = F.struct(whole.alias("left"), need.alias("need"), F.array().cast("array<long>").alias("got"), F.lit(0).cast("long").alias("i"))
         drawn = nodes.select("shard", "q", F.aggregate("q", start, _draw(seed, level))["got"].alias("a"))
         halves = F.array(F.struct((F.col("shard") * 2).alias("shard"), F.col("a").alias("q")), F.struct((F.col("shard") * 2 + 1).alias("shard"), F.zip_with("q", "a", lambda x, y: x - y).alias("q")))
-        nodes = settle(drawn.select(F.explode(halves).alias("n")).select("n.*"), "quotas")
-    return nodes
+        nodes = drawn.select(F.explode(halves).alias("n")).select("n.*")
+    return settle(nodes, "quotas")
 
 
 def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:

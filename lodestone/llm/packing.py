@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import prepare, tidied
 
 SEQUENCE = 4096
 END_ID = 2
@@ -31,10 +31,11 @@ PLAIN = re.compile(r"[!-~À-ÖØ-öø-įı-ɏ]+")
 class WordEncoder:
     """Ids of white-space words, kept by word: the tokenizer drops white space, so a text's ids are those of its words in turn."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int = CACHE):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        self.cache = cache
         self.words: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
@@ -61,9 +62,9 @@ class WordEncoder:
 
     def _learn(self, words: set[bytes]) -> None:
         """Make sure that all of these words have their ids; of words seen before, those in use stay."""
-        if len(self.words) > CACHE:
+        if len(self.words) > self.cache:
             self.old, self.words = self.words, {}
-        if len(self.parts) > CACHE:
+        if len(self.parts) > self.cache:
             self.parts.clear()
         split: dict[bytes, list[str]] = {}
         for w in words.difference(self.words):
@@ -98,20 +99,20 @@ class WordEncoder:
         return next(self.batch([text]))
 
 
-_encoders: dict[str, WordEncoder] = {}
+_encoders: dict[tuple[str, int], WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+def encoder(path: str, cache: int = CACHE) -> WordEncoder:
+    if (path, cache) not in _encoders:
+        _encoders[path, cache] = WordEncoder(path, cache)
+    return _encoders[path, cache]
 
 
-def _pieces(path: str, size: int, end_id: int, keep_ids: bool):
+def _pieces(path: str, size: int, end_id: int, keep_ids: bool, cache: int):
     tail = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = encoder(path, cache)
         for batch in batches:
             out: list[tuple] = []
             for doc, ids in zip(batch.column(0).to_pylist(), enc.batch(batch.column(1).to_pylist())):
@@ -171,13 +172,13 @@ def _pack_group(size: int):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, end_id: int = END_ID, group_docs: int = GROUP_DOCS, seed: int = SEED, keep_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, end_id: int = END_ID, group_docs: int = GROUP_DOCS, seed: int = SEED, keep_ids: bool = False, cache: int = CACHE) -> DataFrame:
     """Pack documents (doc_id, text) into sequences of at most `size` tokens; a row for each piece.
 
     A document's ids are those of `tokenizer` without special tokens, then `end_id`; documents over `size` are cut at
     multiples of it. Groups are drawn by a hash of doc_id and the seed; in each, pieces go by falling length to the
     first sequence with room. sequence_id holds the group in its upper half. keep_ids adds the ids themselves
-    (`ids`, little-endian unsigned 32 bits).
+    (`ids`, little-endian unsigned 32 bits). `cache` bounds the words that a worker remembers.
 
     Null and empty texts give one piece that holds end_id alone; equal lengths go by doc_id, start and checksum;
     repeated rows are packed each; an empty table gives no row; other columns are not read.
@@ -186,7 +187,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, end_id: int = EN
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     groups = max(1, -(-docs.count() // group_docs))
     kinds = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * keep_ids
-    pieces = docs.mapInArrow(_pieces(tokenizer, size, end_id, keep_ids), kinds)
+    pieces = docs.mapInArrow(tidied(_pieces(tokenizer, size, end_id, keep_ids, cache)), kinds)
     pieces = pieces.withColumn("grp", F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(groups)))
     packed = pieces.groupBy("grp").applyInArrow(_pack_group(size), f"{kinds}, sequence_id long, offset long")
     return packed

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, BASE2, mix, powers, prefix_hash, prepare, settle, spans, utf8
+from .common import BASE, BASE2, mix, powers, prefix_hash, prepare, settle, spans, tidied, utf8
 
 LENGTH = 200
 SEED = 50
@@ -316,7 +316,7 @@ def strip(docs: DataFrame, many: int = MANY, with_text: bool = False) -> DataFra
     spark = prepare(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("key"), text.alias("text"))
-    rec = docs.select("key", "text").mapInArrow(_runs, "m long, c long, key long, pn long")
+    rec = docs.select("key", "text").mapInArrow(tidied(_runs), "m long, c long, key long, pn long")
     seen = rec.groupBy("m").agg(F.count(F.lit(1)).alias("t"), F.min("c").alias("c0"), F.max("c").alias("c1")).filter("t > 1")
     met = settle(rec.join(seen.select("m", (F.col("c0") == F.col("c1")).alias("whole")), "m"), "runs")
     mixed = met.filter("not whole")
@@ -324,11 +324,11 @@ def strip(docs: DataFrame, many: int = MANY, with_text: bool = False) -> DataFra
     kinds = settle(kinds.select("m", "c", "k", "r.key", "r.pn"), "kinds")
     crowd = kinds.groupBy("m").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > many).select("m", F.lit(True).alias("hot"))
     ask = kinds.join(crowd, "m", "left").groupBy("key").agg(F.collect_list(F.struct("m", "pn", "k", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("found"))
-    packed = docs.mapInArrow(_packed, "doc_id long, key long, z binary")
-    cut = settle(packed.dropDuplicates(["key"]).join(ask, "key").mapInArrow(_cut, "m long, key long, p long, n long, k long, hot boolean, bytes binary"), "bytes")
+    packed = docs.mapInArrow(tidied(_packed), "doc_id long, key long, z binary")
+    cut = settle(packed.dropDuplicates(["key"]).join(ask, "key").mapInArrow(tidied(_cut), "m long, key long, p long, n long, k long, hot boolean, bytes binary"), "bytes")
     tasks = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    edge = cut.filter("not hot").repartition(tasks, "m").sortWithinPartitions("m").mapInArrow(_compare, "key long, s long, e long")
-    one = cut.filter("hot").mapInArrow(_windows, "a long, b long, key long, p long, k long")
+    edge = cut.filter("not hot").repartition(tasks, "m").sortWithinPartitions("m").mapInArrow(tidied(_compare), "key long, s long, e long")
+    one = cut.filter("hot").mapInArrow(tidied(_windows), "a long, b long, key long, p long, k long")
     twice = one.groupBy("a", "b").agg(F.count(F.lit(1)).alias("t")).filter("t > 1").select("a", "b")
     lone = one.join(twice, ["a", "b"]).filter("k = 1").select("key", F.col("p").alias("s"), (F.col("p") + LENGTH).alias("e"))
     start, count = F.shiftrightunsigned("pn", 32), F.col("pn").bitwiseAND(F.lit(0xFFFFFFFF))
@@ -336,7 +336,7 @@ def strip(docs: DataFrame, many: int = MANY, with_text: bool = False) -> DataFra
     whole = whole.select("key", start.alias("s"), (start + count + F.lit(LENGTH - 1)).alias("e"))
     found = whole.unionByName(edge).unionByName(lone).groupBy("key").agg(F.collect_list(F.struct("s", "e")).alias("found"))
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    return packed.join(found, "key", "left").select("doc_id", "z", "found").mapInArrow(_strip(with_text), out)
+    return packed.join(found, "key", "left").select("doc_id", "z", "found").mapInArrow(tidied(_strip(with_text)), out)
 
 
 def op2_substrings(spark, sf_dir: str) -> DataFrame:

@@ -17,9 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, mix, powers, prefix_hash, prepare, spans, utf8
+from .common import LOWER, mix, powers, prefix_hash, prepare, spans, tidied, tidy, utf8
 
-TRAIN_DOCS = 1500
+TRAIN_DOCS = 1200
 TRAIN_CHARS = 10_000
 THRESHOLD = 0.7
 BITS = 18
@@ -287,7 +287,10 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, trai
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.col("text").isNotNull() & (F.length("text") <= train_chars))
     rows = texts.join(F.broadcast(picked), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * train_docs).collect()
     toxic = np.array([r["toxic"] == 1 for r in rows], bool)
-    return fit([r["text"] for r in rows], toxic, totals.get(1, 0) / max(1, sum(totals.values())))
+    model = fit([r["text"] for r in rows], toxic, totals.get(1, 0) / max(1, sum(totals.values())))
+    del rows
+    tidy()
+    return model
 
 
 def score(docs: DataFrame, model: tuple[Crf, np.ndarray], threshold: float = THRESHOLD, with_spans: bool = False, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -301,7 +304,7 @@ def score(docs: DataFrame, model: tuple[Crf, np.ndarray], threshold: float = THR
     crf, beta = model
     kinds = [f"`{c}` {t}" for c, t in docs.dtypes if c in keep] + ["score double", "predicted int", "toxic_words long"] + ["spans array<struct<start:int,end:int,p:double>>"] * with_spans
     names = [c for c in docs.columns if c in keep]
-    return docs.select(*dict.fromkeys([*names, "text"])).mapInArrow(_score(crf, beta, threshold, with_spans, names), ", ".join(kinds))
+    return docs.select(*dict.fromkeys([*names, "text"])).mapInArrow(tidied(_score(crf, beta, threshold, with_spans, names)), ", ".join(kinds))
 
 
 def op8_toxicity(spark, sf_dir: str) -> DataFrame:
