@@ -1,9 +1,11 @@
-"""Line dedup: repeated runs of lines, by distributed prefix doubling over line IDs. DataFrame functions only.
-
-A suffix starts at each line that is not blank. Round k names the first 2**k lines of each suffix: round 0 by the line's
-128-bit ID, round k by the names of its two halves. Suffixes with one name are an interval of common prefixes of 2**k lines or
-more; an interval of one suffix is resolved and leaves. Doubling ends when a run always holds `min_words`, as longer repeated runs are
-unions of such runs. Names are counted with map-side aggregation; the join back to the suffixes is one that Spark splits on skew.
+"""Line dedup: repeated runs of lines, by names of runs that grow a line a round. DataFrame functions only.
+
+A suffix starts at each line that is not blank. Round k names the first k lines of each suffix: round 1 by the line's
+128-bit ID, round k by the name of round k - 1 and the ID of the next line. Suffixes with one name share their first k lines; a
+suffix that is alone leaves, as longer runs from there are not repeated. So runs of every length are judged. A suffix
+leaves too where its run less the first line, and its run of the round before, both hold `min_words`: those two are repeated runs and
+cover this one and all longer ones. So `min_words` rounds do, and lines of many words leave after the first.
+Names are counted with map-side aggregation; the join back to the suffixes is one that Spark splits on skew.
 """
 
 from __future__ import annotations
@@ -23,11 +25,11 @@ def _key(docs: DataFrame) -> Column:
 
 
 def suffixes(docs: DataFrame, min_words: int) -> DataFrame:
-    """(key, ord, line, last, h1, h2, words): lines that are not blank, in order, with their places and IDs; words stop at min_words."""
+    """(key, ord, line, last, h1, h2, words, tail): lines that are not blank, in order, with their places and IDs; words, and tail (words after the first line), stop at min_words."""
     lines = F.transform(F.split("text", "\n", -1), lambda x, i: F.struct(i.alias("line"), x.alias("x")))
     some = docs.select(_key(docs).alias("key"), F.posexplode(F.filter(lines, lambda s: s["x"].rlike(FULL))).alias("ord", "s"))
     words = F.size(F.filter(F.split("s.x", GAP, min_words + 2), lambda x: x != ""))
-    return some.select("key", "ord", F.col("s.line").alias("line"), F.col("s.line").alias("last"), F.xxhash64("s.x").alias("h1"), F.xxhash64(F.lit(7), "s.x").alias("h2"), F.least(words, F.lit(min_words)).alias("words"))
+    return some.select("key", "ord", F.col("s.line").alias("line"), F.col("s.line").alias("last"), F.xxhash64("s.x").alias("h1"), F.xxhash64(F.lit(7), "s.x").alias("h2"), F.least(words, F.lit(min_words)).alias("words"), F.lit(0).alias("tail"))
 
 
 def _repeated(named: DataFrame) -> DataFrame:
@@ -36,23 +38,27 @@ def _repeated(named: DataFrame) -> DataFrame:
     seen = named.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("end")).filter("first <> end")
     seen = seen.select("h1", "h2", F.col("first.key").alias("fk"), F.col("first.ord").alias("fo"))
     later = (F.col("key") != F.col("fk")) | (F.col("ord") != F.col("fo"))
-    return named.join(seen, ["h1", "h2"]).select("key", "ord", "line", "last", "h1", "h2", "words", later.alias("later"))
+    return named.join(seen, ["h1", "h2"]).select("key", "ord", "line", "last", "h1", "h2", "words", "tail", later.alias("later"))
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(key, line, last): later copies of repeated runs of 1, 2, 4, ... lines with `min_words` words or more in all."""
+    """(key, line, last): later copies of repeated runs with `min_words` words or more in all, that cover all lines of such runs of any length."""
     alive = settle(_repeated(suffixes(docs, min_words)).distinct(), "suffixes")
+    follow = alive.select("key", F.col("ord").alias("at"), F.col("last").alias("to"), F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("words").alias("more"))
     length, gone = 1, None
     while True:
         hit = alive.filter(F.col("later") & (F.col("words") >= min_words)).select("key", "line", "last")
         gone = hit if gone is None else gone.unionByName(hit)
-        if length >= min_words:
+        if length >= min_words or alive.isEmpty():
             return gone
-        half = alive.select("key", (F.col("ord") - F.lit(length)).alias("ord"), F.col("last").alias("to"), F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("words").alias("more"))
-        named = alive.join(half, ["key", "ord"]).select(
-            "key", "ord", "line", F.col("to").alias("last"), F.xxhash64("h1", "g1", F.lit(length)).alias("h1"), F.xxhash64("h2", "g2", F.lit(-length)).alias("h2"), F.least(F.col("words") + F.col("more"), F.lit(min_words)).alias("words")
-        )
-        length *= 2
+        tail = F.least(F.col("tail") + F.col("more"), F.lit(min_words))
+        # the same lines have the same words, so suffixes of one name leave together
+        grown = alive.withColumn("at", F.col("ord") + F.lit(length)).join(follow, ["key", "at"]).filter((F.col("words") < min_words) | (tail < min_words))
+        named = grown.select(
+            "key", "ord", "line", F.col("to").alias("last"), F.xxhash64("h1", "g1", F.lit(length)).alias("h1"), F.xxhash64("h2", "g2", F.lit(-length)).alias("h2"),
+            F.least(F.col("words") + F.col("more"), F.lit(min_words)).alias("words"), tail.alias("tail"),
+        )
+        length += 1
         alive = settle(_repeated(named), "suffixes")
 
 
@@ -60,7 +66,7 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents with `text` less the lines of later copies (n_chars follows where it is a column), and n_lines, n_removed.
 
     Lines end at a newline; lines of white space alone do not count in runs, and go with the run that they lie in. A line
-    goes if it lies in a run of 1, 2, 4, ... lines, of min_words words or more in all, that also starts earlier, by
+    goes if it lies in a run of any number of lines, of min_words words or more in all, that also starts earlier, by
     doc_id and line. Null and empty texts stay as they are. Rows that repeat a doc_id count as one document and are treated alike;
     rows without doc_id are told apart by their text. An empty table gives no rows; other columns stay.
     """
@@ -90,9 +96,11 @@ def op4_lines(spark, sf_dir: str) -> DataFrame:
 
 OP4_SQL = r"""
 WITH t AS (SELECT doc_id, string_split(COALESCE(text, ''), chr(10)) AS ls FROM documents),
-x AS (SELECT doc_id, ls, unnest(list_filter(list_transform(range(1, len(ls) + 1), lambda i: {'i': i, 'x': ls[i]}), lambda s: regexp_matches(s.x, '[^ 	-]'))) AS s FROM t),
+x AS (SELECT doc_id, ls, unnest(list_filter(list_transform(range(1, len(ls) + 1), lambda i: {'i': i, 'x': ls[i]}), lambda s: regexp_matches(s.x, '[^ 	-
+]'))) AS s FROM t),
 n AS (SELECT doc_id, s.i AS i, s.x AS x, row_number() OVER (PARTITION BY doc_id ORDER BY s.i) AS o,
-             len(regexp_extract_all(s.x, '[^ 	-]+')) AS w FROM x),
+             len(regexp_extract_all(s.x, '[^ 	-
+]+')) AS w FROM x),
 a AS (SELECT doc_id, list(i ORDER BY o) AS li, list(x ORDER BY o) AS lx, list(w ORDER BY o) AS lw FROM n GROUP BY doc_id),
 r AS (
   SELECT doc_id, o, li[o] AS f, li[o + k - 1] AS l, array_to_string(lx[o:o + k - 1], chr(10)) || ':' || k AS name

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import defaultdict
 
@@ -43,3 +44,41 @@ def test_rows_without_id_stay(docs):
 
 def test_empty_table(nothing):
     assert lines.dedup(nothing).collect() == []
+
+
+def all_lengths(texts, least=10):
+    """Lines that go, by doc_id: runs of every length."""
+    places = defaultdict(list)
+    for key, text in sorted(texts.items()):
+        ls = text.split("\n")
+        full = [i for i, x in enumerate(ls) if x.strip()]
+        for o in range(len(full)):
+            for e in range(o + 1, len(full) + 1):
+                run = tuple(ls[i] for i in full[o:e])
+                if sum(len(x.split()) for x in run) >= least:
+                    places[run].append((key, full[o], full[e - 1]))
+    gone = defaultdict(set)
+    for found in places.values():
+        for key, a, b in found[1:]:
+            gone[key] |= set(range(a, b + 1))
+    return gone
+
+
+def test_runs_of_every_length(spark):
+    r = random.Random(3)
+    runs = [[4, 4, 4], [2] * 7, [1] * 15, [3, 3, 60], [60, 3, 3], [1, 12, 1], [5, 4], [1] * 9, [3] * 21]
+    fresh = iter(range(10**6))
+    line = lambda n: " ".join(f"x{next(fresh)}" for _ in range(n))
+    texts = {}
+    for k, sizes in enumerate(runs):
+        run = [line(n) for n in sizes]
+        for copy in range(3):
+            texts[10 * k + copy] = "\n".join([line(2), *run[:1], "", *run[1:], line(1)])
+    for k in range(100, 160):  # few kinds of lines, so runs overlap and repeat within a text
+        texts[k] = "\n".join(r.choice(["a", "b c", "d e f", "", "g h i j"]) for _ in range(r.randrange(1, 30)))
+    want = all_lengths(texts)
+    assert want[1] and not want[71]
+    got = lines.dedup(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    for g in got:
+        assert g.n_removed == len(want[g.doc_id]), g.doc_id
+        assert g.text == "\n".join(x for i, x in enumerate(texts[g.doc_id].split("\n")) if i not in want[g.doc_id])
