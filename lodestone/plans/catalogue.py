@@ -724,7 +724,7 @@ def probe_search(s, d):
     v = view(s, d, "embeddings")
     c, rows = retrieval.partition_vectors(v)
     asked = v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
-    return retrieval.probe_search(asked, c, rows, 10, 8)
+    return retrieval.probe_search(asked, c, rows, 10, 12)
 
 
 @query()

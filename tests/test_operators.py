@@ -1,4 +1,5 @@
 import math
+import os
 import unicodedata
 import uuid
 
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import percentiles, scalars
 from lodestone.operators import catalog, dedup, documents, observability, retrieval, telemetry
-from lodestone.plans import profiler
+from lodestone.plans import catalogue, profiler
 
 
 def test_percentile_rules(spark):
@@ -152,3 +153,15 @@ def test_probes_find_most_neighbours(spark):
 def test_hash_embedding_is_a_unit_vector(spark):
     r = spark.createDataFrame([(["a", "b"],), ([],), (None,)], "t array<string>").select(retrieval.hash_embedding(48)("t").alias("v")).collect()
     assert abs(sum(x * x for x in r[0].v) - 1) < 1e-5 and len(r[0].v) == 48 and not any(r[1].v) and not any(r[2].v)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_registered_probes_find_most_neighbours(spark, sf):
+    d = f"/root/testdata/{sf}"
+    if not os.path.isdir(d):
+        pytest.skip("no test tables")
+    v = spark.read.parquet(f"{d}/embeddings.parquet")
+    q = v.where("vec_id % 100 = 0").selectExpr("vec_id as query_id", "embedding as vector")
+    recall = retrieval.recall_at(catalogue.QUERIES["probe_search"](spark, d), retrieval.dense_search(q, v, 10), 10).agg(F.avg("recall")).first()[0]
+    print(sf, "recall", recall)
+    assert recall >= 0.9
