@@ -1,7 +1,8 @@
 """Document fingerprints: SpotSigs. Chains of content words that follow common words, as a set of hashes.
 
 A spot is a common word; its signature is the word with the next CHAIN content words after it. Common words carry the running prose of a page,
-so spots fall all over a text and an edit touches only those near it. A fingerprint lists the sorted 32-bit hashes of
+so spots fall all over a text and an edit touches only those near it. Runs of words stand beside the chains in every text, short or long,
+with many spots or none: no threshold parts a text from its edit. A fingerprint lists the sorted 32-bit hashes of
 the distinct signatures in hexadecimal. Two fingerprints are compared by the Jaccard index of their sets; the lengths bound
 it, so pairs from far-apart length classes are pruned unread.
 
@@ -24,7 +25,6 @@ from pyspark.sql import functions as F
 from .common import prepare, settle
 
 CHAIN = 2
-FEW = 6
 LIKE = 0.8
 #: Common words of English, German, French and Spanish (our own choice).
 SPOTS = frozenset("the a an is was of to in and it that this with for der die das ein eine ist und den dem nicht mit von zu le la les un une est et de des que qui pour dans el los las una es y en por con del se".split())
@@ -32,7 +32,7 @@ WORD = re.compile(r"[^\W_]+")
 
 
 def signatures(text: str, chain: int = CHAIN) -> set[int]:
-    """Hashes of the spots' chains. A text of fewer than FEW such chains has every run of `chain` words besides (a text without words: itself), so that short texts compare too; an empty text has none."""
+    """Hashes of the spots' chains, and of the runs of up to `chain` words that end at each word. A text without words has its own hash; an empty text has none."""
     if not text:
         return set()
     words = WORD.findall(text.lower())
@@ -44,8 +44,8 @@ def signatures(text: str, chain: int = CHAIN) -> set[int]:
     h = xxhash.xxh32_intdigest
     last = len(content) - chain
     found = {h(" ".join((words[i], *content[i - k : i - k + chain]))) for k, i in enumerate(spots) if i - k <= last}
-    if len(found) < FEW:
-        found.update(h(" ".join(words[i : i + chain])) for i in range(max(1, len(words) - chain + 1)) if words)
+    found.update(h(" ".join(words[:i])) for i in range(1, min(chain, len(words) + 1)))
+    found.update(map(h, map(" ".join, zip(*(words[i:] for i in range(chain))))))
     return found or {h(text)}
 
 

@@ -40,3 +40,20 @@ def test_empty_and_single(spark, nothing):
     assert s.fingerprints(nothing).collect() == []
     one = s.fingerprints(spark.createDataFrame([(3, "the cat sat on the mat")], "doc_id long, text string")).collect()
     assert len(one) == 1 and one[0].near_next == 1
+
+
+def test_an_edit_across_any_number_of_chains_stays_alike():
+    # from no spot to many: the text and its edit differ in one chain, or in none
+    for n in range(12):
+        text = " ".join([f"m{i} n{i} o{i} p{i} q{i}" for i in range(20)] + [f"the b{i} c{i}" for i in range(n)])
+        less = text.replace("the b0", "tho b0")
+        a, b = s.signatures(text), s.signatures(less)
+        assert s.likeness(a, b) > 0.8, n
+        assert s.likeness(a, s.signatures(s.edited(text, "the x of y in z " * 60))) > 0.4, n
+    assert s.signatures("one") < s.signatures("one two") < s.signatures("one two three")
+
+
+def test_near_pairs_across_few_chains(spark):
+    text = " ".join([f"m{i} n{i} o{i}" for i in range(30)] + [f"the b{i} c{i}" for i in range(6)])
+    docs = spark.createDataFrame([(1, text), (2, text.replace("the b0", "tho b0")), (3, "quite another text")], "doc_id long, text string")
+    assert [(r.a, r.b) for r in s.near_pairs(docs).collect()] == [(1, 2)]
