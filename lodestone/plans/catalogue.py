@@ -729,7 +729,7 @@ def probe_search(s, d):
 
 @query()
 def hash_embeddings(s, d):
-    return view(s, d, "documents").select("doc_id", retrieval.hash_embedding(64)(ascii_tokens()).alias("vec"))
+    return view(s, d, "documents").select("doc_id", retrieval.hash_embedding()(ascii_tokens()).alias("vec"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -165,3 +165,10 @@ def test_registered_probes_find_most_neighbours(spark, sf):
     recall = retrieval.recall_at(catalogue.QUERIES["probe_search"](spark, d), retrieval.dense_search(q, v, 10), 10).agg(F.avg("recall")).first()[0]
     print(sf, "recall", recall)
     assert recall >= 0.9
+
+
+def test_registered_hash_embeddings_have_the_default_length(spark):
+    d = "/root/testdata/sf0.001"
+    if not os.path.isdir(d):
+        pytest.skip("no test tables")
+    assert len(catalogue.QUERIES["hash_embeddings"](spark, d).first().vec) == 2560
