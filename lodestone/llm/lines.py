@@ -1,15 +1,21 @@
-"""Line dedup: repeated runs of lines, by names of runs that grow a line a round. DataFrame functions only.
-
-A suffix starts at each line that is not blank. Round k names the first k lines of each suffix: round 1 by the line's
-128-bit ID, round k by the name of round k - 1 and the ID of the next line. Suffixes with one name share their first k lines; a
-suffix that is alone leaves, as longer runs from there are not repeated. So runs of every length are judged. A suffix
-leaves too where its run less the first line, and its run of the round before, both hold `min_words`: those two are repeated runs and
-cover this one and all longer ones. So `min_words` rounds do, and lines of many words leave after the first.
-Names are counted with map-side aggregation; the join back to the suffixes is one that Spark splits on skew.
+"""Line dedup: maximal repeated runs of lines, by a suffix array over line IDs. DataFrame functions only.
+
+1. A suffix starts at each line that is not blank; its first symbol is the line's 128-bit ID. Prefix doubling ranks suffixes by their first
+   1, 2, 4, ... lines: level k + 1 ranks the pairs (rank of this suffix at level k, rank of the suffix 2**k lines on). The distinct
+   pairs are sorted by range over the cluster, and their places in that order are the ranks, so equal ranks are equal lines. Suffixes
+   whose prefix is found once are resolved and leave; doubling ends when all are.
+2. Suffixes that share their first L lines and no more are a longest-common-prefix interval of length L. In it, every suffix but the first
+   place has an earlier copy of L lines. For each suffix the longest such interval is found from its last level downwards: if
+   it is not first among those that share L + d lines (d = 2**k-1, ..., 2, 1), L grows by d. Those that share L lines and
+   are first at L + 2d, with the interval's own first place, are all that need to be compared, so each suffix is in one group a step.
+3. The maximal repeated run from a suffix is that interval's length. Runs of `min_words` words or more go, but for the first place.
+Groups are counted with map-side aggregation and written out, so each join back has two plain sides, which Spark splits where one group is large.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,48 +24,78 @@ from .common import prepare, settle
 MIN_WORDS = 10
 GAP = "[\\x20\\x09-\\x0D]+"
 FULL = "[^\\x20\\x09-\\x0D]"
+#: A document is a doc_id (those without one come last) and a text.
+DOC = ("key", "sub")
+PLACE = ("key", "sub", "ord")
+FIRST = ("fk", "fs", "fo")
 
 
-def _key(docs: DataFrame) -> Column:
-    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
+def _key(docs: DataFrame) -> list[Column]:
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("key"), F.xxhash64(F.col("text").cast("string")).alias("sub")]
 
 
 def suffixes(docs: DataFrame, min_words: int) -> DataFrame:
-    """(key, ord, line, last, h1, h2, words, tail): lines that are not blank, in order, with their places and IDs; words, and tail (words after the first line), stop at min_words."""
+    """(key, sub, ord, line, last, h1, h2, words): lines that are not blank, in order, with their places and IDs; words stop at min_words."""
     lines = F.transform(F.split("text", "\n", -1), lambda x, i: F.struct(i.alias("line"), x.alias("x")))
-    some = docs.select(_key(docs).alias("key"), F.posexplode(F.filter(lines, lambda s: s["x"].rlike(FULL))).alias("ord", "s"))
+    some = docs.select(*_key(docs), F.posexplode(F.filter(lines, lambda s: s["x"].rlike(FULL))).alias("ord", "s"))
     words = F.size(F.filter(F.split("s.x", GAP, min_words + 2), lambda x: x != ""))
-    return some.select("key", "ord", F.col("s.line").alias("line"), F.col("s.line").alias("last"), F.xxhash64("s.x").alias("h1"), F.xxhash64(F.lit(7), "s.x").alias("h2"), F.least(words, F.lit(min_words)).alias("words"), F.lit(0).alias("tail"))
+    return some.select(*PLACE, F.col("s.line").alias("line"), F.col("s.line").alias("last"), F.xxhash64("s.x").alias("h1"), F.xxhash64(F.lit(7), "s.x").alias("h2"), F.least(words, F.lit(min_words)).alias("words"))
 
 
-def _repeated(named: DataFrame) -> DataFrame:
-    """Suffixes whose name is found at another place too; later: not at the first."""
-    place = F.struct("key", "ord")
-    seen = named.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("end")).filter("first <> end")
-    seen = seen.select("h1", "h2", F.col("first.key").alias("fk"), F.col("first.ord").alias("fo"))
-    later = (F.col("key") != F.col("fk")) | (F.col("ord") != F.col("fo"))
-    return named.join(seen, ["h1", "h2"]).select("key", "ord", "line", "last", "h1", "h2", "words", "tail", later.alias("later"))
+def _groups(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Of groups found at two places or more: their keys, rank (their place in the order of their keys) and first place."""
+    place = F.struct(*PLACE)
+    seen = rows.groupBy(*by).agg(F.min(place).alias("first"), F.max(place).alias("end")).filter("first <> end")
+    seen = seen.select(*by, *(F.col(f"first.{p}").alias(f) for p, f in zip(PLACE, FIRST)))
+    return settle(seen.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("rank", F.monotonically_increasing_id()), "ranks")
 
 
-def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(key, line, last): later copies of repeated runs with `min_words` words or more in all, that cover all lines of such runs of any length."""
-    alive = settle(_repeated(suffixes(docs, min_words)).distinct(), "suffixes")
-    follow = alive.select("key", F.col("ord").alias("at"), F.col("last").alias("to"), F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("words").alias("more"))
-    length, gone = 1, None
+def _same(a: tuple, b: tuple) -> Column:
+    return reduce(lambda x, y: x & y, (F.col(i) == F.col(j) for i, j in zip(a, b)))
+
+
+def levels(docs: DataFrame, min_words: int) -> list[DataFrame]:
+    """Level k has (key, sub, ord, line, last, words, rank, fk, fs, fo) of the suffixes whose first 2**k lines are found again, with the first place of these lines."""
+    rows = settle(suffixes(docs, min_words).distinct(), "suffixes")
+    out, by = [], ["h1", "h2"]
     while True:
-        hit = alive.filter(F.col("later") & (F.col("words") >= min_words)).select("key", "line", "last")
-        gone = hit if gone is None else gone.unionByName(hit)
-        if length >= min_words or alive.isEmpty():
-            return gone
-        tail = F.least(F.col("tail") + F.col("more"), F.lit(min_words))
-        # the same lines have the same words, so suffixes of one name leave together
-        grown = alive.withColumn("at", F.col("ord") + F.lit(length)).join(follow, ["key", "at"]).filter((F.col("words") < min_words) | (tail < min_words))
-        named = grown.select(
-            "key", "ord", "line", F.col("to").alias("last"), F.xxhash64("h1", "g1", F.lit(length)).alias("h1"), F.xxhash64("h2", "g2", F.lit(-length)).alias("h2"),
-            F.least(F.col("words") + F.col("more"), F.lit(min_words)).alias("words"), tail.alias("tail"),
-        )
-        length += 1
-        alive = settle(_repeated(named), "suffixes")
+        out.append(settle(rows.join(_groups(rows, by), by).select(*PLACE, "line", "last", "words", "rank", *FIRST), "level"))
+        if out[-1].isEmpty():
+            return out[:-1]
+        on = out[-1].select(*DOC, F.col("ord").alias("at"), F.col("last").alias("to"), F.col("words").alias("more"), F.col("rank").alias("r2"))
+        rows = out[-1].withColumn("at", F.col("ord") + F.lit(1 << (len(out) - 1))).join(on, [*DOC, "at"])
+        rows = settle(rows.select(*PLACE, "line", F.col("to").alias("last"), F.least(F.col("words") + F.col("more"), F.lit(min_words)).alias("words"), F.col("rank").alias("r1"), "r2"), "pairs")
+        by = ["r1", "r2"]
+
+
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(key, sub, ord, line, last, n, words, fk, fs, fo): for each suffix whose first line is found earlier, the longest run of n lines that is, and the first place of that run; words stop at min_words."""
+    level = levels(docs, min_words)
+    names = [*PLACE, "line", "last", "words", "rank", *FIRST, "n"]
+    if not level:
+        return docs.sparkSession.createDataFrame([], "key long, sub long, ord int, line int, last int, n int, words int, fk long, fs long, fo int")
+    later = [x.filter(~_same(PLACE, FIRST)) for x in level]
+    held = None
+    for k in range(len(level) - 1, -1, -1):
+        here = later[k] if k + 1 == len(level) else later[k].join(later[k + 1].select(*PLACE), [*PLACE], "left_anti")
+        here = here.withColumn("n", F.lit(1 << k)).select(*names)
+        held = here if held is None else held.unionByName(here)
+        if k:
+            d = k - 1
+            held = settle(held, "held")
+            heads = held.select("n", "rank", *FIRST).distinct().select("n", "rank", *(F.col(f).alias(p) for p, f in zip(PLACE, FIRST)))
+            all_ = held.select("n", "rank", *PLACE).unionByName(heads).withColumn("at", F.col("ord") + F.col("n"))
+            on = level[d].select(*DOC, F.col("ord").alias("at"), F.col("last").alias("to"), F.col("words").alias("more"), F.col("rank").alias("r2"))
+            far = settle(all_.join(on, [*DOC, "at"]).select("n", F.col("rank").alias("r1"), "r2", *PLACE, "to", "more"), "far")
+            grown = far.join(_groups(far, ["n", "r1", "r2"]), ["n", "r1", "r2"]).filter(~_same(PLACE, FIRST))
+            grown = grown.select(*PLACE, F.struct("to", "more", "rank", *FIRST).alias("g"))
+            held = held.join(grown, [*PLACE], "left")
+            step = {"last": "g.to", "rank": "g.rank", **{f: f"g.{f}" for f in FIRST}}
+            made = {c: F.when(F.col("g").isNotNull(), F.col(x)).otherwise(F.col(c)) for c, x in step.items()}
+            made["n"] = F.when(F.col("g").isNotNull(), F.col("n") + F.lit(1 << d)).otherwise(F.col("n"))
+            made["words"] = F.when(F.col("g").isNotNull(), F.least(F.col("words") + F.col("g.more"), F.lit(min_words))).otherwise(F.col("words"))
+            held = settle(held.select(*(made[c].alias(c) if c in made else F.col(c) for c in names)), "held")
+    return held.select(*PLACE, "line", "last", "n", "words", *FIRST)
 
 
 def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -67,23 +103,25 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     Lines end at a newline; lines of white space alone do not count in runs, and go with the run that they lie in. A line
     goes if it lies in a run of any number of lines, of min_words words or more in all, that also starts earlier, by
-    doc_id and line. Null and empty texts stay as they are. Rows that repeat a doc_id count as one document and are treated alike;
-    rows without doc_id are told apart by their text. An empty table gives no rows; other columns stay.
+    doc_id and line. Null and empty texts stay as they are. Equal rows count as one document and are treated alike; rows of one doc_id
+    with unlike texts are documents each, in the order of a hash of the text, as are rows without doc_id, after all others. An
+    empty table gives no rows; other columns stay, whatever their names, but for n_lines and n_removed.
     """
     prepare(docs.sparkSession)
-    runs = repeated_runs(docs.select("doc_id", F.col("text").cast("string").alias("text")), min_words)
-    gone = runs.select("key", F.explode(F.sequence("line", "last")).alias("at")).groupBy("key").agg(F.sort_array(F.collect_set("at")).alias("__gone"))
+    runs = repeated_runs(docs.select("doc_id", F.col("text").cast("string").alias("text")), min_words).filter(F.col("words") >= min_words)
+    gone = runs.select(*DOC, F.explode(F.sequence("line", "last")).alias("at")).groupBy(*DOC).agg(F.sort_array(F.collect_set("at")).alias("__gone"))
     # a flag for each line up to the last that goes: zeros over each gap, then a one
     before = F.transform("__gone", lambda x, j: F.when(j > 0, F.get("__gone", j - 1)).otherwise(F.lit(-1)))
     flags = F.array_join(F.zip_with("__gone", before, lambda x, y: F.concat(F.repeat(F.lit("0"), x - y - 1), F.lit("1"))), "")
-    gone = gone.select(F.col("key").alias("__key"), F.size("__gone").cast("long").alias("__k"), F.split(flags, "").alias("__flags"))
-    out = docs.withColumn("__key", _key(docs)).join(gone, "__key", "left")
+    gone = settle(gone.select(F.col("key").alias("__key"), F.col("sub").alias("__sub"), F.size("__gone").cast("long").alias("__k"), F.split(flags, "").alias("__flags")), "gone")
+    key, sub = _key(docs)
+    out = docs.withColumn("__key", key).withColumn("__sub", sub).join(gone, ["__key", "__sub"], "left")
     marked = F.zip_with(F.split("text", "\n", -1), "__flags", lambda x, f: F.struct(x.alias("x"), f.alias("f")))
     kept = F.filter(marked, lambda s: s["x"].isNotNull() & (F.coalesce(s["f"], F.lit("0")) != "1"))
     text = F.when(F.col("__flags").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda s: s["x"]), "\n"))
     made = {"text": text, "n_lines": F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long"), "n_removed": F.coalesce("__k", F.lit(0).cast("long"))}
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    out = out.select(*(made[c].alias(c) if c == "text" else F.col(c) for c in names), made["n_lines"].alias("n_lines"), made["n_removed"].alias("n_removed"))
+    out = out.select(*(made[c].alias(c) if c == "text" else F.col(f"`{c}`") for c in names), made["n_lines"].alias("n_lines"), made["n_removed"].alias("n_removed"))
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
     return out
@@ -94,6 +132,7 @@ def op4_lines(spark, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("kept_sha256"))
 
 
+#: Each line of a run of ten words or more lies in a part of it of ten lines at most that has ten words too, so runs of 1 to 10 lines stand for all lengths.
 OP4_SQL = r"""
 WITH t AS (SELECT doc_id, string_split(COALESCE(text, ''), chr(10)) AS ls FROM documents),
 x AS (SELECT doc_id, ls, unnest(list_filter(list_transform(range(1, len(ls) + 1), lambda i: {'i': i, 'x': ls[i]}), lambda s: regexp_matches(s.x, '[^ 	-
@@ -104,7 +143,7 @@ n AS (SELECT doc_id, s.i AS i, s.x AS x, row_number() OVER (PARTITION BY doc_id
 a AS (SELECT doc_id, list(i ORDER BY o) AS li, list(x ORDER BY o) AS lx, list(w ORDER BY o) AS lw FROM n GROUP BY doc_id),
 r AS (
   SELECT doc_id, o, li[o] AS f, li[o + k - 1] AS l, array_to_string(lx[o:o + k - 1], chr(10)) || ':' || k AS name
-  FROM (SELECT *, unnest(range(1, len(li) + 1)) AS o FROM a), (SELECT unnest([1, 2, 4, 8, 16]) AS k)
+  FROM (SELECT *, unnest(range(1, len(li) + 1)) AS o FROM a), (SELECT unnest(range(1, 11)) AS k)
   WHERE o + k - 1 <= len(li) AND list_sum(lw[o:o + k - 1]) >= 10),
 d AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY doc_id, o) AS c FROM r),
 g AS (SELECT doc_id, list_distinct(flatten(list(range(f, l + 1)))) AS gone FROM d WHERE c > 1 GROUP BY doc_id)

@@ -15,7 +15,7 @@ def brute(rows, least=10):
     for key in order:
         ls = docs[key]
         full = [i for i, x in enumerate(ls) if re.search(r"[^\x20\x09-\x0D]", x)]
-        for k in (1, 2, 4, 8, 16):
+        for k in range(1, len(full) + 1):
             for o in range(len(full) - k + 1):
                 some = [ls[i] for i in full[o : o + k]]
                 if sum(len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in some) >= least:
