@@ -55,6 +55,15 @@ def test_materialised_rows_hold_what_is_taken(docs):
     assert {k: v for k, v in want.items() if v} == dict(have)
 
 
+def test_materialise_keeps_columns_named_like_helpers(spark):
+    table = [(i if i % 3 else None, f"w{i} x y", "s%d" % (i % 4), 777, f"b{i}", 1.5, i, "t") for i in range(60)]
+    df = spark.createDataFrame(table, "doc_id long, text string, source string, size long, b string, target double, rank int, shards string")
+    rows = {tuple(r) for r in mixing.materialise(df).collect()}
+    assert rows and all(r[3] == 777 and r[4] == f"b{r[6]}" and r[5] == 1.5 and r[7] == "t" for r in rows)
+    got = mixing.mix(df).collect()
+    assert len(got) == 60 and {r.size for r in got} == {3} and {r.b for r in got} == {f"b{i}" for i in range(60)}
+
+
 def test_split_keeps_quotas(spark):
     q = spark.createDataFrame([([17, 0, 5, 120],)], "q array<long>")
     got = mixing.split_quotas(q, 3).collect()
@@ -63,6 +72,11 @@ def test_split_keeps_quotas(spark):
     assert max(sums) - min(sums) <= 1 and min(min(r.q) for r in got) >= 0
 
 
+def test_a_deep_tree_keeps_quotas(spark):
+    got = mixing.split_quotas(spark.createDataFrame([([300, 41, 1],)], "q array<long>"), 8).collect()
+    assert len({r.shard for r in got}) == 256 and [sum(r.q[i] for r in got) for i in range(3)] == [300, 41, 1]
+
+
 def test_draws_follow_the_distribution(spark):
     for total, good, draws in ((10, 4, 5), (500, 180, 250), (7, 7, 3), (5, 0, 2), (2, 1, 1)):
         x = mixing.hypergeometric(F.lit(total), F.lit(good), F.lit(draws), mixing._uniform(F.lit(1), "id"))
