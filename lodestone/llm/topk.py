@@ -1,8 +1,9 @@
 """Exact top-k search: tiled matrix products of queries and shards, partial selection per tile, tree merging.
 
-Vectors are packed into blocks of at most `tile_rows` rows, held as one binary row each. Query blocks are dealt to
-lanes of shards by a key join (a stated query set against all rows, in blocks). A task keeps one running top list for
-each query block it meets, and lists of tasks are merged `fan_in` at a time until one list a query is left.
+Vectors are packed into tiles of at most `tile_rows` rows, held as one binary row each in the narrowest whole numbers that hold them. Tiles of all
+rows are dealt to lanes of about `lane_tiles`; query tiles go to every lane (a stated query set against all rows, in blocks). A cell is a
+query tile in a lane: a task works through one cell after another, and holds the top lists of one query tile. The lists of lanes
+are merged `fan_in` at a time until one list a query is left.
 """
 
 from __future__ import annotations
@@ -16,12 +17,13 @@ from pyspark.sql import functions as F
 
 from .common import prepare
 
-TILE_ROWS = 2048
+TILE_ROWS = 1024
+LANE_TILES = 64
 FAN_IN = 16
 
 
-def _blocks(rows: int):
-    """(id, components as long array) rows -> (ids, dim, components) of up to `rows` vectors."""
+def _blocks(rows: int, prefix: str = ""):
+    """(id, components as long array) rows -> (ids, dim, width, components) of up to `rows` vectors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -31,7 +33,9 @@ def _blocks(rows: int):
             dim = max(h[1].shape[1] for h in held)
             mat = np.concatenate([np.pad(h[1], ((0, 0), (0, dim - h[1].shape[1]))) for h in held])
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array([ids.tobytes()]), pa.array([dim], pa.int32()), pa.array([mat.tobytes()])], ["ids", "dim", "mat"])
+            low, high = mat.min(initial=0), mat.max(initial=0)
+            width = next(w for w in (1, 2, 4, 8) if -(1 << (8 * w - 1)) <= low and high < 1 << (8 * w - 1))
+            return pa.RecordBatch.from_arrays([pa.array([ids.tobytes()]), pa.array([dim], pa.int32()), pa.array([width], pa.int32()), pa.array([mat.astype(f"<i{width}").tobytes()])], [prefix + c for c in ("ids", "dim", "width", "mat")])
 
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -75,15 +79,31 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -scores[at]))][:k]
 
 
+def _matrix(ids: bytes, dim: int, width: int, mat: bytes) -> tuple[np.ndarray, np.ndarray]:
+    ids = np.frombuffer(ids, np.int64)
+    return ids, np.frombuffer(mat, f"<i{width}").reshape(len(ids), dim).astype(np.int64)
+
+
 def _tiles(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists: dict[int, tuple[np.ndarray, list]] = {}
+        cell, qi, q, tops = None, None, None, []
+
+        def lists() -> pa.RecordBatch:
+            n = [len(t[0]) for t in tops]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(sum(n), cell[0], np.int64)), pa.array(np.repeat(qi, n)), pa.array(np.concatenate([t[1] for t in tops])), pa.array(np.concatenate([t[0] for t in tops]))],
+                ["lane", "query_id", "vec_id", "score"],
+            )
+
         for batch in batches:
             for row in batch.to_pylist():
-                qi, vi = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["ids"], np.int64)
-                q = np.frombuffer(row["q_mat"], np.int64).reshape(len(qi), row["q_dim"])
-                v = np.frombuffer(row["mat"], np.int64).reshape(len(vi), row["dim"])
-                _, tops = lists.setdefault(row["q_block"], (qi, [(np.zeros(0, np.int64),) * 2 for _ in qi]))
+                if cell != (row["lane"], row["q_ids"]):
+                    if cell:
+                        yield lists()
+                    cell = row["lane"], row["q_ids"]
+                    qi, q = _matrix(row["q_ids"], row["q_dim"], row["q_width"], row["q_mat"])
+                    tops = [(np.zeros(0, np.int64),) * 2 for _ in qi]
+                vi, v = _matrix(row["ids"], row["dim"], row["width"], row["mat"])
                 s = products(q, v)
                 for i, me in enumerate(qi):
                     line, ids = s[i], vi
@@ -94,14 +114,13 @@ def _tiles(k: int):
                     line, ids = np.concatenate((tops[i][0], line[keep])), np.concatenate((tops[i][1], ids[keep]))
                     at = best(line, ids, k)
                     tops[i] = (line[at], ids[at])
-        for qi, tops in lists.values():
-            n = [len(t[0]) for t in tops]
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qi, n)), pa.array(np.concatenate([t[1] for t in tops])), pa.array(np.concatenate([t[0] for t in tops]))], ["query_id", "vec_id", "score"])
+        if cell:
+            yield lists()
 
     return run
 
 
-def search(vectors: DataFrame, is_query, k: int = 20, scale: int = 64, tile_rows: int = TILE_ROWS, fan_in: int = FAN_IN) -> DataFrame:
+def search(vectors: DataFrame, is_query, k: int = 20, scale: int = 64, tile_rows: int = TILE_ROWS, lane_tiles: int = LANE_TILES, fan_in: int = FAN_IN) -> DataFrame:
     """The k rows of `vectors` (vec_id, embedding) with the highest inner products, for each row where `is_query` holds.
 
     Components become floor(scale * x). Gives query_id, rank (from 1), vec_id, score; ties go to the smaller vec_id; a row is
@@ -113,24 +132,23 @@ def search(vectors: DataFrame, is_query, k: int = 20, scale: int = 64, tile_rows
     ok = F.col("embedding").isNotNull() & F.col("vec_id").isNotNull() & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * F.lit(float(scale))).cast("long"))
     rows = vectors.filter(ok).select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v"), is_query.alias("is_q"))
-    kinds = "ids binary, dim int, mat binary"
-    n_tasks = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    shards = rows.select("vec_id", "v").mapInArrow(_blocks(tile_rows), kinds)
-    asked = rows.filter("is_q").select("vec_id", "v").coalesce(8).mapInArrow(_blocks(tile_rows), kinds)
-    asked = asked.select(F.col("ids").alias("q_ids"), F.col("dim").alias("q_dim"), F.col("mat").alias("q_mat"), F.xxhash64("ids").alias("q_block"))
-    # a lane is a set of shards; every query block goes once to every lane
-    lanes = n_tasks
-    shards = shards.withColumn("lane", F.pmod(F.xxhash64("ids"), F.lit(lanes)).cast("int"))
-    asked = asked.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
-    lists = shards.join(asked, "lane").mapInArrow(_tiles(k), "query_id long, vec_id long, score long")
-    lists = lists.withColumn("part", F.spark_partition_id())
+    n, n_q = rows.agg(F.count(F.lit(1)), F.count_if("is_q")).first()
+    # a lane is a set of tiles; every query tile goes once to every lane
+    lanes = max(1, -(-n // (tile_rows * lane_tiles)), min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // tile_rows)))
+    dealt = rows.repartition(lanes, F.xxhash64("vec_id")) if lanes > 1 else rows
+    shards = dealt.select("vec_id", "v").mapInArrow(_blocks(tile_rows), "ids binary, dim int, width int, mat binary")
+    asked = rows.filter("is_q").select("vec_id", "v").repartition(max(1, -(-n_q // tile_rows)), "vec_id").mapInArrow(_blocks(tile_rows, "q_"), "q_ids binary, q_dim int, q_width int, q_mat binary")
+    shards = shards.withColumn("lane", F.pmod(F.xxhash64("ids"), F.lit(lanes)))
+    asked = asked.withColumn("lane", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long"))))
+    # in a merge join the left row meets all tiles of its lane in turn: a cell
+    cells = asked.hint("merge").join(shards, "lane").select("lane", "q_ids", "q_dim", "q_width", "q_mat", "ids", "dim", "width", "mat")
+    lists = cells.mapInArrow(_tiles(k), "lane long, query_id long, vec_id long, score long")
     order = [F.col("score").desc(), F.col("vec_id").asc()]
-    most = n_tasks
-    while most > fan_in:
-        lists = lists.withColumn("part", F.floor(F.col("part") / F.lit(fan_in)))
-        w = Window.partitionBy("query_id", "part").orderBy(*order)
+    while lanes > fan_in:
+        lists = lists.withColumn("lane", F.floor(F.col("lane") / F.lit(fan_in)))
+        w = Window.partitionBy("query_id", "lane").orderBy(*order)
         lists = lists.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).drop("rank")
-        most = -(-most // fan_in)
+        lanes = -(-lanes // fan_in)
     w = Window.partitionBy("query_id").orderBy(*order)
     ranked = lists.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
