@@ -7,7 +7,8 @@ the distinct signatures in hexadecimal. Two fingerprints are compared by the Jac
 it, so pairs from far-apart length classes are pruned unread.
 
 The next document by doc_id is found without a second copy of the corpus: documents are dealt to ranges of doc_id, each range
-also gets the first document of the range after it, and a task walks its range in order.
+also gets the first document of the range after it, and a task walks its range in order. Ranges begin at the ids that a hash draws, one in
+RANGE_ROWS at most; a task holds two documents at a time, so ranges need no bound.
 """
 
 from __future__ import annotations
@@ -17,15 +18,18 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, settle
+from .common import prepare, settle, tidied
 
 CHAIN = 2
 LIKE = 0.8
+#: Documents in a range, in the mean, on large tables.
+RANGE_ROWS = 16384
 #: Common words of English, German, French and Spanish (our own choice).
 SPOTS = frozenset("the a an is was of to in and it that this with for der die das ein eine ist und den dem nicht mit von zu le la les un une est et de des que qui pour dans el los las una es y en por con del se".split())
 WORD = re.compile(r"[^\W_]+")
@@ -86,6 +90,11 @@ def _walk():
             for part, doc, text, borrowed in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 text = text or ""
                 sigs = signatures(text)
+                if doc is None:
+                    other = edited(text, text)
+                    o = signatures(other)
+                    rows.append((doc, len(text), hashlib.sha256(other.encode()).hexdigest(), fingerprint(sigs), fingerprint(o), likeness(sigs, o), 1.0, len(sigs)))
+                    continue
                 if held is not None and held[0] == part:
                     _, d, t, s, fp = held
                     other = edited(t, text)
@@ -97,32 +106,51 @@ def _walk():
     return run
 
 
-def chained(docs: DataFrame, parts: int) -> DataFrame:
-    """(part, doc_id, text, borrowed) in ranges of doc_id, each ended by the first document of the next range (after the last: of the first)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
-    cuts = docs.select(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)], 10000).alias("c"), F.min("doc_id").alias("first")).first() if parts > 1 else docs.select(F.lit(None).alias("c"), F.min("doc_id").alias("first")).first()
-    first = cuts["first"]
-    cuts = sorted({c for c in (cuts["c"] or []) if c > first}) if first is not None else []  # ids of rows; as many as parts at most
-    own = F.size(F.filter(F.array(*(F.lit(c) for c in cuts)).cast("array<long>"), lambda c: c <= F.col("doc_id")))
-    before = F.when(F.col("doc_id") == F.lit(first), F.lit(len(cuts))).when(F.col("doc_id").isin(cuts), own - 1) if cuts else F.when(F.col("doc_id") == F.lit(first), F.lit(0))
-    places = F.array_compact(F.array(F.struct(own.alias("part"), F.lit(False).alias("borrowed")), F.when(before.isNotNull(), F.struct(before.alias("part"), F.lit(True).alias("borrowed")))))
-    dealt = docs.select("doc_id", "text", F.explode(places).alias("p")).select("p.part", "doc_id", "text", "p.borrowed")
-    # of rows that repeat an id, one stands for the id in the range before
-    return dealt.repartitionByRange(max(1, len(cuts) + 1), "part").sortWithinPartitions("part", "borrowed", "doc_id", "text")
-
-
-def fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
+def chained(docs: DataFrame, rows: int) -> DataFrame:
+    """(part, doc_id, text, borrowed) in ranges of about `rows` documents by doc_id, each ended by the first document of the next range (after the last: of the first). Rows without doc_id are spread over the ranges."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    drawn = F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(rows)) == 0
+    ids = docs.filter("doc_id is not null").agg(F.min("doc_id").alias("first"), F.collect_set(F.when(drawn, F.col("doc_id"))).alias("cuts")).first()
+    # one id in `rows`: the first of each range
+    starts = np.array(sorted({ids["first"], *ids["cuts"]}) if ids["first"] is not None else [], np.int64)
+    held = docs.sparkSession.sparkContext.broadcast(starts)
+
+    @F.pandas_udf("part long, before long")
+    def place(doc: pd.Series) -> pd.DataFrame:
+        at = np.searchsorted(held.value, doc.to_numpy(), "right") - 1
+        begins = held.value[at] == doc.to_numpy()
+        return pd.DataFrame({"part": at, "before": pd.Series(np.where(begins, (at - 1) % len(held.value), -1))})
+
+    spread = F.pmod(F.xxhash64("text"), F.lit(max(1, len(starts))))
+    none = docs.filter("doc_id is null").select(spread.alias("part"), "doc_id", "text", F.lit(False).alias("borrowed"))
+    if not len(starts):
+        return none
+    placed = docs.filter("doc_id is not null").withColumn("p", place("doc_id"))
+    places = F.array_compact(F.array(F.struct(F.col("p.part").alias("part"), F.lit(False).alias("borrowed")), F.when(F.col("p.before") >= 0, F.struct(F.col("p.before").alias("part"), F.lit(True).alias("borrowed")))))
+    dealt = placed.select("doc_id", "text", F.explode(places).alias("q")).select("q.part", "doc_id", "text", "q.borrowed").unionByName(none)
+    # of rows that repeat an id, one stands for the id in the range before; those without id come first
+    return dealt.repartition("part").sortWithinPartitions("part", "borrowed", F.col("doc_id").asc_nulls_first(), "text")
+
+
+def fingerprints(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """fingerprint, edited_fingerprint, near_edited and near_next of every document (doc_id, text), with n_chars (code points), edited_sha256 and the number of signatures.
 
     The edited text has its last quarter replaced by the start of the next document, by ascending doc_id (after the last: the first).
     Null texts are empty: their fingerprint is empty, and alike only to another empty one. A document that is alone
-    is its own next. Rows that repeat a doc_id follow each other by text; rows without doc_id have no place in the
-    order and are left out; an empty table gives no rows; other columns are not read.
+    is its own next. Rows that repeat a doc_id follow each other by text; a row without doc_id has no place in the
+    order and is its own next, too; an empty table gives no rows; other columns are not read.
     """
     spark = prepare(docs.sparkSession)
-    parts = parts or max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), docs.count() // 4000)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = max(1, min(range_rows, docs.count() // (16 * tasks)))  # enough ranges that tasks come out even
     out = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, signatures long"
-    return chained(docs, parts).mapInArrow(_walk(), out)
+    return chained(docs, rows).mapInArrow(tidied(_walk()), out)
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [sorted(signatures(t or "")) for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "s"])
 
 
 def near_pairs(docs: DataFrame, least: float = LIKE) -> DataFrame:
@@ -132,8 +160,8 @@ def near_pairs(docs: DataFrame, least: float = LIKE) -> DataFrame:
     classes of set length of ratio `least`: pairs meet in a class or the one above, and lengths prune before sets are read.
     """
     prepare(docs.sparkSession)
-    sigs = F.udf(lambda t: sorted(signatures(t or "")), "array<long>")
-    sets = docs.select(F.col("doc_id").cast("long").alias("doc_id"), sigs("text").alias("s")).filter((F.size("s") > 0) & F.col("doc_id").isNotNull())
+    sets = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
+    sets = sets.mapInArrow(tidied(_sets), "doc_id long, s array<long>").filter(F.size("s") > 0)
     sets = settle(sets.groupBy("s").agg(F.min("doc_id").alias("id")).withColumn("n", F.size("s")), "sigs")
     head = F.slice("s", F.lit(1), F.col("n") - F.ceil(F.col("n") * least).cast("int") + 1)
     rows = sets.select(F.explode(head).alias("g"), "id", "n").withColumn("band", F.floor(F.log("n") / F.lit(-np.log(least))))
