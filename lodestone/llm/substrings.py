@@ -8,14 +8,17 @@ all through (all repeats), and runs that meet others at an edge. Only distinct r
   shared 50 bytes. Two suffixes are compared by a binary search for their common extension, so in a logarithm of its length;
   extensions of neighbours are then verified byte by byte;
 * windows with i bytes left of the shared place and 200 - i right of it repeat where their suffixes lie in one interval of common
-  extensions of 200 - i bytes or more, and the i bytes before them are equal (two independent hashes).
+  extensions of 200 - i bytes or more, and the i bytes before them are equal (two polynomial hashes of unlike bases).
 
-A place with very many distinct runs (an edge of a passage that fills a share of the corpus) is counted window by window instead.
+Runs are told apart by the smallest hash and a hash of the whole run over another base. If two suffixes with equal hashes have unequal bytes, their
+pool is settled by the windows' own bytes instead. The runs of a place with very many distinct ones (an edge of a passage that fills a
+share of the corpus) do not fit one task; there, windows are told apart by a cryptographic digest, one by one, over all tasks.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -70,18 +73,20 @@ def runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, seed: int
     first = np.flatnonzero(new)
     start, count = at[first], np.diff(np.append(first, len(at)))
     end = start + count - 1 + length
-    return low[first], mix((h[end] - h[start]) * inverse[start] + count.astype(np.uint64)), start, count
+    power2, inverse2 = _powers(n, BASE2)
+    h2 = prefix_hash(data, power2)
+    return low[first], mix((h2[end] - h2[start]) * inverse2[start] + count.astype(np.uint64)), start, count
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        key = batch.column(0).to_numpy()
-        data, offsets = utf8(batch.column(1))
+        key, sub = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        data, offsets = utf8(batch.column(2))
         for i, j in spans(offsets, CHUNK):
             off = offsets[i : j + 1] - offsets[i]
             m, c, start, count = runs(data[offsets[i] : offsets[j]], off)
             doc = np.searchsorted(off, start, "right") - 1
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (m.view(np.int64), c.view(np.int64), key[i + doc], ((start - off[doc]) << 32) | count)], ["m", "c", "key", "pn"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (m.view(np.int64), c.view(np.int64), key[i + doc], sub[i + doc], ((start - off[doc]) << 32) | count)], ["m", "c", "key", "sub", "pn"])
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,7 +95,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, offsets = utf8(batch.column("text"))
         raw = data.data
         text = [z.compress(raw[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(text, pa.binary())], ["doc_id", "key", "z"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "key", "sub")), pa.array(text, pa.binary())], ["doc_id", "key", "sub", "z"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,13 +103,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     z = zstandard.ZstdDecompressor()
     for batch in batches:
         rows = []
-        for key, packed, found in zip(*(batch.column(k).to_pylist() for k in ("key", "z", "found"))):
+        for key, sub, packed, found in zip(*(batch.column(k).to_pylist() for k in ("key", "sub", "z", "found"))):
             text = z.decompress(packed)
             for f in found:
                 p, n = f["pn"] >> 32, f["pn"] & 0xFFFFFFFF
-                rows.append((f["m"], key, p, n, f["k"], f["hot"], text[p : p + n - 1 + LENGTH]))
-        kinds = [pa.int64()] * 5 + [pa.bool_(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [[]] * 7, kinds)], ["m", "key", "p", "n", "k", "hot", "bytes"])
+                rows.append((f["m"], key, sub, p, n, f["k"], f["hot"], text[p : p + n - 1 + LENGTH]))
+        kinds = [pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * 3, pa.bool_(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [[]] * 8, kinds)], ["m", "key", "sub", "p", "n", "k", "hot", "bytes"])
 
 
 class Pool:
@@ -178,6 +183,15 @@ class Pool:
         return True
 
 
+def by_bytes(pieces: list[bytes], m: np.ndarray, windows: np.ndarray, length: int = LENGTH) -> np.ndarray:
+    """What repeated() gives, from the windows' own bytes; equal windows have equal m."""
+    out: list[bool] = []
+    for i, j in zip(cut := np.flatnonzero(np.diff(m, prepend=~m[:1]) != 0), np.append(cut[1:], len(m))):
+        seen = Counter(p[k : k + length] for p, n in zip(pieces[i:j], windows[i:j]) for k in range(n))
+        out += [seen[p[k : k + length]] > 1 for p, n in zip(pieces[i:j], windows[i:j]) for k in range(n)]
+    return np.array(out, bool)
+
+
 def repeated(pieces: list[bytes], m: np.ndarray, windows: np.ndarray, length: int = LENGTH, seed: int = SEED) -> np.ndarray:
     """For runs of `windows` windows each (m ascending, the smallest seed hash): whether each window, in turn, is found in another place of the same pool."""
     pool = Pool(pieces)
@@ -206,7 +220,7 @@ def repeated(pieces: list[bytes], m: np.ndarray, windows: np.ndarray, length: in
         lcp[1:] = np.where(group[1:] == group[:-1], pool.extension(place[1:], place[:-1], np.minimum(room[1:], room[:-1])), -1)
         same = lcp > 0
         if not pool.verified(place[same], place[np.flatnonzero(same) - 1], lcp[same]):
-            raise ArithmeticError("two suffixes have equal hashes and unequal bytes")
+            return by_bytes(pieces, m, windows, length)
     for left in range(length - seed + 1):
         has = np.flatnonzero((place - left >= low) & (place - left <= high))
         if len(has) < 2:
@@ -225,7 +239,7 @@ def repeated(pieces: list[bytes], m: np.ndarray, windows: np.ndarray, length: in
     return out
 
 
-def _intervals(flag: np.ndarray, windows: np.ndarray, key: np.ndarray, p: np.ndarray) -> pa.RecordBatch:
+def _intervals(flag: np.ndarray, windows: np.ndarray, key: np.ndarray, sub: np.ndarray, p: np.ndarray) -> pa.RecordBatch:
     """Flagged windows as byte ranges of their documents."""
     begin = np.concatenate(([0], np.cumsum(windows)))
     edge = np.zeros(len(flag) + 1, bool)
@@ -234,42 +248,41 @@ def _intervals(flag: np.ndarray, windows: np.ndarray, key: np.ndarray, p: np.nda
     first = np.flatnonzero(f[1:-1] & (~f[:-2] | edge[:-1]))
     last = np.flatnonzero(f[1:-1] & (~f[2:] | edge[1:]))
     own = np.searchsorted(begin, first, "right") - 1
-    return pa.RecordBatch.from_arrays([pa.array(key[own]), pa.array(p[own] + first - begin[own]), pa.array(p[own] + last - begin[own] + LENGTH)], ["key", "s", "e"])
+    return pa.RecordBatch.from_arrays([pa.array(key[own]), pa.array(sub[own]), pa.array(p[own] + first - begin[own]), pa.array(p[own] + last - begin[own] + LENGTH)], ["key", "sub", "s", "e"])
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come in order of m; whole groups are put into a pool until it is full."""
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
-        m, key, p, n, k, data = zip(*rows)
+        m, key, sub, p, n, k, data = zip(*rows)
         n, k = np.array(n, np.int64), np.array(k)
         flag = repeated(list(data), np.array(m, np.int64).view(np.uint64), n)
         flag &= np.repeat(k == 1, n)  # the others are known to repeat as a whole
-        return _intervals(flag, n, np.array(key, np.int64), np.array(p, np.int64))
+        return _intervals(flag, n, np.array(key, np.int64), np.array(sub, np.int32), np.array(p, np.int64))
 
     held: list[tuple] = []
     size = 0
     for batch in batches:
-        for row in zip(*(batch.column(k).to_pylist() for k in ("m", "key", "p", "n", "k", "bytes"))):
+        for row in zip(*(batch.column(k).to_pylist() for k in ("m", "key", "sub", "p", "n", "k", "bytes"))):
             if size >= POOL and row[0] != held[-1][0]:
                 held.sort(key=lambda r: r[0] & 0xFFFFFFFFFFFFFFFF)
                 yield solve(held)
                 held, size = [], 0
             held.append(row)
-            size += len(row[5])
+            size += len(row[6])
     if held:
         held.sort(key=lambda r: r[0] & 0xFFFFFFFFFFFFFFFF)
         yield solve(held)
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Two hashes of every window."""
+    """A digest of every window, as two numbers."""
     for batch in batches:
-        for key, p, n, k, data in zip(*(batch.column(c).to_pylist() for c in ("key", "p", "n", "k", "bytes"))):
-            pool = Pool([data])
-            s = np.arange(n)
-            a, b = ((h[s + LENGTH] - h[s]) * i[s] for h, i in ((pool.h, pool.inverse), (pool.h2, pool.inverse2)))
-            yield pa.RecordBatch.from_arrays([pa.array(mix(a).view(np.int64)), pa.array(mix(b).view(np.int64)), pa.array(np.full(n, key)), pa.array(p + s), pa.array(np.full(n, k))], ["a", "b", "key", "p", "k"])
+        for key, sub, p, n, k, data in zip(*(batch.column(c).to_pylist() for c in ("key", "sub", "p", "n", "k", "bytes"))):
+            made = b"".join([hashlib.blake2b(data[i : i + LENGTH], digest_size=16).digest() for i in range(n)])
+            ab = np.frombuffer(made, np.int64).reshape(n, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1]), pa.array(np.full(n, key)), pa.array(np.full(n, sub, np.int32)), pa.array(p + np.arange(n)), pa.array(np.full(n, k))], ["a", "b", "key", "sub", "p", "k"])
 
 
 def _strip(with_text: bool):
@@ -310,33 +323,36 @@ def strip(docs: DataFrame, many: int = MANY, with_text: bool = False) -> DataFra
 
     A byte goes if a 200-byte string over it starts anywhere else, in the same text too; strings are judged on the input and never
     cross documents. Null texts are empty, and texts under 200 bytes lose nothing. Repeated rows repeat each other and go
-    whole; rows with one doc_id are to have one text (rows without doc_id are told apart by their text). An empty table
+    whole; rows of one doc_id with unlike texts are documents each, as are rows without doc_id. An empty table
     gives no rows; other columns are not read.
     """
     spark = prepare(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("key"), text.alias("text"))
-    rec = docs.select("key", "text").mapInArrow(tidied(_runs), "m long, c long, key long, pn long")
+    # a document is a doc_id (or, without one, a hash) and a hash of its text
+    doc = ["key", "sub"]
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("key"), F.hash(text, "doc_id").alias("sub"), text.alias("text"))
+    rec = settle(docs.select(*doc, "text").mapInArrow(tidied(_runs), "m long, c long, key long, sub int, pn long"), "rec")
+    # what is joined with rec is written first: of two plain sides Spark splits the larger where one key is hot
     seen = rec.groupBy("m").agg(F.count(F.lit(1)).alias("t"), F.min("c").alias("c0"), F.max("c").alias("c1")).filter("t > 1")
-    met = settle(rec.join(seen.select("m", (F.col("c0") == F.col("c1")).alias("whole")), "m"), "runs")
+    met = settle(rec.join(settle(seen.select("m", (F.col("c0") == F.col("c1")).alias("whole")), "seen"), "m"), "runs")
     mixed = met.filter("not whole")
-    kinds = mixed.groupBy("m", "c").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("key", "pn")).alias("r"))
-    kinds = settle(kinds.select("m", "c", "k", "r.key", "r.pn"), "kinds")
-    crowd = kinds.groupBy("m").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > many).select("m", F.lit(True).alias("hot"))
-    ask = kinds.join(crowd, "m", "left").groupBy("key").agg(F.collect_list(F.struct("m", "pn", "k", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("found"))
-    packed = docs.mapInArrow(tidied(_packed), "doc_id long, key long, z binary")
-    cut = settle(packed.dropDuplicates(["key"]).join(ask, "key").mapInArrow(tidied(_cut), "m long, key long, p long, n long, k long, hot boolean, bytes binary"), "bytes")
+    kinds = mixed.groupBy("m", "c").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct(*doc, "pn")).alias("r"))
+    kinds = settle(kinds.select("m", "c", "k", "r.key", "r.sub", "r.pn"), "kinds")
+    crowd = settle(kinds.groupBy("m").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > many).select("m", F.lit(True).alias("hot")), "crowd")
+    ask = kinds.join(crowd, "m", "left").groupBy(*doc).agg(F.collect_list(F.struct("m", "pn", "k", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("found"))
+    packed = docs.mapInArrow(tidied(_packed), "doc_id long, key long, sub int, z binary")
+    cut = settle(packed.dropDuplicates(doc).join(ask, doc).mapInArrow(tidied(_cut), "m long, key long, sub int, p long, n long, k long, hot boolean, bytes binary"), "bytes")
     tasks = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    edge = cut.filter("not hot").repartition(tasks, "m").sortWithinPartitions("m").mapInArrow(tidied(_compare), "key long, s long, e long")
-    one = cut.filter("hot").mapInArrow(tidied(_windows), "a long, b long, key long, p long, k long")
-    twice = one.groupBy("a", "b").agg(F.count(F.lit(1)).alias("t")).filter("t > 1").select("a", "b")
-    lone = one.join(twice, ["a", "b"]).filter("k = 1").select("key", F.col("p").alias("s"), (F.col("p") + LENGTH).alias("e"))
+    edge = cut.filter("not hot").repartition(tasks, "m").sortWithinPartitions("m").mapInArrow(tidied(_compare), "key long, sub int, s long, e long")
+    one = settle(cut.filter("hot").mapInArrow(tidied(_windows), "a long, b long, key long, sub int, p long, k long"), "windows")
+    twice = settle(one.groupBy("a", "b").agg(F.count(F.lit(1)).alias("t")).filter("t > 1").select("a", "b"), "twice")
+    lone = one.filter("k = 1").join(twice, ["a", "b"]).select(*doc, F.col("p").alias("s"), (F.col("p") + LENGTH).alias("e"))
     start, count = F.shiftrightunsigned("pn", 32), F.col("pn").bitwiseAND(F.lit(0xFFFFFFFF))
-    whole = met.filter("whole").select("key", "pn").unionByName(mixed.join(kinds.filter("k > 1").select("m", "c"), ["m", "c"]).select("key", "pn"))
-    whole = whole.select("key", start.alias("s"), (start + count + F.lit(LENGTH - 1)).alias("e"))
-    found = whole.unionByName(edge).unionByName(lone).groupBy("key").agg(F.collect_list(F.struct("s", "e")).alias("found"))
+    whole = met.filter("whole").select(*doc, "pn").unionByName(mixed.join(kinds.filter("k > 1").select("m", "c"), ["m", "c"]).select(*doc, "pn"))
+    whole = whole.select(*doc, start.alias("s"), (start + count + F.lit(LENGTH - 1)).alias("e"))
+    found = whole.unionByName(edge).unionByName(lone).groupBy(*doc).agg(F.collect_list(F.struct("s", "e")).alias("found"))
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    return packed.join(found, "key", "left").select("doc_id", "z", "found").mapInArrow(tidied(_strip(with_text)), out)
+    return packed.join(found, doc, "left").select("doc_id", "z", "found").mapInArrow(tidied(_strip(with_text)), out)
 
 
 def op2_substrings(spark, sf_dir: str) -> DataFrame:

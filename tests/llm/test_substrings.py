@@ -31,6 +31,26 @@ def test_equals_brute_force(docs, rows, many):
     assert got == brute(rows)
 
 
+def test_unlike_texts_of_one_doc_id(spark):
+    r = random.Random(6)
+    a, b, c = ("".join(r.choice("abcdefgh ") for _ in range(n)) for n in (400, 900, 300))
+    table = [(1, a), (1, b), (2, "x" + a[50:350]), (3, b[100:700] + c), (None, c), (None, c + "z"), (4, a), (4, a)]
+    got = sorted((tuple(x) for x in substrings.strip(spark.createDataFrame(table, "doc_id long, text string")).collect()), key=str)
+    assert got == brute(table)
+
+
+def test_windows_by_their_bytes_agree():
+    r = random.Random(9)
+    base = bytes(r.choice(b"abcd") for _ in range(500))
+    pieces = [base[10:300], base[20:280], base[100:400], base[10:300], bytes(r.choice(b"ab") for _ in range(260))]
+    data = b"".join(pieces)
+    off = np.concatenate(([0], np.cumsum([len(p) for p in pieces])))
+    m, _, start, count = substrings.runs(np.frombuffer(data, np.uint8), off)
+    order = np.argsort(m, kind="stable")
+    cut = [data[start[i] : start[i] + count[i] + 199] for i in order]
+    assert (substrings.repeated(cut, m[order], count[order]) == substrings.by_bytes(cut, m[order], count[order])).all()
+
+
 def test_kept_bytes(docs):
     for r in substrings.strip(docs, with_text=True).collect():
         assert hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 and len(r.kept) == r.n_bytes - r.n_removed
