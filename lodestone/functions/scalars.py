@@ -89,16 +89,30 @@ def idempotency_key(parts: dict[str, Column]) -> Column:
 
 
 #: Query parameters that only track visits (fixed values).
-TRACKERS = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "gclid", "fbclid", "ref")
+TRACKERS = (
+    "utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "gclid", "fbclid", "yclid", "mc_eid", "mc_cid",
+    "ref", "ref_", "referrer", "spm", "igshid", "mkt_tok", "msclkid", "_hsenc", "_hsmi",
+)
 PORTS = {"http": 80, "https": 443}
 
 
+def ascii_host(host: str) -> str:
+    """Lower case, with labels of other scripts in their ASCII (IDNA) form where they have one."""
+    host = host.lower()
+    if host.isascii():
+        return host
+    try:
+        return host.encode("idna").decode()
+    except UnicodeError:
+        return host
+
+
 def canonical(url: str | None, role: str = "index") -> str | None:
     """Scheme and host in lower case, no default port, no fragment, dot segments resolved, query sorted for the index; trackers dropped for landing pages."""
     if url is None:
         return None
     s = urlsplit(url.strip())
-    scheme, host = s.scheme.lower() or "http", (s.hostname or "").lower()
+    scheme, host = s.scheme.lower() or "http", ascii_host(s.hostname or "")
     try:
         port = s.port
     except ValueError:
@@ -155,12 +169,20 @@ def parse_instant(col) -> Column:
     return F.coalesce(*(F.try_to_timestamp(text, F.lit(f)) for f in ("dd MMM yyyy HH:mm:ss zzz", "yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "yyyyMMdd")))
 
 
+#: Whole licence names, in lower case, and their SPDX identifiers (fixed values).
+LICENCES = {
+    "cc-by": "CC-BY-4.0", "cc by": "CC-BY-4.0", "cc-by-4.0": "CC-BY-4.0", "cc by 4.0": "CC-BY-4.0",
+    "creative commons attribution": "CC-BY-4.0", "creative commons attribution 4.0": "CC-BY-4.0",
+    "cc0": "CC0-1.0", "cc-0": "CC0-1.0", "cc0-1.0": "CC0-1.0", "creative commons zero": "CC0-1.0", "public domain": "CC0-1.0",
+    "apache": "Apache-2.0", "apache 2": "Apache-2.0", "apache 2.0": "Apache-2.0", "apache license": "Apache-2.0", "apache license 2.0": "Apache-2.0",
+}
+
+
 def spdx(col) -> Column:
-    t = F.lower(F.trim(col))
-    return (
-        F.when(t.rlike("cc0|public domain"), "CC0-1.0").when(t.rlike("cc[- ]?by[- ]?sa"), "CC-BY-SA-4.0").when(t.rlike("cc[- ]?by|creative commons attribution"), "CC-BY-4.0")
-        .when(t.rlike("apache"), "Apache-2.0").when(t.rlike("\\bmit\\b"), "MIT").otherwise(col)
-    )
+    """A licence's SPDX identifier where the whole name is a known one; other names stay, with single spaces (CC-BY-... in upper case), so no restriction is lost. Blank is null."""
+    t = F.trim(F.regexp_replace(col, "\\s+", " "))
+    known = F.element_at(F.create_map(*(F.lit(x) for pair in LICENCES.items() for x in pair)), F.lower(t))
+    return F.when(t == "", F.lit(None).cast("string")).otherwise(F.coalesce(known, F.when(F.upper(t).startswith("CC-BY-"), F.upper(t)), t))
 
 
 def media_type(col) -> Column:

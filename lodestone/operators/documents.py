@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from ..functions.scalars import chunk_uuid, tokenize, unescape_html
 
 #: Texts that open a section (fixed values).
-MARKERS = ("#", "Figure", "Fig.", "Table", "Abstract", "References")
+HEADING_MARKERS = ("#",)
+CAPTION_MARKERS = ("Figure caption:", "Table:", "Picture description:", "<!-- image -->")
 
 
 def sliding_windows(docs: DataFrame, size: int, overlap: int, tokens: Column | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -21,8 +22,8 @@ def sliding_windows(docs: DataFrame, size: int, overlap: int, tokens: Column | N
     return t.select(key, "chunk", "start", F.slice("t", F.col("start") + 1, F.lit(size)).alias("tokens")).withColumn("n_tokens", F.size("tokens"))
 
 
-def is_boundary(text) -> Column:
-    return F.exists(F.array(*(F.lit(m) for m in MARKERS)), lambda m: F.startswith(F.ltrim(text), m))
+def is_boundary(text, markers: tuple[str, ...] = HEADING_MARKERS + CAPTION_MARKERS) -> Column:
+    return F.exists(F.array(*(F.lit(m) for m in markers)), lambda m: F.startswith(F.ltrim(text), m))
 
 
 def _words(text: str) -> int:
@@ -133,3 +134,47 @@ def one_per_path(entries: DataFrame, policy: str = "first_wins") -> DataFrame:
     rest = F.struct(*(c for c in entries.columns if c != "relpath"))
     pick = F.min_by if policy == "first_wins" else F.max_by
     return entries.groupBy("relpath").agg(pick(rest, "seq").alias("__v")).select("relpath", "__v.*")
+
+
+def refs_and_pages(chunks: DataFrame) -> DataFrame:
+    """chunks (doc_id, chunk, items: array of (ref, pages)) with refs once each in order, and pages over 0 once each, sorted."""
+    refs = F.array_distinct(F.filter(F.transform("items", lambda x: x["ref"]), lambda r: r.isNotNull() & (r != "")))
+    pages = F.flatten(F.transform("items", lambda x: F.coalesce(x["pages"], F.array().cast("array<string>"))))
+    pages = F.array_sort(F.array_distinct(F.filter(F.transform(pages, lambda p: p.try_cast("int")), lambda p: p > 0)))
+    return chunks.select("doc_id", "chunk", refs.alias("refs"), pages.alias("pages"))
+
+
+def image_summary(chunks: DataFrame) -> DataFrame:
+    """chunks (doc_id, chunk, text, images: array of (captioned, classified, confidence, classes: array of (label, confidence))) with has_caption, has_classification, num_images, the best confidence and the labels."""
+    marked = F.exists(F.array(*(F.lit(m) for m in CAPTION_MARKERS[:3])), lambda m: F.contains(F.col("text"), m)) | F.startswith(F.trim("text"), F.lit(CAPTION_MARKERS[3]))
+    classes = F.flatten(F.transform("images", lambda x: x["classes"]))
+    return chunks.select(
+        "doc_id", "chunk", (marked | F.exists("images", lambda x: x["captioned"])).alias("has_caption"), (F.exists("images", lambda x: x["classified"]) | (F.size(classes) > 0)).alias("has_classification"),
+        F.size("images").alias("num_images"), F.array_max(F.concat(F.transform("images", lambda x: x["confidence"]), F.transform(classes, lambda c: c["confidence"]))).alias("confidence"),
+        F.filter(F.transform(classes, lambda c: c["label"]), lambda x: x.isNotNull()).alias("labels"),
+    )
+
+
+def text_metadata(docs: DataFrame, key: str = "doc_id", text: str = "text", preview: int = 500) -> DataFrame:
+    """The first line as title where it is under 200 characters, and the start of the text."""
+    first = F.trim(F.split(text, "\n", 2)[0])
+    return docs.select(key, F.when(F.length(first) < 200, first).alias("title"), F.substring(text, 1, preview).alias("preview"))
+
+
+def json_metadata(docs: DataFrame, key: str = "doc_id", body: str = "text", preview: int = 500) -> DataFrame:
+    """title (or name), description, keywords and the start of content (or text) of JSON objects; other bodies give nulls."""
+    got = lambda *names: F.coalesce(*(F.nullif(F.get_json_object(body, f"$.{n}"), F.lit("")) for n in names))
+    return docs.select(key, got("title", "name").alias("title"), got("description").alias("description"), F.from_json(F.get_json_object(body, "$.keywords"), "array<string>").alias("keywords"), F.substring(got("content", "text"), 1, preview).alias("preview"))
+
+
+#: Elements that hold no text of the page (fixed values).
+NOT_TEXT = ("script", "style", "noscript", "template", "iframe", "svg", "canvas", "form", "nav", "footer", "aside")
+
+
+def sanitised(html) -> Column:
+    """HTML without comments, elements that hold no text, event handlers and script links."""
+    out = F.regexp_replace(html, "(?s)<!--.*?-->", "")
+    for tag in NOT_TEXT:
+        out = F.regexp_replace(F.regexp_replace(out, f"(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>", ""), f"(?is)</?{tag}\\b[^>]*>", "")
+    out = F.regexp_replace(out, "(?i)\\s+on[a-z]+\\s*=\\s*(\"[^\"]*\"|'[^']*'|[^\\s>]+)", "")
+    return F.regexp_replace(out, "(?i)(href|src)\\s*=\\s*([\"']?)\\s*javascript:[^\"'>\\s]*", "$1=$2#")
