@@ -114,4 +114,5 @@ def tail(events: DataFrame, n: int = 20, level: str | None = None, type_prefix:
         events = events.where(F.col("type").startswith(type_prefix))
     if since is not None:
         events = events.where(F.col("ts") >= F.lit(since).cast("timestamp"))
-    return events.orderBy(F.desc("ts")).limit(n)
+    ties = [c for c in ("run_id", "type", "service", "event_id") if c in events.columns]
+    return events.orderBy(F.desc("ts"), *ties).limit(n)

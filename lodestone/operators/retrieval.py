@@ -1,8 +1,10 @@
 """Hybrid retrieval: lexical, sparse and dense channels, fusion, diversity, shaping, pages.
 
-Postings (doc, term, weight) are plain tables; a batch of queries is the unit, so each channel is one join and one top-k. Filters apply
-before top-k, so no channel fetches more than it needs. Only the greedy steps (diversity, shaping) run in Python, over
-a query's ranked list, whose length the pool bounds.
+Postings (doc, term, count) are dealt by document: texts are shuffled once, unexploded, and counts, lengths, weights, the join with the terms
+of a batch of queries and the sums by (query, document) all keep that partitioning, so what is shuffled on is k rows a query, channel and
+partition. Filters apply before top-k, so no channel fetches more than it needs. Scores are rounded before they are ranked, so equal documents
+tie whatever order their terms are added in. Only the greedy steps (diversity, shaping) run in Python, over a
+query's ranked list, whose length the pool bounds.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import math
 
 import numpy as np
 import pandas as pd
@@ -20,11 +23,25 @@ from ..functions.scalars import tokenize
 
 #: Defaults of a request (fixed values).
 K0, LAMBDA, NEAR_DUPLICATE, PER_DOC, TOKENS, BYTES, POOL, CHANNEL_K = 60.0, 0.6, 0.98, 3, 2000, 32000, 200, 50
+#: Digits that scores are ranked by.
+DIGITS = 9
 
 
 def postings(docs: DataFrame, key: str = "doc_id", text: str = "text", tokens: Column | None = None) -> DataFrame:
-    """(key, term, tf): counts of tokens, combined map side."""
-    return docs.select(key, F.explode(tokens if tokens is not None else tokenize(text)).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    """(key, term, tf): counts of tokens. Texts are dealt by key before they are exploded, so the counts need no shuffle of tokens."""
+    dealt = docs.select(key, text).repartition(key)
+    return dealt.select(key, F.explode(tokens if tokens is not None else tokenize(text)).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def with_lengths(post: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Adds dl (tokens of the document) and top (largest tf)."""
+    w = Window.partitionBy(key)
+    return post.withColumn("dl", F.sum("tf").over(w)).withColumn("top", F.max("tf").over(w))
+
+
+def few(rows: DataFrame, most: int = 1 << 20) -> DataFrame:
+    """Broadcast, if there are `most` rows at most (they are counted); else left to a shuffle."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
 
 
 def term_weights(post: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -52,28 +69,44 @@ def bm25_vectors(post: DataFrame, key: str = "doc_id", k1: float = 1.5, b: float
     return out.where("weight > 0") if positive else out
 
 
-def top_k(scored: DataFrame, k: int, key: str = "doc_id", by: str = "query_id", score: str = "score") -> DataFrame:
+def top_k(scored: DataFrame, k: int, key: str = "doc_id", by: str | list[str] = "query_id", score: str = "score") -> DataFrame:
     """The k best of each query with rank (from 1), by score, then key."""
-    w = Window.partitionBy(by).orderBy(F.col(score).desc(), F.col(key).asc())
+    w = Window.partitionBy(*([by] if isinstance(by, str) else by)).orderBy(F.col(score).desc(), F.col(key).asc())
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 def sparse_search(queries: DataFrame, index: DataFrame, k: int = CHANNEL_K, key: str = "doc_id") -> DataFrame:
     """queries (query_id, term, weight) against index (key, term, weight): dot products over zero."""
-    hits = queries.select("query_id", "term", F.col("weight").alias("__q")).join(index.select(key, "term", F.col("weight").alias("__d")), "term")
-    hits = hits.groupBy("query_id", key).agg(F.sum(F.col("__q") * F.col("__d")).alias("score")).where("score > 0")
+    asked = few(queries.select("query_id", "term", F.col("weight").alias("__q")))
+    hits = index.select(key, "term", F.col("weight").alias("__d")).join(asked, "term")
+    hits = hits.groupBy("query_id", key).agg(F.round(F.sum(F.col("__q") * F.col("__d")), DIGITS).alias("score")).where("score > 0")
     return top_k(hits, k, key)
 
 
 def bm25_search(queries: DataFrame, post: DataFrame, k: int = CHANNEL_K, key: str = "doc_id", k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """Okapi over stored weights 1 + ln(1 + tf); query weights do not count, lengths are token counts."""
-    one, df = corpus_stats(post, key)
-    dl = post.groupBy(key).agg(F.sum("tf").alias("dl"))
-    tf = 1 + F.log1p("tf")
-    rows = queries.select("query_id", "term").distinct().join(post, "term").join(df, "term").join(dl, key).join(F.broadcast(one))  # one row
+    asked = queries.select("query_id", "term").distinct()
+    one, _ = corpus_stats(post, key)
+    # frequencies are wanted of the queries' terms alone
+    df = post.join(few(asked.select("term").distinct()), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    s = idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
-    return top_k(rows.groupBy("query_id", key).agg(F.sum(s).alias("score")).where("score > 0"), k, key)
+    terms = df.join(F.broadcast(one)).select("term", idf.alias("idf"), "avgdl")  # one row
+    asked = asked.join(terms, "term")
+    asked = F.broadcast(asked) if queries.limit((1 << 20) + 1).count() <= 1 << 20 else asked  # a row for each of theirs at most
+    tf = 1 + F.log1p("tf")
+    s = F.col("idf") * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
+    hits = with_lengths(post, key).join(asked, "term").groupBy("query_id", key).agg(F.round(F.sum(s), DIGITS).alias("score"))
+    return top_k(hits.where("score > 0"), k, key)
+
+
+def channels(queries: DataFrame, post: DataFrame, k: int = CHANNEL_K, key: str = "doc_id") -> DataFrame:
+    """(query_id, key, channel, score, rank): the lexical (bm25) and the sparse (splade) channel's k best, both from one pass over one join of postings (query_id or key, term, tf)."""
+    weights = lambda rows, name: term_weights(rows, name).withColumnRenamed("bm25_weight", "b").withColumnRenamed("sparse_weight", "p")
+    asked = few(weights(queries, "query_id").select("query_id", "term", F.col("b").alias("qb"), F.col("p").alias("qp")))
+    sums = weights(post, key).join(asked, "term").groupBy("query_id", key).agg(F.round(F.sum(F.col("qb") * F.col("b")), DIGITS).alias("b"), F.round(F.sum(F.col("qp") * F.col("p")), DIGITS).alias("p"))
+    both = F.array(*(F.struct(F.lit(n).alias("channel"), F.col(c).alias("score")) for n, c in (("bm25", "b"), ("splade", "p"))))
+    hits = sums.select("query_id", key, F.explode(both).alias("c")).select("query_id", key, "c.*").where("score > 0")
+    return top_k(hits, k, key, ["query_id", "channel"])
 
 
 def dot(x, y) -> Column:
@@ -90,25 +123,37 @@ def normalize(x) -> Column:
     return F.when(n > 0, F.transform(x, lambda v: v.cast("double") / n)).otherwise(F.transform(x, lambda v: v.cast("double")))
 
 
+def _unit(rows: list) -> np.ndarray:
+    v = np.vstack(rows).astype(np.float64)
+    return v / np.where((n := np.linalg.norm(v, axis=1, keepdims=True)) > 0, n, 1)
+
+
+def _by_length(ids, vectors) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Ids and unit vectors, by the vectors' length."""
+    size = np.array([len(v) for v in vectors], int)
+    return {n: (np.asarray(ids)[size == n], _unit([v for v, k in zip(vectors, size) if k == n])) for n in np.unique(size).tolist() if n}
+
+
+def _best(ids, q, keys, v, top: int | None, floor: float | None):
+    s = np.round(q @ v.T, DIGITS)
+    for i, qid in enumerate(ids):
+        at = np.arange(len(keys)) if floor is None else np.flatnonzero(s[i] >= floor)
+        if top is not None and len(at) > top:
+            least = np.partition(s[i][at], len(at) - top)[len(at) - top]
+            at = at[s[i][at] >= least]
+            at = at[np.lexsort((keys[at], -s[i][at]))[:top]]
+        if len(at):
+            yield pd.DataFrame({"query_id": np.full(len(at), qid), "key": keys[at], "score": s[i][at]})
+
+
 def _matmul(block, top: int | None, floor: float | None):
-    """Batches of the corpus against the query matrix: the best `top` of each batch, or all over the floor."""
+    """Batches of the corpus against the query matrices: the best `top` of each batch, or all over the floor."""
 
     def run(batches):
-        ids, q = block.value
         for pdf in batches:
-            if not len(pdf):
-                continue
-            v = np.vstack(pdf["vec"].to_numpy()).astype(np.float64)
-            v /= np.where((n := np.linalg.norm(v, axis=1, keepdims=True)) > 0, n, 1)
-            s = q @ v.T
-            keys = pdf["key"].to_numpy()
-            for i, qid in enumerate(ids):
-                at = np.arange(len(keys)) if floor is None else np.flatnonzero(s[i] >= floor)
-                if top is not None and len(at) > top:
-                    least = np.partition(s[i][at], len(at) - top)[len(at) - top]
-                    at = at[s[i][at] >= least]
-                if len(at):
-                    yield pd.DataFrame({"query_id": np.full(len(at), qid), "key": keys[at], "score": s[i][at]})
+            for n, (keys, v) in _by_length(pdf["key"].to_numpy(), list(pdf["vec"])).items():
+                if n in block.value:
+                    yield from _best(*block.value[n], keys, v, top, floor)
 
     return run
 
@@ -119,15 +164,9 @@ def _block_pairs(top: int | None, floor: float | None):
     def run(batches):
         for pdf in batches:
             for r in pdf.itertuples():
-                ids, q = np.array([x["id"] for x in r.q]), np.vstack([x["v"] for x in r.q])
-                keys, v = np.array([x["id"] for x in r.c]), np.vstack([x["v"] for x in r.c])
-                s = q @ v.T
-                for i, qid in enumerate(ids):
-                    at = np.arange(len(keys)) if floor is None else np.flatnonzero(s[i] >= floor)
-                    if top is not None and len(at) > top:
-                        at = at[np.lexsort((keys[at], -s[i][at]))[:top]]
-                    if len(at):
-                        yield pd.DataFrame({"query_id": np.full(len(at), qid), "key": keys[at], "score": s[i][at]})
+                asked, corpus = (_by_length([x["id"] for x in side], [x["v"] for x in side]) for side in (r.q, r.c))
+                for n in asked.keys() & corpus.keys():
+                    yield from _best(*asked[n], *corpus[n], top, floor)
 
     return run
 
@@ -136,15 +175,15 @@ def dense_search(queries: DataFrame, vectors: DataFrame, k: int | None = CHANNEL
     """Cosine top-k (or range, with `floor`) of queries (query_id, vector) over all vectors, as block products in Arrow batches.
 
     Up to `most_queries` queries are one block that is broadcast: their number is checked first. Beyond it, blocks of
-    queries meet blocks of the corpus by a join on the corpus block.
+    queries meet blocks of the corpus by a join on the corpus block. Vectors that are null, empty or of another length than the query's take no
+    part. With a floor and a k, both hold; with a floor alone, all rows over it are ranked.
     """
+    queries = queries.where(F.size("vector") > 0)
     rows = queries.select("query_id", "vector").limit(most_queries + 1).collect()
-    corpus = vectors.select(F.col(key).cast("long").alias("key"), F.col(vec).alias("vec")).where(F.col("vec").isNotNull())
+    corpus = vectors.select(F.col(key).cast("long").alias("key"), F.col(vec).alias("vec")).where(F.size("vec") > 0)
     kinds = "query_id long, key long, score double"
     if len(rows) <= most_queries:
-        q = np.array([r["vector"] for r in rows], np.float64) if rows else np.zeros((0, 1))
-        q /= np.where((n := np.linalg.norm(q, axis=1, keepdims=True)) > 0, n, 1)
-        sent = vectors.sparkSession.sparkContext.broadcast((np.array([r["query_id"] for r in rows], np.int64), q))
+        sent = vectors.sparkSession.sparkContext.broadcast(_by_length([r["query_id"] for r in rows], [r["vector"] for r in rows]))
         hits = corpus.mapInPandas(_matmul(sent, k, floor), kinds)
     else:
         nq, nc = -(-queries.count() // block), max(1, -(-corpus.count() // block))
@@ -156,13 +195,26 @@ def dense_search(queries: DataFrame, vectors: DataFrame, k: int | None = CHANNEL
     return top_k(hits.withColumnRenamed("key", key), k if k is not None else (1 << 31) - 2, key)
 
 
+def range_search(queries: DataFrame, vectors: DataFrame, least: float, limit: int | None = None, k: int = CHANNEL_K, key: str = "vec_id", vec: str = "embedding") -> DataFrame:
+    """Rows with a cosine of `least` or more, best first, `limit` of them at most; a query that has none gets its k best instead (fell_back)."""
+    over = dense_search(queries, vectors, limit, least, key, vec)
+    none = queries.join(over.select("query_id").distinct(), "query_id", "left_anti")
+    best = dense_search(none, vectors, k if limit is None else min(k, limit), None, key, vec)
+    return over.withColumn("fell_back", F.lit(False)).unionByName(best.withColumn("fell_back", F.lit(True)))
+
+
+def adaptive_k(k: int, live: int, oversample: float = 2.0, most: int = 10_000) -> int:
+    """How many rows a channel reads for a page of k: more than asked for, within the rows there are."""
+    return max(1, min(int(math.ceil(k * oversample)), live, most))
+
+
 def rrf(channels: list[tuple[DataFrame, float]], k0: float = K0, key: str = "doc_id") -> DataFrame:
     """Reciprocal rank fusion: sum of weight / (k0 + rank), and the fused rank."""
     rows = None
     for df, w in channels:
         part = df.select("query_id", key, (F.lit(w) / (k0 + F.col("rank"))).alias("part"))
         rows = part if rows is None else rows.unionByName(part)
-    fused = rows.groupBy("query_id", key).agg(F.sum("part").alias("score"))
+    fused = rows.groupBy("query_id", key).agg(F.round(F.sum("part"), DIGITS + 3).alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(key).asc())
     return fused.withColumn("fused_rank", F.row_number().over(w))
 
@@ -195,7 +247,9 @@ def mmr(ranked: DataFrame, lam: float = LAMBDA, k: int = 10, pool: int = POOL, k
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rank").reset_index(drop=True)
-        order = mmr_order(pdf["score"].to_numpy(float), np.vstack(pdf["vector"].to_numpy()).astype(float), lam, k)
+        size = max((len(v) for v in pdf["vector"] if v is not None), default=1)
+        vectors = np.vstack([np.asarray(v, float) if v is not None and len(v) == size else np.zeros(size) for v in pdf["vector"]])
+        order = mmr_order(pdf["score"].to_numpy(float), vectors, lam, k)
         return pd.DataFrame({"query_id": pdf["query_id"].iloc[order], key: pdf[key].iloc[order], "score": pdf["score"].iloc[order], "mmr_rank": range(1, len(order) + 1)})
 
     return cut.groupBy("query_id").applyInPandas(run, f"query_id long, {key} long, score double, mmr_rank int")
@@ -306,13 +360,30 @@ def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return old.join(new.select(key), key, "left_anti").unionByName(new)
 
 
-def hybrid(queries: DataFrame, docs: DataFrame, k: int = 10, channel_k: int = CHANNEL_K, tokens: Column | None = None, q_tokens: Column | None = None) -> DataFrame:
-    """queries (query_id, text) over docs (doc_id, text): lexical and sparse channels, fused, best k with ranks by (-score, doc_id)."""
-    d = term_weights(postings(docs, tokens=tokens))
-    q = term_weights(postings(queries, "query_id", tokens=q_tokens), "query_id")
-    lexical = sparse_search(q.select("query_id", "term", F.col("bm25_weight").alias("weight")), d.select("doc_id", "term", F.col("bm25_weight").alias("weight")), channel_k)
-    sparse = sparse_search(q.select("query_id", "term", F.col("sparse_weight").alias("weight")), d.select("doc_id", "term", F.col("sparse_weight").alias("weight")), channel_k)
-    return rrf([(lexical, 1.0), (sparse, 1.0)]).where(F.col("fused_rank") <= k)
+def hybrid(
+    queries: DataFrame, docs: DataFrame, k: int = 10, channel_k: int = CHANNEL_K, tokens: Column | None = None, q_tokens: Column | None = None,
+    filters: dict | None = None, vectors: DataFrame | None = None, weights: tuple[float, float, float] = (1.0, 1.0, 1.0), diversify: bool = False, pool: int = POOL,
+) -> DataFrame:
+    """queries (query_id, text) over docs (doc_id, text): lexical, sparse and, with vectors (doc_id, vector; queries have a vector too), dense channels, fused, best k with ranks by (-score, doc_id).
+
+    `filters` match columns of docs, and hold in all channels before any is cut; without them all vectors are those of docs. With `diversify` the best `pool` fused rows are put in order of maximal marginal
+    relevance (mmr_rank), by their vectors; rows without a vector are as if unlike any other.
+    """
+    if filters:
+        docs = docs.where(matches({c: F.col(c) for c in docs.columns}, filters))
+    post = postings(docs, tokens=tokens)
+    hits = channels(postings(queries, "query_id", tokens=q_tokens), post, channel_k)
+    parts = [(hits.where(F.col("channel") == n), w) for n, w in (("bm25", weights[0]), ("splade", weights[1]))]
+    if vectors is not None:
+        vectors = vectors.select("doc_id", "vector")
+        if filters:
+            vectors = vectors.join(docs.select("doc_id"), "doc_id", "left_semi")
+        parts.append((dense_search(queries, vectors, channel_k, key="doc_id", vec="vector"), weights[2]))
+    fused = rrf(parts)
+    if not diversify:
+        return fused.where(F.col("fused_rank") <= k)
+    best = fused.where(F.col("fused_rank") <= pool).join(vectors, "doc_id", "left")
+    return mmr(best, k=k, pool=pool)
 
 
 def recall_at(found: DataFrame, truth: DataFrame, k: int, key: str = "vec_id") -> DataFrame:
@@ -354,8 +425,11 @@ def hash_embedding(dim: int = 2560):
 def partition_vectors(vectors: DataFrame, cells: int = 16, seed: int = 0, key: str = "vec_id", vec: str = "embedding", sample: int = 50_000):
     """An inverted file: centroids from a bounded sample of `sample` rows by Lloyd's steps, and every row with its cell. Gives (centroids, rows)."""
     rows = vectors.where(F.col(vec).isNotNull())
-    some = rows.orderBy(F.xxhash64(F.lit(seed), key)).limit(sample).select(normalize(vec).alias("v")).collect()
-    x = np.array([r["v"] for r in some])
+    # the sample is held to `sample` rows and 16 million numbers
+    dim = rows.select(F.size(vec)).first()
+    most = max(cells, min(sample, (16 << 20) // max(1, dim[0] if dim else 1)))
+    some = rows.orderBy(F.xxhash64(F.lit(seed), key)).limit(most).select(F.col(vec).cast("array<double>").alias("v")).toArrow()
+    x = _unit([np.asarray(v) for v in some["v"].to_pylist()]) if some.num_rows else np.zeros((0, 1))
     c = x[np.random.default_rng(seed).permutation(len(x))[:cells]].copy()
     for _ in range(10):
         near = (x @ c.T).argmax(1)
@@ -380,9 +454,15 @@ def probe_search(queries: DataFrame, centroids: np.ndarray, rows: DataFrame, k:
     def near(v: pd.Series) -> pd.Series:
         return pd.Series(list(np.argsort(-(np.vstack(v.to_numpy()) @ b.value.T), axis=1)[:, :probes].astype(np.int32)))
 
-    q = queries.select("query_id", normalize("vector").alias("__q"), F.explode(near(F.col("vector"))).alias("cell"))
-    hits = q.join(rows.select(F.col(key), normalize(vec).alias("__v"), "cell"), "cell").select("query_id", key, dot("__q", "__v").alias("score"))
-    return top_k(hits, k, key)
+    q = queries.where(F.size("vector") > 0).select("query_id", F.col("vector").alias("__q"), F.explode(near(F.col("vector"))).alias("cell"))
+
+    def score(batches):
+        for pdf in batches:
+            s = np.einsum("ij,ij->i", _unit(list(pdf["__q"])), _unit(list(pdf["__v"]))) if len(pdf) else np.zeros(0)
+            yield pd.DataFrame({"query_id": pdf["query_id"], "key": pdf["key"], "score": np.round(s, DIGITS)})
+
+    hits = q.join(rows.select(F.col(key).cast("long").alias("key"), F.col(vec).alias("__v"), "cell"), "cell").select("query_id", "key", "__q", "__v")
+    return top_k(hits.mapInPandas(score, "query_id long, key long, score double").withColumnRenamed("key", key), k, key)
 
 
 def reservoir(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:

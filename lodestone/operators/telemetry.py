@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -149,9 +151,15 @@ def run_summary(a: DataFrame) -> DataFrame:
 
 
 def ema(rows: DataFrame, key: str, order: str, value: str, alpha: float = 0.2, start: float = 0.75) -> DataFrame:
-    """Exponential mean by key in order, held within 0.001 and 1. An ordered fold over each key's values."""
+    """Exponential mean by key in order, held within 0.001 and 1.
+
+    An ordered fold over each key's last values: each step shrinks what came before by 1 - alpha (the bounds never widen it), so those
+    further back than `n` weigh less than a double's last digit, and no key's rows are gathered whole.
+    """
+    n = max(1, math.ceil(math.log(1e-18) / math.log1p(-alpha))) if alpha < 1 else 1
+    last = rows.withColumn("__r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(order)))).where(F.col("__r") <= n)
     folded = F.aggregate(F.transform(F.sort_array(F.collect_list(F.struct(order, value))), lambda s: s[value].cast("double")), F.lit(start), lambda m, x: F.greatest(F.lit(0.001), F.least(F.lit(1.0), alpha * x + (1 - alpha) * m)))
-    return rows.groupBy(key).agg(folded.alias("ema"))
+    return last.groupBy(key).agg(folded.alias("ema"))
 
 
 def state_of(events: DataFrame, ranks: dict[str, int]) -> DataFrame:
