@@ -87,7 +87,7 @@ def extract_summary(s, d):
     return observability.get_query("extract_summary")(view(s, d, "obs")).withColumn("avg_duration_ms", F.round("avg_duration_ms", 6))
 
 
-@query("""SELECT ts, type, service, run_id FROM @obs WHERE level = 'ERROR' AND starts_with(type, 'fetch') AND ts >= TIMESTAMP '2024-01-20' ORDER BY ts DESC LIMIT 25""")
+@query("""SELECT ts, type, service, run_id FROM @obs WHERE level = 'ERROR' AND starts_with(type, 'fetch') AND ts >= TIMESTAMP '2024-01-20' ORDER BY ts DESC, run_id, type, service, event_id LIMIT 25""")
 def events_tail(s, d):
     return observability.tail(view(s, d, "obs"), 25, "ERROR", "fetch", "2024-01-20").select("ts", "type", "service", "run_id")
 
@@ -431,12 +431,16 @@ def bandwidth_window(s, d):
     return telemetry.bandwidth(view(s, d, "http").withColumnRenamed("elapsed_ms", "bytes"), 3600).select("event_id", "recent_bytes")
 
 
-@query()
+@query("""SELECT source, round(list_reduce(list_prepend(0.75::DOUBLE, list(CASE WHEN outcome = 'success' THEN 1 ELSE 0 END::DOUBLE ORDER BY event_id)), lambda m, x: greatest(0.001::DOUBLE, least(1::DOUBLE, 0.2::DOUBLE * x + 0.8::DOUBLE * m))), 9) AS ema FROM @attempts GROUP BY source""")
 def pass_rate_ema(s, d):
-    return telemetry.ema(view(s, d, "attempts").withColumn("win", (F.col("outcome") == "success").cast("double")), "source", "event_id", "win")
+    e = telemetry.ema(view(s, d, "attempts").withColumn("win", (F.col("outcome") == "success").cast("double")), "source", "event_id", "win")
+    return e.withColumn("ema", F.round("ema", 9))
 
 
-@query()
+_COUNTS = "(SELECT run_id, '{{' || string_agg('\"' || k || '\":' || n, ',' ORDER BY k) || '}}' AS j FROM (SELECT run_id, {0} AS k, count(*) AS n FROM @attempts GROUP BY 1, 2) GROUP BY 1)"
+
+
+@query(f"""SELECT o.run_id AS run_id, '{{"outcome":' || o.j || ',"reason":' || r.j || ',"source":' || s.j || '}}' AS record FROM {_COUNTS.format("outcome")} o JOIN {_COUNTS.format("reason")} r ON o.run_id = r.run_id JOIN {_COUNTS.format("source")} s ON o.run_id = s.run_id""")
 def run_summary(s, d):
     return telemetry.run_summary(view(s, d, "attempts"))
 
@@ -471,78 +475,115 @@ def term_statistics(s, d):
     return post.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
 
 
-@query(f"WITH {_POST} SELECT doc_id, count(*) AS terms, round(sum(1 + ln(1 + tf)), 6) AS bm25_mass, round(sum(ln(1 + tf) * (0.5 + tf / m)), 6) AS sparse_mass FROM (SELECT *, max(tf) OVER (PARTITION BY doc_id)::DOUBLE AS m FROM d) GROUP BY doc_id")
+@query(f"WITH {_POST} SELECT doc_id, term, tf, round(1 + ln(1 + tf), 6) AS bm25_weight, round(ln(1 + tf) * (0.5 + tf / m), 6) AS sparse_weight FROM (SELECT *, max(tf) OVER (PARTITION BY doc_id)::DOUBLE AS m FROM d)")
 def term_weights(s, d):
     post, _ = _both(s, d)
-    return retrieval.term_weights(post).groupBy("doc_id").agg(F.count(F.lit(1)).alias("terms"), F.round(F.sum("bm25_weight"), 6).alias("bm25_mass"), F.round(F.sum("sparse_weight"), 6).alias("sparse_mass"))
+    return retrieval.term_weights(post).select("doc_id", "term", "tf", F.round("bm25_weight", 6).alias("bm25_weight"), F.round("sparse_weight", 6).alias("sparse_weight"))
 
 
 @query(f"""WITH {_POST}, l AS (SELECT doc_id, sum(tf)::DOUBLE AS dl FROM d GROUP BY 1), n AS (SELECT count(*)::DOUBLE AS n, avg(dl) AS a FROM l), f AS (SELECT term, count(*)::DOUBLE AS df FROM d GROUP BY 1)
-  SELECT doc_id, count(*) AS terms, round(sum(w), 4) AS mass FROM (SELECT doc_id, ln((n - df + 0.5) / (df + 0.5) + 1) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / a)) AS w FROM d JOIN l USING (doc_id) JOIN f USING (term), n) WHERE w > 0 GROUP BY doc_id""")
+  SELECT doc_id, term, round(w, 6) AS weight FROM (SELECT doc_id, term, ln((n - df + 0.5) / (df + 0.5) + 1) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / a)) AS w FROM d JOIN l USING (doc_id) JOIN f USING (term), n) WHERE w > 0""")
 def bm25_vectors(s, d):
     post, _ = _both(s, d)
-    return retrieval.bm25_vectors(post).groupBy("doc_id").agg(F.count(F.lit(1)).alias("terms"), F.round(F.sum("weight"), 4).alias("mass"))
+    return retrieval.bm25_vectors(post).select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
 @query(f"""WITH {_POST}, l AS (SELECT doc_id, sum(tf)::DOUBLE AS dl FROM d GROUP BY 1), n AS (SELECT count(*)::DOUBLE AS n, avg(dl) AS a FROM l), f AS (SELECT term, count(*)::DOUBLE AS df FROM d GROUP BY 1),
-  s AS (SELECT query_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * (1 + ln(1 + d.tf)) * 2.2 / (1 + ln(1 + d.tf) + 1.2 * (0.25 + 0.75 * dl / a))), 6) AS score FROM q JOIN d USING (term) JOIN f USING (term) JOIN l USING (doc_id), n GROUP BY 1, 2)
-  SELECT query_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS r FROM s WHERE score > 0) WHERE r <= 10""")
+  s AS (SELECT query_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * (1 + ln(1 + d.tf)) * 2.2 / (1 + ln(1 + d.tf) + 1.2 * (0.25 + 0.75 * dl / a))), 9) AS score FROM q JOIN d USING (term) JOIN f USING (term) JOIN l USING (doc_id), n GROUP BY 1, 2)
+  SELECT query_id, doc_id, CAST(r AS INTEGER) AS rank, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS r FROM s WHERE score > 0) WHERE r <= 10""")
 def bm25_search(s, d):
     post, asked = _both(s, d)
-    return retrieval.bm25_search(asked, post, 10).select("query_id", F.round("score", 6).alias("score"))
+    return retrieval.bm25_search(asked, post, 10).select("query_id", "doc_id", "rank", F.round("score", 6).alias("score"))
 
 
 _CHANNELS = f"""{_POST}, dw AS (SELECT *, 1 + ln(1 + tf) AS b, ln(1 + tf) * (0.5 + tf / max(tf) OVER (PARTITION BY doc_id)::DOUBLE) AS p FROM d), qw AS (SELECT *, 1 + ln(1 + tf) AS b, ln(1 + tf) * (0.5 + tf / max(tf) OVER (PARTITION BY query_id)::DOUBLE) AS p FROM q),
-  s AS (SELECT query_id, doc_id, sum(qw.b * dw.b) AS b, sum(qw.p * dw.p) AS p FROM qw JOIN dw USING (term) GROUP BY 1, 2)"""
+  s AS (SELECT query_id, doc_id, round(sum(qw.b * dw.b), 9) AS b, round(sum(qw.p * dw.p), 9) AS p FROM qw JOIN dw USING (term) GROUP BY 1, 2)"""
 
 
-@query(f"WITH {_CHANNELS} SELECT query_id, round(p, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY p DESC, doc_id) AS r FROM s WHERE p > 0) WHERE r <= 10")
+@query(f"WITH {_CHANNELS} SELECT query_id, doc_id, CAST(r AS INTEGER) AS rank, round(p, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY p DESC, doc_id) AS r FROM s WHERE p > 0) WHERE r <= 10")
 def sparse_search(s, d):
     post, asked = _both(s, d)
     w = lambda x, k: retrieval.term_weights(x, k).select(k, "term", F.col("sparse_weight").alias("weight"))
-    return retrieval.sparse_search(w(asked, "query_id"), w(post, "doc_id"), 10).select("query_id", F.round("score", 6).alias("score"))
+    return retrieval.sparse_search(w(asked, "query_id"), w(post, "doc_id"), 10).select("query_id", "doc_id", "rank", F.round("score", 6).alias("score"))
 
 
-@query(f"WITH {_CHANNELS} SELECT query_id, round(b, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY b DESC, doc_id) AS r FROM s WHERE b > 0) WHERE r <= 10")
+@query(f"WITH {_CHANNELS} SELECT query_id, doc_id, CAST(r AS INTEGER) AS rank, round(b, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY b DESC, doc_id) AS r FROM s WHERE b > 0) WHERE r <= 10")
 def compat_search(s, d):
     post, asked = _both(s, d)
     w = lambda x, k: retrieval.term_weights(x, k).select(k, "term", F.col("bm25_weight").alias("weight"))
-    return retrieval.sparse_search(w(asked, "query_id"), w(post, "doc_id"), 10).select("query_id", F.round("score", 6).alias("score"))
+    return retrieval.sparse_search(w(asked, "query_id"), w(post, "doc_id"), 10).select("query_id", "doc_id", "rank", F.round("score", 6).alias("score"))
+
+
+_DOT = "list_sum(list_transform(range(1, len(q.embedding) + 1), lambda i: q.embedding[i]::DOUBLE * c.embedding[i]::DOUBLE))"
+_NORM = "sqrt(list_sum(list_transform({0}.embedding, lambda x: x::DOUBLE * x::DOUBLE)))"
+_COS = f"round({_DOT} / ({_NORM.format('q')} * {_NORM.format('c')}), 9)"
+
+
+def _asked(s, d):
+    """The benchmark's items with the vectors of their numbers, the documents, and the documents' vectors."""
+    v = view(s, d, "embeddings")
+    items = view(s, d, "benchmark").withColumnRenamed("item_id", "query_id")
+    items = items.join(v.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector")), "query_id", "left")
+    docs = view(s, d, "documents")
+    return items, docs, v.select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vector")).join(docs.select("doc_id"), "doc_id", "left_semi")
+
+
+_SOME_LANGS = "lang IN ('en', 'fr')"
+
 
+def _fused(ranks: str, where: str, dense: bool) -> str:
+    """SQL of the channels' ranks within `where`, and of their fusion."""
+    third = f""", v AS (SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY x DESC, doc_id) AS r FROM (SELECT q.vec_id AS query_id, c.vec_id AS doc_id, {_COS} AS x FROM embeddings q, embeddings c
+      WHERE q.vec_id IN (SELECT item_id FROM benchmark) AND c.vec_id IN (SELECT doc_id FROM documents WHERE {where})))""" if dense else ""
+    return f"""{ranks}, k AS (SELECT * FROM s WHERE doc_id IN (SELECT doc_id FROM documents WHERE {where})),
+  r AS (SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY b DESC, doc_id) AS r FROM k WHERE b > 0 UNION ALL SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY p DESC, doc_id) FROM k WHERE p > 0){third},
+  f AS (SELECT query_id, doc_id, round(sum(1 / (60.0::DOUBLE + r)), 12) AS score FROM ({"SELECT * FROM r UNION ALL SELECT * FROM v" if dense else "SELECT * FROM r"}) WHERE r <= 50 GROUP BY 1, 2),
+  g AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS fused_rank FROM f)"""
 
-@query(f"""WITH {_CHANNELS}, r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(b, 9) DESC, doc_id) AS rb, row_number() OVER (PARTITION BY query_id ORDER BY round(p, 9) DESC, doc_id) AS rp FROM s),
-  f AS (SELECT query_id, doc_id, coalesce(CASE WHEN rb <= 50 THEN 1 / (60.0::DOUBLE + rb) END, 0) + coalesce(CASE WHEN rp <= 50 THEN 1 / (60.0::DOUBLE + rp) END, 0) AS score FROM r WHERE rb <= 50 OR rp <= 50)
-  SELECT query_id, round(score, 9) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS k FROM f) WHERE k <= 10""")
+
+@query(f"WITH {_fused(_CHANNELS, 'true', True)} SELECT query_id, doc_id, fused_rank, round(score, 9) AS score FROM g WHERE fused_rank <= 10")
 def hybrid_search(s, d):
-    post, asked = _both(s, d)
+    items, docs, vectors = _asked(s, d)
+    found = retrieval.hybrid(items, docs, tokens=ascii_tokens(), q_tokens=ascii_tokens(), vectors=vectors)
+    return found.select("query_id", "doc_id", "fused_rank", F.round("score", 9).alias("score"))
 
-    def channel(col):
-        w = lambda x, k: retrieval.term_weights(x, k).select(k, "term", F.col(col).alias("weight"))
-        hits = w(asked, "query_id").withColumnRenamed("weight", "qw").join(w(post, "doc_id"), "term")
-        hits = hits.groupBy("query_id", "doc_id").agg(F.round(F.sum(F.col("qw") * F.col("weight")), 9).alias("score"))
-        return retrieval.top_k(hits.where("score > 0"), 50)
 
-    fused = retrieval.rrf([(channel("bm25_weight"), 1.0), (channel("sparse_weight"), 1.0)])
-    return fused.where("fused_rank <= 10").select("query_id", F.round("score", 9).alias("score"))
+@query(f"WITH {_fused(_CHANNELS, _SOME_LANGS, True)} SELECT query_id, doc_id, fused_rank, round(score, 9) AS score FROM g WHERE fused_rank <= 10")
+def hybrid_filtered(s, d):
+    items, docs, vectors = _asked(s, d)
+    found = retrieval.hybrid(items, docs, tokens=ascii_tokens(), q_tokens=ascii_tokens(), vectors=vectors, filters={"lang": ["en", "fr"]})
+    return found.select("query_id", "doc_id", "fused_rank", F.round("score", 9).alias("score"))
 
 
-_DOT = "list_sum(list_transform(range(1, len(q.embedding) + 1), lambda i: q.embedding[i]::DOUBLE * c.embedding[i]::DOUBLE))"
-_NORM = "sqrt(list_sum(list_transform({0}.embedding, lambda x: x::DOUBLE * x::DOUBLE)))"
+@query()
+def hybrid_diverse(s, d):
+    items, docs, vectors = _asked(s, d)
+    return retrieval.hybrid(items, docs, tokens=ascii_tokens(), q_tokens=ascii_tokens(), vectors=vectors, diversify=True)
 
 
-@query(f"""WITH s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, round({_DOT} / ({_NORM.format("q")} * {_NORM.format("c")}), 9) AS score FROM embeddings q, embeddings c WHERE q.vec_id % 100 = 0)
-  SELECT query_id, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s) WHERE r <= 10""")
+@query(f"""WITH s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, {_COS} AS score FROM embeddings q, embeddings c WHERE q.vec_id % 100 = 0)
+  SELECT query_id, vec_id, CAST(r AS INTEGER) AS rank, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s) WHERE r <= 10""")
 def dense_search(s, d):
     v = view(s, d, "embeddings")
     asked = v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
-    return retrieval.dense_search(asked, v, 10).select("query_id", F.round("score", 6).alias("score"))
+    return retrieval.dense_search(asked, v, 10).select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"))
+
+
+@query(f"""WITH s AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r, max(score) OVER (PARTITION BY query_id) >= 0.999 AS met FROM
+  (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, {_COS} AS score FROM embeddings q, embeddings c WHERE q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id))
+  SELECT query_id, vec_id, CAST(r AS INTEGER) AS rank, round(score, 6) AS score, NOT met AS fell_back FROM s WHERE r <= CASE WHEN met THEN 40 ELSE 5 END AND (score >= 0.999 OR NOT met)""")
+def range_fallback(s, d):
+    v = view(s, d, "embeddings")
+    asked = v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    found = retrieval.range_search(asked, v.join(asked.select(F.col("query_id").alias("vec_id")), "vec_id", "left_anti"), 0.999, 40, 5)
+    return found.select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"), "fell_back")
 
 
-@query(f"SELECT q.vec_id AS query_id, count(*) AS n FROM embeddings q, embeddings c WHERE q.vec_id % 100 = 0 AND {_DOT} / ({_NORM.format('q')} * {_NORM.format('c')}) >= 0.5 GROUP BY 1")
+@query(f"SELECT query_id, vec_id, CAST(r AS INTEGER) AS rank, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, {_COS} AS score FROM embeddings q, embeddings c WHERE q.vec_id % 100 = 0) WHERE score >= 0.5)")
 def range_search(s, d):
     v = view(s, d, "embeddings")
     asked = v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
-    return retrieval.dense_search(asked, v, None, 0.5).groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
+    return retrieval.dense_search(asked, v, None, 0.5).select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"))
 
 
 @query()
@@ -573,20 +614,20 @@ def metadata_filter(s, d):
     return docs.where(retrieval.matches({"source": F.col("source"), "lang": F.col("lang")}, {"source": ["src1", "src2"], "lang": "en"})).select("doc_id")
 
 
-@query("SELECT doc_id, len(list_filter(['the', 'der', 'loser'], lambda t: contains(lower(text), t))) AS n FROM documents")
+@query("SELECT doc_id, array_to_string(list_filter(['the', 'der', 'loser'], lambda t: contains(lower(text), t)), ' ') AS found FROM documents")
 def highlights(s, d):
     toks = F.array(F.lit("the"), F.lit("der"), F.lit("loser"))
-    return view(s, d, "documents").select("doc_id", F.size(retrieval.highlight(toks, F.col("text"))).cast("long").alias("n"))
+    return view(s, d, "documents").select("doc_id", F.array_join(retrieval.highlight(toks, F.col("text")), " ").alias("found"))
 
 
 # --- documents
 
 
-@query(f"""WITH t AS (SELECT doc_id, {_TOKENS} AS t FROM documents), w AS (SELECT doc_id, unnest(range(0, len(t), 150)) AS s, len(t) AS n FROM t WHERE len(t) > 0)
-  SELECT doc_id, count(*) AS windows, CAST(sum(least(n - s, 200)) AS BIGINT) AS tokens FROM w GROUP BY doc_id""")
+@query(f"""WITH t AS (SELECT doc_id, {_TOKENS} AS t FROM documents), w AS (SELECT doc_id, unnest(range(0, len(t), 150)) AS s, t FROM t WHERE len(t) > 0)
+  SELECT doc_id, CAST(s // 150 AS INTEGER) AS chunk, CAST(s AS INTEGER) AS start, CAST(least(len(t) - s, 200) AS INTEGER) AS n_tokens, array_to_string(t[s + 1:s + 200], ' ') AS tokens FROM w""")
 def sliding_windows(s, d):
     w = documents.sliding_windows(view(s, d, "documents"), 200, 50, ascii_tokens())
-    return w.groupBy("doc_id").agg(F.count(F.lit(1)).alias("windows"), F.sum("n_tokens").cast("long").alias("tokens"))
+    return w.select("doc_id", "chunk", "start", "n_tokens", F.array_join("tokens", " ").alias("tokens"))
 
 
 @query()
@@ -595,14 +636,20 @@ def coalesced_chunks(s, d):
     return documents.coalesce_small_runs(p, 40, 200)
 
 
-@query()
+_LINES = """l AS (SELECT doc_id, ls, generate_subscripts(ls, 1) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL)),
+  p AS (SELECT doc_id, i - 1 AS chunk, ls[i] AS text, coalesce(list_sum(list_transform(ls[1:i - 1], lambda x: length(x) + 1)), 0) AS off FROM l WHERE trim(ls[i], ' ') <> '')"""
+
+
+@query(f"""WITH {_LINES}, h AS (SELECT *, sha256(doc_id || chr(31) || CAST(off AS BIGINT) || chr(31) || nfc_normalize(text)) AS x FROM p)
+  SELECT doc_id, CAST(chunk AS INTEGER) AS chunk, CAST(off AS INTEGER) AS "offset", x[1:8] || '-' || x[9:12] || '-5' || x[14:16] || '-' || substr('89ab', CAST(('0x' || x[17:17])::INTEGER % 4 + 1 AS INTEGER), 1) || x[18:20] || '-' || x[21:32] AS uuid FROM h""")
 def chunk_uuids(s, d):
     return documents.with_uuids(documents.paragraphs(view(s, d, "documents"))).select("doc_id", "chunk", "offset", "uuid")
 
 
-@query(r"""SELECT page_id, nullif(regexp_extract(html, '(?is)<html[^>]*\blang=["'']?([A-Za-z-]+)', 1), '') AS lang FROM pages""")
+@query(r"""SELECT page_id, nullif(regexp_extract(html, '(?is)<html[^>]*\blang=["'']?([A-Za-z-]+)', 1), '') AS lang,
+  nullif(regexp_extract(html, '(?is)<meta\s+[^>]*name=["'']description["''][^>]*content=["'']([^"'']*)', 1), '') AS description, nullif(regexp_extract(html, '(?is)<meta\s+[^>]*name=["'']keywords["''][^>]*content=["'']([^"'']*)', 1), '') AS keywords FROM pages""")
 def html_language(s, d):
-    return documents.html_metadata(view(s, d, "pages")).select("page_id", "lang")
+    return documents.html_metadata(view(s, d, "pages")).select("page_id", "lang", "description", "keywords")
 
 
 @query()
@@ -639,9 +686,9 @@ def weight_sparsity(s, d):
     return x.select(F.round("mean_nonzero", 6).alias("mean_nonzero"), F.round("zero_share", 6).alias("zero_share"), "empty_rows")
 
 
-@query("SELECT bucket, count(DISTINCT batch) AS batches, count(*) AS n FROM (SELECT CAST(ceil(log2(greatest(n_chars, 1)::DOUBLE)) AS INTEGER) AS bucket, (row_number() OVER (PARTITION BY ceil(log2(greatest(n_chars, 1)::DOUBLE)) ORDER BY doc_id) - 1) // 32 AS batch FROM documents) GROUP BY bucket")
+@query("SELECT doc_id, CAST(ceil(log2(greatest(n_chars, 1)::DOUBLE)) AS INTEGER) AS bucket, (row_number() OVER (PARTITION BY ceil(log2(greatest(n_chars, 1)::DOUBLE)) ORDER BY doc_id) - 1) // 32 AS batch FROM documents")
 def length_batches(s, d):
-    return documents.batches(view(s, d, "documents"), "n_chars", 32, "doc_id").groupBy("bucket").agg(F.count_distinct("batch").alias("batches"), F.count(F.lit(1)).alias("n"))
+    return documents.batches(view(s, d, "documents"), "n_chars", 32, "doc_id").select("doc_id", "bucket", "batch")
 
 
 @query("SELECT doc_id, CAST(('0x' || substr(sha256(CAST(doc_id AS STRING)), 1, 16))::UBIGINT % 16 AS INTEGER) AS shard FROM documents")
@@ -693,9 +740,9 @@ def hourly_indicators(s, d):
     return g.select("host", F.col("window.start").alias("start"), "calls", "cached")
 
 
-@query("SELECT host, CAST(max(n) AS BIGINT) AS longest_streak FROM (SELECT host, k, count(*) AS n FROM (SELECT host, status, sum(CASE WHEN status <> 429 THEN 1 ELSE 0 END) OVER (PARTITION BY host ORDER BY ts, event_id) AS k FROM @http) WHERE status = 429 GROUP BY host, k) GROUP BY host")
+@query("SELECT host, n AS longest_streak, round(x, 4) AS retry_after_s FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY n DESC, x DESC) AS r FROM (SELECT host, k, count(*) AS n, avg(retry_after_s) AS x FROM (SELECT host, status, retry_after_s, sum(CASE WHEN status <> 429 THEN 1 ELSE 0 END) OVER (PARTITION BY host ORDER BY ts, event_id) AS k FROM @http) WHERE status = 429 GROUP BY host, k)) WHERE r = 1")
 def limit_streaks(s, d):
-    return telemetry.limit_streaks(view(s, d, "http")).select("host", "longest_streak")
+    return telemetry.limit_streaks(view(s, d, "http"))
 
 
 @query("""WITH h AS (SELECT * FROM @http WHERE ts >= TIMESTAMP '2024-01-15') SELECT host, count(*) AS n, min(elapsed_ms) AS min, max(elapsed_ms) AS max, round(avg(elapsed_ms), 6) AS avg,
@@ -734,5 +781,7 @@ def hash_embeddings(s, d):
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hybrid retrieval of the benchmark's items over the documents."""
-    items = view(spark, sf_dir, "benchmark").withColumnRenamed("item_id", "query_id")
-    return retrieval.hybrid(items, view(spark, sf_dir, "documents"), tokens=ascii_tokens(), q_tokens=ascii_tokens())
+    return hybrid_search(spark, sf_dir)
+
+
+from . import more  # noqa: E402, F401  its queries register here, too
