@@ -7,26 +7,32 @@ from pyspark.sql import functions as F
 
 from .common import settle
 
+#: Links that one task takes: so few are not worth a shuffle.
+ONE_TASK = 1 << 17
 
-def _stars(e: DataFrame, large: bool) -> DataFrame:
+
+def _stars(e: DataFrame, large: bool, whole: bool) -> DataFrame:
     """e: (u, v) with u > v. Large star: every larger neighbour of a node is tied to the node's least neighbour; small star: every smaller one is."""
-    sym = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else e
+    one = lambda df: df.coalesce(1) if whole else df
+    sym = one(e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else e)
     least = sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     tied = sym.filter("v > u") if large else sym
     tied = tied.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
     if not large:
-        tied = tied.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
+        tied = one(tied.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))))
     return tied.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of `edges` (a, b); component is the smallest node that can be reached. Self links are left out."""
     e = settle(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    seen = None
-    while True:
-        e = settle(_stars(_stars(e, True), False), "links")
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(now) == seen:
+    state = lambda: tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    seen = state()
+    while seen[0]:
+        whole = seen[0] <= ONE_TASK
+        e = settle(_stars(_stars(e, True, whole), False, whole), "links")
+        now = state()
+        if now == seen:
             break
-        seen = tuple(now)
+        seen = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

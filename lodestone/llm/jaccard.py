@@ -1,12 +1,14 @@
 """N-gram Jaccard join: exact classes of documents whose word shingles have a Jaccard index of 0.8 or more.
 
-1. A pass over the texts gives each document's set size, a 128-bit set hash and a hashed bitmap; equal sets become one node.
+1. A pass over the texts gives each document's set size and a 128-bit set hash; equal sets become one node, whatever doc_ids they have.
    The pass also counts shingles in a table of fixed size, whose sums order shingles from rare to common.
 2. Two sets that link share one of their rarest |x| - ceil(0.8 |x|) + 1 shingles. A second pass deals these to tiles by shingle;
-   in a tile, sorted by size, only nodes of neighbouring size bands meet.
-3. Bit counts of the two bitmaps bound the overlap from above; what passes is settled by intersecting the sorted shingle arrays.
-4. A tile with more than `tile_most` nodes never lists its pairs. Its nodes meet a pivot first; then only nodes outside its
-   largest component meet the rest of the tile, in blocks. So a family of near copies costs as many checks as it has members.
+   in a tile, sorted by size, only nodes of neighbouring size bands meet. A shingle with more rows than a tile takes is spread over tiles.
+3. Bit counts of the two hashed bitmaps, whose width follows the set's size, bound the overlap from above; what passes is settled by
+   intersecting the sorted shingle arrays.
+4. A shingle with more than `tile_most` nodes never lists its pairs. Its nodes meet a pivot first; then nodes outside its largest
+   component try their best partners by bit counts in one block of its nodes, for TURNS rounds; only what is still outside
+   meets all of its nodes, in blocks. So a family of near copies costs a few checks for each member.
 Links between nodes already known to be connected are not checked: only components are asked for.
 """
 
@@ -28,8 +30,17 @@ PERCENT = 80
 TILE_MOST = 64
 SKETCH_BITS = 20
 SLICES = 16
-BITMAP = 1024
+BITS = 8
+#: Bits (a power of two) of the bitmap of wanted texts.
+MARK_BITS = 25
+#: Nodes whose numbers may be broadcast (8 bytes each).
+IDS = 1 << 19
 BLOCK = 256
+#: Rounds in which a node of a hot shingle tries only its BEST partners of one block, before all that is left is tried.
+TURNS = 1
+BEST = 4
+#: Rows of one shingle that one tile takes.
+SPREAD_AT = 1 << 18
 CHUNK = 1 << 20
 
 _tables: list[tuple[np.ndarray, np.ndarray]] = []
@@ -70,32 +81,41 @@ def _sums(x: np.ndarray, first: np.ndarray) -> np.ndarray:
     return c[first[1:]] - c[first[:-1]]
 
 
-def bitmaps(h: np.ndarray, first: np.ndarray) -> np.ndarray:
-    n = len(first) - 1
-    bits = np.zeros((n, BITMAP), np.uint8)
-    bits[np.repeat(np.arange(n), np.diff(first)), (h >> np.uint64(20)).astype(np.int64) % BITMAP] = 1
-    return np.packbits(bits, axis=1)
+def bitmaps(h: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """A bitmap for each set, of a power of two of bits that is BITS a shingle or more, so that it fills alike at every size."""
+    size = np.diff(first)
+    width = np.left_shift(1, np.ceil(np.log2(np.maximum(size * BITS, 64))).astype(np.int64))
+    begin = np.concatenate(([0], np.cumsum(width)))
+    bits = np.zeros(begin[-1], np.uint8)
+    doc = np.repeat(np.arange(len(size)), size)
+    bits[begin[doc] + ((h >> np.uint64(20)).astype(np.int64) & (width[doc] - 1))] = 1
+    raw = np.packbits(bits).tobytes()
+    return [raw[x // 8 : y // 8] for x, y in zip(begin[:-1].tolist(), begin[1:].tolist())]
+
+
+def folded(x: np.ndarray, width: int) -> np.ndarray:
+    """Bitmaps (a row each) as they are at a smaller width, in bytes."""
+    return x if x.shape[1] == width else np.bitwise_or.reduce(x.reshape(len(x), -1, width), axis=1)
 
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "n_shingles", "s1", "s2", "bitmap", "slice", "counts"]
+    names = ["doc_id", "t1", "t2", "n_shingles", "s1", "s2", "slice", "counts"]
     counts = np.zeros(1 << SKETCH_BITS, np.uint32)
     shift = np.uint64(64 - SKETCH_BITS)
     for batch in batches:
-        data, offsets = utf8(batch.column(1))
+        data, offsets = utf8(batch.column(3))
         out: list[tuple] = []
         for i, j in spans(offsets, CHUNK):
             h, first = shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
             counts += np.bincount((h >> shift).astype(np.int64), minlength=len(counts)).astype(np.uint32)
             s1, s2 = _sums(mix(h), first).view(np.int64), _sums(mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)), first).view(np.int64)
-            bm = bitmaps(h, first)
-            out.append((np.diff(first), s1, s2, [b.tobytes() for b in bm]))
+            out.append((np.diff(first), s1, s2))
         n = len(offsets) - 1
         cat = lambda k: pa.array(np.concatenate([o[k] for o in out]) if out else [], pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0), cat(0), cat(1), cat(2), pa.array([b for o in out for b in o[3]], pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
+        yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(3)), cat(0), cat(1), cat(2), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
     parts = counts.reshape(SLICES, -1)
     none = pa.nulls(SLICES, pa.int64())
-    yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(SLICES, pa.binary()), pa.array(range(SLICES), pa.int32()), pa.array([p.tobytes() for p in parts])], names)
+    yield pa.RecordBatch.from_arrays([none] * 6 + [pa.array(range(SLICES), pa.int32()), pa.array([p.tobytes() for p in parts])], names)
 
 
 def _add_counts(table: pa.Table) -> pa.Table:
@@ -105,8 +125,11 @@ def _add_counts(table: pa.Table) -> pa.Table:
     return pa.table({"slice": table["slice"][:1], "counts": [np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()]})
 
 
-def _prefixes(sketch, tiles: int):
-    """Rows of (tile, shingles, nodes, sizes), each a run of packed numbers; a node is dealt once by a task."""
+def _prefixes(sketch, tiles: int, spread_at: int):
+    """Rows of (tile, open, shingles, nodes, sizes), each a run of packed numbers; a node is dealt once by a task.
+
+    A shingle that the sketch counts over `spread_at` times is spread over as many tiles as that takes, and marked open: its pairs are not listed.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = sketch.value
@@ -133,14 +156,15 @@ def _prefixes(sketch, tiles: int):
             if not got:
                 continue
             h, node, size = (np.concatenate([g[k] for g in got]) for k in range(3))
-            tile = ((h >> np.uint64(8)) % np.uint64(tiles)).astype(np.int64)
+            lanes = counts[(h >> shift).astype(np.int64)].astype(np.uint64) // np.uint64(spread_at)
+            tile = ((((h >> np.uint64(8)) + mix(node) % (lanes + np.uint64(1))) % np.uint64(tiles)) * np.uint64(2) + (lanes > 0)).astype(np.int64)
             order = np.argsort(tile, kind="stable")
             h, node, size, tile = h[order], node[order], size[order], tile[order]
             cut = np.flatnonzero(np.diff(tile, prepend=-1))
             end = np.append(cut[1:], len(tile))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(tile[cut].astype(np.int32)), *(pa.array([x[a:b].tobytes() for a, b in zip(cut, end)], pa.binary()) for x in (h, node, size))],
-                ["tile", "shingles", "nodes", "sizes"],
+                [pa.array((tile[cut] // 2).astype(np.int32)), pa.array(tile[cut] % 2 == 1), *(pa.array([x[a:b].tobytes() for a, b in zip(cut, end)], pa.binary()) for x in (h, node, size))],
+                ["tile", "open", "shingles", "nodes", "sizes"],
             )
 
     return run
@@ -174,13 +198,16 @@ def tile_pairs(h: np.ndarray, node: np.ndarray, size: np.ndarray, most: int) ->
 
 
 def _tiles(most: int):
-    """kind 0: (a, b, shared shingles) of a pair; kind 1: (shingle, node, size) in a tile with too many nodes for pairs."""
+    """kind 0: (a, b, shared shingles) of a pair; kind 1: (shingle, node, size) of a shingle with too many nodes for pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
         for batch in batches:
-            for t, *x in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                held.setdefault(t, []).append(x)
+            for t, is_open, *x in zip(*(batch.column(k).to_pylist() for k in range(5))):
+                if is_open:
+                    yield _kinds(1, *(np.frombuffer(b, d) for b, d in zip(x, (np.uint64, np.uint64, np.int32))))
+                else:
+                    held.setdefault(t, []).append(x)
         for t in list(held):
             rows = held.pop(t)
             h, node, size = (np.frombuffer(b"".join(r[k] for r in rows), d) for k, d in enumerate((np.uint64, np.uint64, np.int32)))
@@ -205,28 +232,76 @@ def enough(overlap, na, nb):
     return 100 * overlap >= PERCENT * (na + nb - overlap)
 
 
-def bound(x: np.ndarray, y: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
+def bound(x: np.ndarray, y: np.ndarray, na, nb) -> np.ndarray:
     """The overlap at most: each bit that one bitmap has alone stands for a shingle that the other set lacks."""
+    width = min(x.shape[1], y.shape[1])
+    x, y = folded(x, width), folded(y, width)
     return np.minimum(na - np.bitwise_count(x & ~y).sum(1, dtype=np.int64), nb - np.bitwise_count(y & ~x).sum(1, dtype=np.int64))
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(utf8(column)[0], np.uint8).reshape(len(column), -1) if len(column) else np.zeros((0, BITMAP // 8), np.uint8)
+def _by_width(column: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Places and bitmaps (a row each) by width."""
+    width = np.array([len(b) for b in column], np.int64)
+    return {w: (at := np.flatnonzero(width == w), np.frombuffer(b"".join([column[i] for i in at]), np.uint8).reshape(len(at), w)) for w in np.unique(width).tolist()}
 
 
 def _by_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
-        ok = enough(bound(_matrix(batch.column("ba")), _matrix(batch.column("bb")), na, nb), na, nb)
+        ba, bb = batch.column("ba").to_pylist(), batch.column("bb").to_pylist()
+        ok = np.zeros(len(na), bool)
+        for at, x in _by_width(ba).values():
+            for some, y in _by_width([bb[i] for i in at]).values():
+                ok[at[some]] = enough(bound(x[some], y, na[at[some]], nb[at[some]]), na[at[some]], nb[at[some]])
         yield batch.filter(pa.array(ok)).select(["a", "b"])
 
 
-def _zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    z = zstandard.ZstdCompressor(level=1)
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of a bitmap of fixed size with a bit for each text hash."""
+    bits = np.zeros(1 << MARK_BITS, bool)
+    for batch in batches:
+        bits[batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - MARK_BITS)] = True
+    at = np.flatnonzero(bits.reshape(SLICES, -1).any(1))
+    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array([np.packbits(x).tobytes() for x in bits.reshape(SLICES, -1)[at]], pa.binary())], ["slice", "bits"])
+
+
+def _add_marks(table: pa.Table) -> pa.Table:
+    total = np.zeros((1 << MARK_BITS) // SLICES // 8, np.uint8)
+    for c in table["bits"]:
+        total |= np.frombuffer(c.as_buffer(), np.uint8)
+    return pa.table({"slice": table["slice"][:1], "bits": [total.tobytes()]})
+
+
+def _marked(wanted: DataFrame) -> np.ndarray:
+    """The bitmap of the wanted texts: where a bit is missing, a text is not wanted, so most others never travel."""
+    sums = wanted.select("t1").mapInArrow(_marks, "slice int, bits binary").groupBy("slice").applyInArrow(_add_marks, "slice int, bits binary")
+    parts = {r["slice"]: np.frombuffer(r["bits"], np.uint8) for r in sums.collect()}  # SLICES rows, 4 MB in all
+    return np.concatenate([parts.get(k, np.zeros((1 << MARK_BITS) // SLICES // 8, np.uint8)) for k in range(SLICES)])
+
+
+def _zipped(sent):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z = zstandard.ZstdCompressor(level=1)
+        bits = sent.value
+        for batch in batches:
+            at = batch.column(1).to_numpy().view(np.uint64) >> np.uint64(64 - MARK_BITS)
+            batch = batch.filter(pa.array(bits[at >> np.uint64(3)] & (np.uint8(128) >> (at & np.uint64(7)).astype(np.uint8)) > 0))
+            data, offsets = utf8(batch.column(3))
+            raw = data.data
+            texts = pa.array([z.compress(raw[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(3)), texts], ["doc_id", "t1", "t2", "z"])
+
+    return run
+
+
+def _mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bitmaps of the sets beside their texts."""
     for batch in batches:
-        data, offsets = utf8(batch.column("text"))
-        raw = data.data
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([z.compress(raw[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], pa.binary())], ["node", "z"])
+        data, offsets = _unzipped(batch.column("z"))
+        maps: list[bytes] = []
+        for i, j in spans(offsets, CHUNK):
+            maps += bitmaps(*shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))
+        yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("n"), pa.array(maps, pa.binary()), batch.column("z")], ["node", "n", "bitmap", "z"])
 
 
 def _unzipped(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -250,53 +325,108 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(keep)).select(["a", "b"])
 
 
-def _against_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of a tile's nodes outside its largest component, against blocks of all its nodes."""
-    for batch in batches:
-        for r in batch.to_pylist():
-            (ia, la, na, xa), (ib, lb, nb, xb) = (
-                (np.array([m["node"] for m in r[s]]), np.array([m["label"] for m in r[s]]), np.array([m["n"] for m in r[s]], np.int64), np.frombuffer(b"".join(m["bitmap"] for m in r[s]), np.uint8).reshape(len(r[s]), -1))
-                for s in ("few", "many")
-            )
-            a, b = [], []
-            for k in range(len(ia)):
-                ok = np.flatnonzero(lb != la[k])
-                ok = ok[enough(bound(xa[k : k + 1], xb[ok], na[k : k + 1], nb[ok]), na[k], nb[ok])]
-                a.append(np.minimum(ia[k], ib[ok]))
-                b.append(np.maximum(ia[k], ib[ok]))
-            pair = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["a", "b"])
+def _against_blocks(best: int | None):
+    """Blocks of a shingle's nodes outside its largest component, against blocks of all its nodes: the pairs that bit counts leave, of each node outside the `best` ones by overlap, or all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                few, many = r["few"], r["many"]
+                ids, labels, size = (np.array([m[k] for m in many], np.int64) for k in ("node", "label", "n"))
+                maps = _by_width([m["bitmap"] for m in many])
+                me, other, score = [], [], []
+                for f in few:
+                    x = np.frombuffer(f["bitmap"], np.uint8)[None]
+                    at, over = [], []
+                    for some, y in maps.values():
+                        ok = (labels[some] != f["label"]) & (PERCENT * np.maximum(size[some], f["n"]) <= 100 * np.minimum(size[some], f["n"]))
+                        if ok.any():
+                            most = bound(x, y[ok], f["n"], size[some][ok])
+                            keep = enough(most, f["n"], size[some][ok])
+                            at.append(some[ok][keep])
+                            over.append(most[keep] / (f["n"] + size[some][ok][keep] - most[keep]))
+                    if not at:
+                        continue
+                    to, over_ = np.concatenate(at), np.concatenate(over)
+                    if best is not None and len(to) > best:
+                        pick = np.argsort(-over_, kind="stable")[:best]
+                        to, over_ = to[pick], over_[pick]
+                    me.append(np.full(len(to), f["node"]))
+                    other.append(ids[to])
+                    score.append(over_)
+                if me:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (me, other, score)], ["me", "other", "score"])
+
+    return run
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+def _only(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts of these nodes (node). Up to IDS of them are broadcast, so that no other text travels; they are counted first."""
+    ids = settle(ids.distinct(), "ids")
+    return texts.join(F.broadcast(ids), "node", "left_semi") if ids.count() <= IDS else texts
+
+
+def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Of pairs (a, b) of nodes, those that link: bit counts first, then whole texts."""
-    one, two = (nodes.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("bitmap").alias(f"b{k}")) for k in "ab")
+    one, two = (texts.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("bitmap").alias(f"b{k}")) for k in "ab")
     near = pairs.hint("merge").join(one, "a").hint("merge").join(two, "b").filter("100 * least(na, nb) >= 80 * greatest(na, nb)").mapInArrow(tidied(_by_bits), "a long, b long")
     near = settle(near, "near")
     t = texts.select(F.col("node").alias("a"), F.col("z").alias("ta")), texts.select(F.col("node").alias("b"), F.col("z").alias("tb"))
     return near.hint("merge").join(t[0], "a").hint("merge").join(t[1], "b").select("a", "b", "ta", "tb").mapInArrow(tidied(_exact), "a long, b long")
 
 
-def join(docs: DataFrame, tile_most: int = TILE_MOST) -> DataFrame:
+def _open(hot: DataFrame, known: DataFrame, texts: DataFrame) -> DataFrame:
+    """Nodes of the hot shingles that hold more than one component, with their shingle's largest component and counts."""
+    marked = settle(hot.join(known, "node", "left").select("shingle", "node", F.coalesce("component", "node").alias("label")), "marked")
+    split = marked.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("k"))
+    split = split.groupBy("shingle").agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("k", "label")).alias("m"), F.sum("k").alias("total")).filter("labels > 1")
+    split = settle(split.select("shingle", F.col("m.label").alias("main"), F.expr("total - m.k").alias("few"), "total"), "split")
+    rows = settle(marked.join(split, "shingle"), "rows")
+    return settle(rows.join(_only(texts.select("node", "n", "bitmap"), rows.select("node")), "node"), "open")
+
+
+def _across(rows: DataFrame, best: int | None, turn: int = 0) -> DataFrame:
+    """Pairs (me, other, score) of nodes of open shingles: of each node outside the largest component the `best` in one block of all nodes, drawn by `turn`; or, without `best`, all that pass."""
+    member = F.struct("node", "label", "n", "bitmap")
+    blocks = lambda size: F.ceil(F.col(size) / F.lit(BLOCK)).cast("long")
+    few = rows.filter("label <> main").withColumn("i", F.pmod(F.xxhash64("node"), blocks("few"))).groupBy("shingle", "i").agg(F.collect_list(member).alias("few"))
+    many = rows.withColumn("j", F.pmod(F.xxhash64("node"), blocks("total")))
+    if best is not None:
+        many = many.filter(F.col("j") == F.pmod(F.lit(turn), blocks("total")))
+    many = many.groupBy("shingle", "j").agg(F.collect_list(member).alias("many"))
+    return few.join(many, "shingle").select("few", "many").mapInArrow(tidied(_against_blocks(best)), "me long, other long, score double")
+
+
+def _ties(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b) of nodes that one doc_id holds: rows of one doc_id with unlike texts are one document."""
+    rows = sets.filter("n_shingles > 0 and doc_id is not null").select("doc_id", F.struct("s1", "s2").alias("s"))
+    several = settle(rows.groupBy("doc_id").agg(F.min("s").alias("lo"), F.max("s").alias("hi")).filter("lo <> hi").select("doc_id", "lo"), "several")
+    one, two = (nodes.select(F.struct("s1", "s2").alias(s), F.col("node").alias(k)) for s, k in (("s", "a"), ("lo", "b")))
+    return rows.join(several, "doc_id").filter("s <> lo").select("s", "lo").distinct().join(one, "s").join(two, "lo").select("a", "b")
+
+
+def join(docs: DataFrame, tile_most: int = TILE_MOST, spread_at: int = SPREAD_AT) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id that links reach, itself included) of every document (doc_id, text).
 
     Words are runs of bytes other than 0x20 and 0x09 to 0x0D, A to Z lower-cased; a set holds the distinct runs of five words, or
     all words where there are fewer. Null, empty and wordless texts have no shingles and link with nothing. Repeated
-    rows are a row each; a null doc_id is in no component (null); an empty table gives no rows; other columns are not read.
+    rows are a row each; rows of one doc_id with unlike texts have sets of their own and are in one component; a null doc_id is in no component (null); an empty table gives no rows; other columns are not read.
     """
     spark = prepare(docs.sparkSession)
     tasks = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    made = settle(docs.mapInArrow(tidied(_nodes), "doc_id long, n_shingles long, s1 long, s2 long, bitmap binary, slice int, counts binary"), "sets")
+    text = F.col("text").cast("string")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(3), text).alias("t2"), text.alias("text"))
+    made = settle(docs.mapInArrow(tidied(_nodes), "doc_id long, t1 long, t2 long, n_shingles long, s1 long, s2 long, slice int, counts binary"), "sets")
     sums = made.filter("slice is not null").select("slice", "counts").groupBy("slice").applyInArrow(_add_counts, "slice int, counts binary")
     parts = {r["slice"]: r["counts"] for r in sums.collect()}  # SLICES rows, 4 MB in all
     counts = np.concatenate([np.frombuffer(parts[k], np.uint32) for k in range(SLICES)]) if parts else np.zeros(1 << SKETCH_BITS, np.uint32)
     sets = made.filter("slice is null").drop("slice", "counts")
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
-    # a node is the smallest doc_id with its set; s1 stands for it in tiles
-    nodes = settle(sets.filter("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bitmap").alias("bitmap")), "nodes")
+    # a node is a set; s1 stands for it in tiles, and one row of its smallest doc_id gives its text
+    nodes = sets.filter("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "t1", "t2")).alias("r"), F.max("n_shingles").alias("n"))
+    nodes = settle(nodes.select(F.monotonically_increasing_id().alias("node"), "s1", "s2", "n", "r.doc_id", "r.t1", "r.t2"), "nodes")
     tiles = int(max(tasks, total // 5 // 400_000))
-    dealt = docs.select("text").mapInArrow(tidied(_prefixes(spark.sparkContext.broadcast(counts), tiles)), "tile int, shingles binary, nodes binary, sizes binary")
+    dealt = docs.select("text").mapInArrow(tidied(_prefixes(spark.sparkContext.broadcast(counts), tiles, spread_at)), "tile int, open boolean, shingles binary, nodes binary, sizes binary")
     found = settle(dealt.repartition(tiles, "tile").mapInArrow(tidied(_tiles(tile_most)), "kind int, a long, b long, n long"), "tiles")
     ids = nodes.select("s1", "node")
     pairs = found.filter("kind = 0").groupBy("a", "b").agg(F.sum("n").alias("shared"))
@@ -305,42 +435,58 @@ def join(docs: DataFrame, tile_most: int = TILE_MOST) -> DataFrame:
     hot = found.filter("kind = 1").join(ids.select(F.col("s1").alias("b"), "node"), "b")
     hot = settle(hot.select(F.col("a").alias("shingle"), "node", F.col("n").alias("size")).distinct(), "hot")
 
-    # first links: each node with the partner that shares most, and each node of a large tile with a pivot, the node that has most of its shingles there
+    # first links: each node with the partner that shares most, and each node of a hot shingle with a pivot, the node that has most of its shingles there
     sides = pairs.select("a", "b", "shared", F.col("a").alias("me")).unionByName(pairs.select("a", "b", "shared", F.col("b").alias("me")))
     first = sides.groupBy("me").agg(F.max(F.struct("shared", -F.col("a"), -F.col("b"), "a", "b")).alias("p")).select("p.a", "p.b")
     weight = hot.groupBy("node").agg((F.count(F.lit(1)) / F.max("size")).alias("w"))
-    hot_w = hot.join(weight, "node")
-    pivots = hot_w.groupBy("shingle").agg(F.max(F.struct("w", -F.col("node"), "node")).alias("p")).select("shingle", F.col("p.node").alias("pivot"))
-    star = hot.join(pivots, "shingle").filter("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
-    first = settle(first.unionByName(star).distinct(), "first")
+    pivots = hot.join(weight, "node").groupBy("shingle").agg(F.max(F.struct("w", -F.col("node"), "node")).alias("p")).select("shingle", F.col("p.node").alias("pivot"))
+    star = hot.join(settle(pivots, "pivots"), "shingle").filter("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+    tried = settle(first.unionByName(star).distinct(), "first")
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(hot.select("node")).distinct()
-    # texts travel compressed; what grows with the corpus is merged at every size, never broadcast
-    zipped = docs.filter("doc_id is not null").mapInArrow(tidied(_zipped), "node long, z binary")
-    texts = settle(zipped.join(wanted.hint("merge"), "node", "left_semi").dropDuplicates(["node"]), "texts")
-    links = settle(_links(first, nodes, texts), "links")
-    known = components(links)
-
-    # then whatever joins two components
+    wanted = settle(nodes.join(wanted, "node").select("node", "n", "doc_id", "t1", "t2"), "wanted")
+    # texts travel compressed, one row a node however many copies there are; what grows with the corpus is merged at every size, never broadcast
+    marks = spark.sparkContext.broadcast(_marked(wanted))
+    zipped = docs.filter("doc_id is not null").mapInArrow(tidied(_zipped(marks)), "doc_id long, t1 long, t2 long, z binary")
+    texts = zipped.join(wanted.hint("merge"), ["doc_id", "t1", "t2"]).dropDuplicates(["doc_id", "t1", "t2"])
+    texts = settle(texts.select("node", "n", "z").mapInArrow(tidied(_mapped), "node long, n long, bitmap binary, z binary"), "texts")
+    links = settle(_links(tried, texts), "links")
+    known = components(links.unionByName(_ties(sets, nodes)))
+
+    # then whatever joins two components: pairs of the other shingles, and in hot ones the best of a few blocks first, then all that is left
     label = lambda side, name: known.select(F.col("node").alias(side), F.col("component").alias(name))
     rest = pairs.join(label("a", "la"), "a", "left").join(label("b", "lb"), "b", "left")
-    rest = rest.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b").join(first, ["a", "b"], "left_anti")
-    marked = hot.select("shingle", "node").join(known, "node", "left").select("shingle", "node", F.coalesce("component", "node").alias("label"))
-    split = marked.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("k"))
-    split = split.groupBy("shingle").agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("k", "label")).alias("m"), F.sum("k").alias("total")).filter("labels > 1")
-    split = split.select("shingle", F.col("m.label").alias("main"), F.expr("total - m.k").alias("few"), "total")
-    open_rows = settle(marked.join(split, "shingle").join(nodes.select("node", "n", "bitmap"), "node"), "open")
-    member = F.struct("node", "label", "n", "bitmap")
-    block = lambda size: F.pmod(F.xxhash64("node"), F.ceil(F.col(size) / F.lit(BLOCK)).cast("long"))
-    few = open_rows.filter("label <> main").withColumn("i", block("few")).groupBy("shingle", "i").agg(F.collect_list(member).alias("few"))
-    many = open_rows.withColumn("j", block("total")).groupBy("shingle", "j").agg(F.collect_list(member).alias("many"))
-    left = few.join(many, "shingle").select("few", "many").mapInArrow(tidied(_against_blocks), "a long, b long").distinct().join(first, ["a", "b"], "left_anti")
-    more = _links(rest.unionByName(left).distinct(), nodes, texts)
-    whole = components(settle(links.unionByName(more), "links"))
-
-    out = sets.join(nodes.select("s1", "s2", "node"), ["s1", "s2"], "left")
-    out = out.join(whole.select("node", "component"), "node", "left")
-    reach = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "node"))
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), reach).alias("component_id"))
+    rest = rest.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b").join(tried, ["a", "b"], "left_anti")
+    for turn in range(TURNS + 1):
+        rows = _open(hot, known, texts)
+        closed = rows.isEmpty()
+        if closed and turn:
+            break
+        pair = F.least("me", "other").alias("a"), F.greatest("me", "other").alias("b")
+        if closed:
+            some = rest
+        elif turn < TURNS:
+            some = _across(rows, BEST, turn).select(*pair, "me", "score").join(tried, ["a", "b"], "left_anti")
+            some = some.groupBy("me").agg(F.max(F.struct("score", "a", "b")).alias("p")).select("p.a", "p.b")
+            some = some.unionByName(rest) if turn == 0 else some
+        else:
+            some = _across(rows, None).select(*pair).join(tried, ["a", "b"], "left_anti")
+        some = settle(some.distinct(), "across")
+        if not some.isEmpty():
+            tried = settle(tried.unionByName(some), "tried")
+            ids = some.select(F.col("a").alias("node")).unionByName(some.select(F.col("b").alias("node")))
+            more = settle(_links(some, _only(texts, ids)), "links")
+            if not more.isEmpty():
+                known = components(more.unionByName(known.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+        if closed:
+            break
+
+    # a component has the smallest doc_id of its nodes
+    member = nodes.join(known, "node").select("s1", "s2", "component", "doc_id")
+    least = settle(member.groupBy("component").agg(F.min("doc_id").alias("component_id")), "least")
+    reach = settle(member.join(least, "component").select("s1", "s2", F.col("component_id").alias("far")), "reach")
+    own = nodes.select("s1", "s2", F.col("doc_id").alias("near"))
+    out = sets.select("doc_id", "n_shingles", "s1", "s2").join(settle(own.join(reach, ["s1", "s2"], "left"), "roots"), ["s1", "s2"], "left")
+    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("far", "near", "doc_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

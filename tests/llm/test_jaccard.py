@@ -1,3 +1,4 @@
+import random
 import re
 from collections import defaultdict
 
@@ -7,6 +8,10 @@ import pytest
 from lodestone.llm import components, jaccard
 
 
+def words(r, n, pool=4000):
+    return ["w" + format(r.randrange(pool), "x") for _ in range(n)]
+
+
 def brute(rows):
     sets = []
     for doc, text, *_ in rows:
@@ -38,6 +43,37 @@ def test_components_equal_brute_force(docs, rows, most):
     assert got == brute(rows)
 
 
+def test_texts_that_share_a_doc_id_keep_their_links(spark):
+    r = random.Random(3)
+    a, b = (" ".join(words(r, 60)) for _ in range(2))
+    table = [(5, a), (5, b), (2, a + " more"), (3, b + " more"), (9, a + " more"), (7, ""), (None, b)]
+    got = {(x.doc_id, x.n_shingles): x.component_id for x in jaccard.join(spark.createDataFrame(table, "doc_id long, text string")).collect()}
+    assert got == {(d, n): c for d, n, c in brute(table)} and got[3, 57] == 2
+
+
+def test_long_unrelated_texts_with_a_common_shingle_are_pruned_by_bits():
+    g = np.random.default_rng(4)
+    sets = [np.unique(np.append(g.integers(0, 1 << 60, 3000), 12345)).astype(np.uint64) for _ in range(200)]
+    first = np.concatenate(([0], np.cumsum([len(x) for x in sets])))
+    ((_, maps),) = jaccard._by_width(jaccard.bitmaps(np.concatenate(sets), first)).values()
+    n = np.diff(first)
+    left = sum(int(jaccard.enough(jaccard.bound(maps[k : k + 1], maps[:k], n[k], n[:k]), n[k], n[:k]).sum()) for k in range(1, 200))
+    assert left == 0
+
+
+def test_a_family_that_one_pivot_does_not_hold(spark):
+    """A chain of near copies, each like the next alone, and a shingle spread over tiles: found by the rounds in hot shingles."""
+    r = random.Random(8)
+    common, loose = words(r, 60), words(r, 400, 10**6)
+    table = [(100 - k, " ".join(common + loose[2 * k : 2 * k + 8])) for k in range(70)]
+    table += [(200 + k, " ".join(common + words(r, 40, 10**6))) for k in range(30)]
+    df = spark.createDataFrame(table, "doc_id long, text string")
+    want = brute(table)
+    for spread in (1 << 18, 20):
+        got = sorted(((x.doc_id, x.n_shingles, x.component_id) for x in jaccard.join(df, tile_most=8, spread_at=spread).collect()), key=str)
+        assert got == want
+
+
 def test_empty_table(nothing):
     assert jaccard.join(nothing).collect() == []
 
@@ -61,8 +97,8 @@ def test_bound_never_under_the_overlap():
     for _ in range(50):
         x, y = (np.unique(g.integers(0, 3000, n)).astype(np.uint64) << np.uint64(20) for n in g.integers(1, 900, 2))
         h, first = np.concatenate((x, y)), np.array([0, len(x), len(x) + len(y)])
-        b = jaccard.bitmaps(h, first)
-        assert jaccard.bound(b[:1], b[1:], np.array([len(x)]), np.array([len(y)]))[0] >= len(np.intersect1d(x, y))
+        a, b = (np.frombuffer(m, np.uint8)[None] for m in jaccard.bitmaps(h, first))
+        assert jaccard.bound(a, b, np.array([len(x)]), np.array([len(y)]))[0] >= len(np.intersect1d(x, y))
 
 
 def test_tiles_list_each_pair_of_like_size():
