@@ -207,3 +207,31 @@ def version_listing(rows: DataFrame) -> DataFrame:
 def canonical_triples(triples: DataFrame) -> DataFrame:
     """Distinct (s, p, o) in order; the sort spills. Blank nodes are to be named beforehand."""
     return triples.select("s", "p", "o").distinct().orderBy("s", "p", "o")
+
+
+def named_blanks(triples: DataFrame) -> DataFrame:
+    """Distinct triples in order of (s, p, o), with blank nodes (_:x) renamed _:b0, _:b1, ... in the order in which they are first met there.
+
+    Only the distinct blank nodes are put in one order; triples are joined to their names.
+    """
+    rows = triples.select("s", "p", "o").distinct()
+    met = rows.select(F.struct("s", "p", "o").alias("at"), F.posexplode(F.array("s", "o")).alias("i", "x")).where(F.col("x").startswith("_:"))
+    first = met.groupBy("x").agg(F.min(F.struct("at", "i")).alias("f"))
+    names = first.select("x", F.concat(F.lit("_:b"), (F.row_number().over(Window.orderBy("f")) - 1).cast("string")).alias("name"))
+    a, b = names.select(F.col("x").alias("s"), F.col("name").alias("__s")), names.select(F.col("x").alias("o"), F.col("name").alias("__o"))
+    out = rows.join(a, "s", "left").join(b, "o", "left")
+    return out.orderBy("s", "p", "o").select(F.coalesce("__s", "s").alias("s"), "p", F.coalesce("__o", "o").alias("o"))
+
+
+def committed(versions: DataFrame, stages: dict[str, DataFrame]) -> DataFrame:
+    """Versions with the first of the stages (in order: download, extract, validate, ...) that has no row for them; null where all are there, so that they may become latest."""
+    out = versions
+    for name, df in stages.items():
+        out = out.join(df.select("version_id", F.lit(1).alias(f"__{name}")).distinct(), "version_id", "left")
+    missing = F.coalesce(*(F.when(F.col(f"__{n}").isNull(), F.lit(n)) for n in stages))
+    return out.withColumn("stopped_at", missing).drop(*(f"__{n}" for n in stages))
+
+
+def latest_pointer(done: DataFrame) -> DataFrame:
+    """By service the newest version whose stages are all there."""
+    return done.where("stopped_at is null").groupBy("service").agg(F.max_by("version_id", F.struct("created_at", "version_id")).alias("version_id"))

@@ -478,3 +478,10 @@ def namespace_stats(chunks: DataFrame, namespace: str) -> DataFrame:
 def should_rebuild(live: int, deleted: int, share: float = 0.2) -> bool:
     """An index is rebuilt when its dead rows pass a share of all."""
     return live + deleted > 0 and deleted / (live + deleted) >= share
+
+
+def micro_batches(requests: DataFrame, window_ms: int, most: int, ts: str = "ts", key: str = "query_id") -> DataFrame:
+    """Requests with the batch (slot of time, number in it) that they would be searched in: those of one slot together, `most` at a time."""
+    slot = F.floor(F.unix_millis(F.col(ts).cast("timestamp")) / F.lit(window_ms))
+    at = F.row_number().over(Window.partitionBy("slot").orderBy(ts, key)) - 1
+    return requests.withColumn("slot", slot).withColumn("batch", F.floor(at / F.lit(most)))

@@ -204,3 +204,20 @@ def metric_summary(rows: DataFrame, metric: str, value: str, since=None, ts: str
     p = by_index(rows, [metric], value, {"p50": 0.5, "p95": 0.95, "p99": 0.99}, clamp=True)
     g = rows.groupBy(metric).agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("min"), F.max(value).alias("max"), F.round(F.avg(value), 6).alias("avg"))
     return g.join(p, metric)
+
+
+def download_indicators(downloads: DataFrame) -> DataFrame:
+    """By run: megabytes that deduplication saved (linked, copied or skipped content), and files without a path or digest."""
+    saved = F.when(F.col("dedupe_action").isin("hardlink", "copy", "skipped"), F.col("content_length"))
+    return downloads.groupBy("run_id").agg(F.round(F.coalesce(F.sum(saved), F.lit(0)) / F.lit(1024.0 * 1024.0), 6).alias("dedupe_saved_mb"), F.count_if(F.col("final_path").isNull() | F.col("sha256").isNull()).alias("corruption_count"))
+
+
+def timeseries(attempts: DataFrame, step: str = "1 day") -> DataFrame:
+    """Snapshots by step of time: attempts, success rate, mean and percentiles of the time they took, and the tier that did best (the smaller on ties)."""
+    a = attempts.withColumn("start", F.window("ts", step)["start"])
+    win = F.count_if(F.col("outcome") == "success")
+    t = F.when(F.col("elapsed_ms") > 0, F.col("elapsed_ms"))
+    g = a.groupBy("start").agg(F.count(F.lit(1)).alias("attempts"), ratio(win, F.count(F.lit(1)), 6).alias("success_rate"), F.round(F.avg(t), 4).alias("avg_ms"))
+    p = by_index(a.where("elapsed_ms > 0"), ["start"], "elapsed_ms", {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}, clamp=True)
+    tiers = a.groupBy("start", "tier").agg((win / F.count(F.lit(1))).alias("r")).groupBy("start").agg(F.max_by("tier", F.struct("r", -F.col("tier"))).alias("top_tier"), F.round(F.max("r"), 6).alias("top_tier_rate"))
+    return g.join(p, "start", "left").join(tiers, "start")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import percentiles, scalars
-from ..operators import catalog, dedup, documents, evaluation, lifecycle, retrieval, vector_index
+from ..operators import catalog, dedup, documents, evaluation, lifecycle, retrieval, telemetry, vector_index
 from ..sources import datasets, readers
 from .catalogue import _COS, query, view
 
@@ -386,3 +386,56 @@ def written_on_both(s, d):
 @query("SELECT 'svc-' || (user_id % 5) AS namespace FROM events GROUP BY 1 HAVING epoch(TIMESTAMP '2024-01-31 12:00:00') - floor(epoch(max(ts))) > 40000")
 def idle_namespaces(s, d):
     return vector_index.idle_namespaces(view(s, d, "obs").select(F.col("service").alias("namespace"), "ts"), "2024-01-31 12:00:00", 40000).select("namespace")
+
+
+# --- indicators, triples, commits
+
+
+@query("""SELECT run_id, round(coalesce(sum(CASE WHEN event_id % 4 < 3 THEN elapsed_ms END), 0) / (1024.0::DOUBLE * 1024.0::DOUBLE), 6) AS dedupe_saved_mb, count(*) FILTER (event_id % 17 = 0 OR event_id % 19 = 0) AS corruption_count FROM @http GROUP BY run_id""")
+def download_indicators(s, d):
+    k = F.col("event_id")
+    rows = view(s, d, "http").select(
+        "run_id", F.element_at(F.array(*(F.lit(x) for x in ("hardlink", "copy", "skipped", "none"))), (k % 4 + 1).cast("int")).alias("dedupe_action"), F.col("elapsed_ms").alias("content_length"),
+        F.when(k % 17 != 0, "p").alias("final_path"), F.when(k % 19 != 0, "d").alias("sha256"),
+    )
+    return telemetry.download_indicators(rows)
+
+
+@query("""WITH a AS (SELECT *, date_trunc('day', ts) AS start, CASE WHEN elapsed_ms > 0 THEN elapsed_ms END AS t FROM @attempts), g AS (SELECT start, count(*) AS attempts, round(count(*) FILTER (outcome = 'success') / count(*)::DOUBLE, 6) AS success_rate, round(avg(t), 4) AS avg_ms, list_sort(list(t) FILTER (t IS NOT NULL)) AS l FROM a GROUP BY start),
+  r AS (SELECT start, tier, count(*) FILTER (outcome = 'success') / count(*)::DOUBLE AS r FROM a GROUP BY 1, 2), b AS (SELECT start, tier, r, row_number() OVER (PARTITION BY start ORDER BY r DESC, tier) AS k FROM r)
+  SELECT g.start AS start, attempts, success_rate, avg_ms, l[CAST(floor(len(l) * 0.5) AS BIGINT) + 1] AS p50_ms, l[CAST(floor(len(l) * 0.95) AS BIGINT) + 1] AS p95_ms, l[CAST(floor(len(l) * 0.99) AS BIGINT) + 1] AS p99_ms, tier AS top_tier, round(r, 6) AS top_tier_rate FROM g JOIN b ON g.start = b.start AND k = 1""")
+def timeseries(s, d):
+    return telemetry.timeseries(view(s, d, "attempts"))
+
+
+@query("""WITH t AS (SELECT DISTINCT CASE WHEN doc_id % 3 = 0 THEN '_:n' || (doc_id * 7 % 50) ELSE source END AS s, lang AS p, CASE WHEN doc_id % 4 = 0 THEN '_:n' || (doc_id * 11 % 50) ELSE 'o' || (n_chars % 5) END AS o FROM documents WHERE lang IS NOT NULL AND n_chars IS NOT NULL AND source IS NOT NULL),
+  m AS (SELECT x, row_number() OVER (ORDER BY s, p, o, i) AS k FROM (SELECT s, p, o, 0 AS i, s AS x FROM t UNION ALL SELECT s, p, o, 1, o FROM t) WHERE starts_with(x, '_:')), n AS (SELECT x, '_:b' || (row_number() OVER (ORDER BY min(k)) - 1) AS name FROM m GROUP BY x)
+  SELECT coalesce(a.name, s) AS s, p, coalesce(b.name, o) AS o FROM t LEFT JOIN n a ON a.x = s LEFT JOIN n b ON b.x = o""")
+def named_blanks(s, d):
+    k = F.col("doc_id")
+    blank = lambda f: F.concat(F.lit("_:n"), (k * f % 50).cast("string"))
+    rows = view(s, d, "documents").where("lang is not null and n_chars is not null and source is not null")
+    return catalog.named_blanks(rows.select(F.when(k % 3 == 0, blank(7)).otherwise(F.col("source")).alias("s"), F.col("lang").alias("p"), F.when(k % 4 == 0, blank(11)).otherwise(F.concat(F.lit("o"), (F.col("n_chars") % 5).cast("string"))).alias("o")))
+
+
+_DONE = """SELECT v.version_id AS version_id, service, created_at, CASE WHEN NOT EXISTS (SELECT 1 FROM @artifacts a WHERE a.version_id = v.version_id) THEN 'download' WHEN NOT EXISTS (SELECT 1 FROM @files f WHERE f.version_id = v.version_id AND f.format = 'en') THEN 'extract' END AS stopped_at FROM @versions v"""
+
+
+def _done(s, d):
+    files = view(s, d, "files").where("format = 'en'")
+    return catalog.committed(view(s, d, "versions"), {"download": view(s, d, "artifacts"), "extract": files})
+
+
+@query(f"SELECT version_id, stopped_at FROM ({_DONE})")
+def committed_versions(s, d):
+    return _done(s, d).select("version_id", "stopped_at")
+
+
+@query(f"SELECT service, version_id FROM (SELECT *, row_number() OVER (PARTITION BY service ORDER BY created_at DESC, version_id DESC) AS r FROM ({_DONE}) WHERE stopped_at IS NULL) WHERE r = 1")
+def latest_pointers(s, d):
+    return catalog.latest_pointer(_done(s, d))
+
+
+@query("SELECT event_id, epoch_ms(ts) // 600000 AS slot, (row_number() OVER (PARTITION BY epoch_ms(ts) // 600000 ORDER BY ts, event_id) - 1) // 4 AS batch FROM events")
+def micro_batches(s, d):
+    return retrieval.micro_batches(view(s, d, "events"), 600_000, 4, key="event_id").select("event_id", "slot", "batch")

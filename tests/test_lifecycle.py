@@ -251,3 +251,17 @@ def test_rotation_keeps_parts_full(spark):
 
 def test_backoff_grows_to_its_bound(spark):
     assert [one(spark, lifecycle.backoff(F.lit(n))) for n in (0, 1, 2, 3, 20)] == [60.0, 60.0, 120.0, 240.0, 3600.0]
+
+
+def test_stream_counters_write_what_each_batch_adds(spark, tmp_path):
+    from lodestone.streaming import telemetry as streams
+
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    for i, keys in enumerate(("aab", "ac", "bbb")):
+        (src / f"{i}.json").write_text("".join(f'{{"k": "{k}"}}\n' for k in keys))
+        counts = streams.running_counts(spark.readStream.schema("k string").json(str(src)), ["k"])
+        q = streams.deltas(counts, ["k"], out, str(tmp_path / "check")).trigger(availableNow=True).start()
+        q.awaitTermination(60)
+    got = {(r.batch, r.k): (r.total, r.added) for r in spark.read.parquet(out).collect()}
+    assert got == {(0, "a"): (2, 2), (0, "b"): (1, 1), (1, "a"): (3, 1), (1, "c"): (1, 1), (2, "b"): (4, 3)}
