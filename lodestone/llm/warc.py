@@ -204,9 +204,11 @@ def write_warc(pages: DataFrame, uri: str, least: int = LEAST_REVISIT) -> DataFr
     spark = prepare(pages.sparkSession)
     html = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html"), F.sha2(F.encode(html, "UTF-8"), 256).alias("digest"))
-    long = rows.filter(F.octet_length(F.coalesce(F.col("html"), F.lit(""))) >= least)
-    first = long.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) & F.col("first_id").isNotNull())
-    rows = rows.join(first.select("digest", "first_id"), "digest", "left")
+    # payloads too short to be referred to have keys of their own, so that they do not meet in one task
+    rows = rows.withColumn("same", F.when(F.octet_length(html) >= least, F.col("digest")).otherwise(F.concat(F.lit("-"), F.xxhash64("page_id", "url").cast("string"))))
+    first = rows.groupBy("same").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) & F.col("first_id").isNotNull() & ~F.col("same").startswith("-"))
+    # written first: of two plain sides Spark splits the one where a payload is very common
+    rows = rows.join(settle(first.select("same", "first_id"), "first"), "same", "left")
     refers = F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("first_id")), F.col("first_id"))
     rows = rows.select("page_id", "url", "html", "digest", refers.alias("refers_to"))
     return settle(rows.mapInArrow(_write(uri), "path string, records long"), "warc-manifest")
