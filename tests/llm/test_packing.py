@@ -52,3 +52,14 @@ def test_pieces_cover_each_id_once(docs, rows, nothing):
             at += n
         assert at <= 4096
     assert packing.pack(nothing, PATH).collect() == []
+
+
+def test_little_padding_and_rows_without_id(spark):
+    r = random.Random(7)
+    rows = [(k if k % 3 else None, " ".join(r.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(int(2 ** r.uniform(0, 12))))) for k in range(900)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), PATH, group_docs=200)
+    one = got.agg({"length": "sum", "sequence_id": "approx_count_distinct"}).first()
+    sequences, groups = got.select("sequence_id").distinct().count(), {s.sequence_id >> 32 for s in got.select("sequence_id").collect()}
+    assert one["sum(length)"] / (sequences * 4096) > 0.95
+    # rows without doc_id are spread over the groups
+    assert {s.sequence_id >> 32 for s in got.filter("doc_id is null").collect()} == groups and len(groups) == 5
