@@ -296,7 +296,7 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, trai
 def score(docs: DataFrame, model: tuple[Crf, np.ndarray], threshold: float = THRESHOLD, with_spans: bool = False, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """score (0 to 1), predicted (1 from `threshold` on) and toxic_words of every text, beside the columns in `keep`; with_spans adds the words with a marginal of one half or more, by byte offsets.
 
-    Null and empty texts have no words and get the score of such a document, below one half of the threshold in general;
+    Null, empty and wordless texts get the score of a text none of whose words is toxic;
     texts of any length are read whole; repeated rows are scored each; an empty table gives no rows; columns not in
     `keep` play no part, so clashing names do not matter.
     """
