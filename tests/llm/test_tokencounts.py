@@ -40,3 +40,12 @@ def test_odd_edits(spark):
     df = spark.createDataFrame([(1, "hello world", [(20, 30, "x"), (3, None, None), None, (0, 5, "AB"), (2, 4, "C")]), (2, None, None)], "doc_id long, text string, edits array<struct<start:int,stop:int,text:string>>")
     got = {r.doc_id: r for r in tokencounts.counts(df, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).collect()}
     assert got[1].edited_chars == len("AB" + "C" + " world" + "x") and got[2].edited_tokens == 0
+
+
+def test_one_very_long_pre_token():
+    c = tokencounts.counter(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    d = tokencounts.Document("ab" * 15_000, c)
+    for a, b, new in ((0, 0, "x"), (10_000, 10_003, "yz"), (29_000, 30_000, ""), (5, 5, " ")):
+        want = d.text[:a] + new + d.text[b:]
+        d.edit(a, b, new)
+        assert d.text == want and d.tree.total == len(c.bpe.encode_ordinary(want))

@@ -43,3 +43,13 @@ def test_payloads_come_back(tmp_path):
     with open(w.done[0][0], "rb") as f:
         back = list(warc.read_archive(f))
     assert [b.split(b"\r\n\r\n", 1)[1] for _, b in back] == [f"body {k} {'y' * k}".encode() for k in range(40)]
+
+
+def test_a_payload_of_many_megabytes_and_its_copies(spark):
+    big = "".join(chr(0x4E00 + k % 5000) for k in range(1_500_000)) + "z" * 3_000_000
+    rows = [(k, "u", big) for k in (4, 2, 8)] + [(1, "u", "short")] * 3
+    prepare(spark)
+    uri = fresh_dir(spark, "warc")
+    got = sorted(tuple(r) for r in warc.read_warc(warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string"), uri), uri).drop("url", "payload_digest").collect())
+    n = len(big.encode())
+    assert got == [(1, 5, "response", None)] * 3 + [(2, n, "response", None), (4, n, "revisit", 2), (8, n, "revisit", 2)]
