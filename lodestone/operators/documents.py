@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.ordering import numbered
 from ..functions.scalars import chunk_uuid, tokenize, unescape_html
 
 #: Texts that open a section (fixed values).
@@ -111,12 +112,10 @@ def sparsity(vectors: DataFrame, weights: str = "weights") -> DataFrame:
 
 
 def batches(rows: DataFrame, length: str, size: int, key: str) -> DataFrame:
-    """Batches of like lengths (to a power of two), so that padding stays small."""
-    from pyspark.sql import Window
-
+    """Batches of like lengths (to a power of two), so that padding stays small; rows go in the order of an integer key."""
     bucket = F.ceil(F.log2(F.greatest(F.col(length), F.lit(1)).cast("double"))).cast("int")
-    w = Window.partitionBy("bucket").orderBy(key)
-    return rows.withColumn("bucket", bucket).withColumn("batch", F.floor((F.row_number().over(w) - 1) / size))
+    out = numbered(rows.withColumn("bucket", bucket), ["bucket"], key, "__at")
+    return out.withColumn("batch", F.floor(F.col("__at") / F.lit(size))).drop("__at")
 
 
 def case_collisions(paths: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.ordering import numbered
+
 #: What a lock file holds of each plan.
 PLAN = T.StructType().add("id", "string").add("resolver", "string").add("url", "string").add("filename", "string").add("version", "string").add("license", "string").add("media_type", "string").add("service", "string").add("checksum", "string")
 
@@ -98,17 +100,8 @@ def compacted(manifest: DataFrame, key: str = "doc_id", order: str = "seq") -> D
 
 
 def rotate(manifest: DataFrame, most: int, order: str = "seq") -> DataFrame:
-    """Entries with the number of the part they belong to: parts of `most` entries in order, the last one open (0 is the oldest).
-
-    Entries are counted in ranges of the order first, so no task sorts them all.
-    """
-    lo, hi, n = manifest.agg(F.min(order), F.max(order), F.count(F.lit(1))).first()
-    width = max(1, (hi - lo + 1) * most // max(1, n)) if n else 1
-    rows = manifest.withColumn("__g", F.floor((F.col(order) - F.lit(lo)) / F.lit(width)))
-    ahead = rows.groupBy("__g").agg(F.count(F.lit(1)).alias("__n"))
-    ahead = ahead.select("__g", F.coalesce(F.sum("__n").over(Window.orderBy("__g").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__a"))
-    at = F.col("__a") + F.row_number().over(Window.partitionBy("__g").orderBy(order)) - 1
-    return rows.join(ahead, "__g").withColumn("part", F.floor(at / F.lit(most)).cast("long")).drop("__g", "__a")
+    """Entries with the number of the part they belong to: parts of `most` entries in order, the last one open (0 is the oldest)."""
+    return numbered(manifest, [], order, "__at").withColumn("part", F.floor(F.col("__at") / F.lit(most)).cast("long")).drop("__at")
 
 
 def url_index(entries: DataFrame, url: str = "canonical_url", order: str = "seq", existing: DataFrame | None = None, path: str = "path") -> DataFrame:
