@@ -86,16 +86,20 @@ def sparse_search(queries: DataFrame, index: DataFrame, k: int = CHANNEL_K, key:
 def bm25_search(queries: DataFrame, post: DataFrame, k: int = CHANNEL_K, key: str = "doc_id", k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """Okapi over stored weights 1 + ln(1 + tf); query weights do not count, lengths are token counts."""
     asked = queries.select("query_id", "term").distinct()
-    one, _ = corpus_stats(post, key)
-    # frequencies are wanted of the queries' terms alone
-    df = post.join(few(asked.select("term").distinct()), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    terms = df.join(F.broadcast(one)).select("term", idf.alias("idf"), "avgdl")  # one row
+    rows = with_lengths(post, key)
+    # one pass gives the frequencies of the queries' terms, and documents and lengths, each counted at a document's first term
+    first = F.min("term").over(Window.partitionBy(key)) == F.col("term")
+    wanted = few(asked.select("term").distinct().withColumn("__t", F.lit(True)))
+    counts = rows.withColumn("__1", first).join(wanted, "term", "left").groupBy(F.when(F.col("__t"), F.col("term")).alias("term"))
+    counts = counts.agg(F.count(F.lit(1)).alias("df"), F.count_if("__1").alias("n"), F.sum(F.when(F.col("__1"), F.col("dl"))).alias("d"))
+    whole = Window.partitionBy()  # of a row a term
+    counts = counts.select("term", "df", F.sum("n").over(whole).alias("n_docs"), (F.sum("d").over(whole) / F.sum("n").over(whole)).alias("avgdl")).where("term is not null")
+    terms = counts.select("term", F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"), "avgdl")
     asked = asked.join(terms, "term")
     asked = F.broadcast(asked) if queries.limit((1 << 20) + 1).count() <= 1 << 20 else asked  # a row for each of theirs at most
     tf = 1 + F.log1p("tf")
     s = F.col("idf") * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
-    hits = with_lengths(post, key).join(asked, "term").groupBy("query_id", key).agg(F.round(F.sum(s), DIGITS).alias("score"))
+    hits = rows.join(asked, "term").groupBy("query_id", key).agg(F.round(F.sum(s), DIGITS).alias("score"))
     return top_k(hits.where("score > 0"), k, key)
 
 
