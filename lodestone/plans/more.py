@@ -284,7 +284,7 @@ def chunk_dataset(s, d):
     rows = view(s, d, "documents").select(
         F.col("doc_id").cast("string").alias("doc_id"), F.lit(0).cast("long").alias("chunk_id"), F.coalesce("text", F.lit("")).alias("text"), F.col("n_chars").cast("int").alias("tokens"),
         F.struct(F.lit(0).alias("start"), F.col("n_chars").cast("int").alias("end")).alias("span"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 90).cast("int")).cast("timestamp").alias("created_at"),
-        F.lit("docparse/chunks/1.0.0").alias("schema_version"), F.lit(None).cast("string").alias("section"), F.create_map(F.lit("lang"), F.coalesce("lang", F.lit(""))).alias("meta"),
+        F.lit("chunks/1.0.0").alias("schema_version"), F.lit(None).cast("string").alias("section"), F.create_map(F.lit("lang"), F.coalesce("lang", F.lit(""))).alias("meta"),
     )
     datasets.write_dataset(rows, root, datasets.CHUNKS, fmt="parquet")
     back = datasets.open_chunks(s, root, where="mm >= 2")
