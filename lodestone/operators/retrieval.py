@@ -230,13 +230,13 @@ def dense_weight(base: float, lexical_rate) -> Column:
 
 
 def mmr_order(scores: np.ndarray, vectors: np.ndarray, lam: float = LAMBDA, k: int | None = None) -> list[int]:
-    """Greedy maximal marginal relevance: lam * relevance - (1 - lam) * largest cosine to what is chosen; ties to the earlier row."""
+    """Greedy maximal marginal relevance: lam * relevance - (1 - lam) * largest cosine to what is chosen, rounded; ties to the earlier row."""
     n = np.linalg.norm(vectors, axis=1, keepdims=True)
     unit = vectors / np.where(n > 0, n, 1)
     left, chosen = np.ones(len(scores), bool), []
     near = np.zeros(len(scores))
     for _ in range(min(k or len(scores), len(scores))):
-        gain = np.where(left, lam * scores - (1 - lam) * near, -np.inf)
+        gain = np.where(left, np.round(lam * scores - (1 - lam) * near, DIGITS), -np.inf)
         i = int(np.argmax(gain))
         chosen.append(i)
         left[i] = False

@@ -555,10 +555,17 @@ def hybrid_filtered(s, d):
     return found.select("query_id", "doc_id", "fused_rank", F.round("score", 9).alias("score"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {_fused(_CHANNELS, 'true', True)}, h AS (SELECT query_id, doc_id, score, fused_rank AS rank FROM g WHERE fused_rank <= 200),
+  p AS (SELECT query_id, doc_id, map(list(other), list(x)) AS near FROM (SELECT a.query_id AS query_id, a.doc_id AS doc_id, b.doc_id AS other, CASE WHEN q.vec_id IS NULL OR c.vec_id IS NULL THEN 0 ELSE {_DOT} / ({_NORM.format("q")} * {_NORM.format("c")}) END AS x
+    FROM h a JOIN h b ON a.query_id = b.query_id LEFT JOIN embeddings q ON q.vec_id = a.doc_id LEFT JOIN embeddings c ON c.vec_id = b.doc_id) GROUP BY 1, 2),
+  m AS (SELECT query_id, 1 AS k, [doc_id] AS ids FROM h WHERE rank = 1 UNION ALL
+    SELECT query_id, k + 1, list_append(ids, arg_min(doc_id, [-gain, rank::DOUBLE])) FROM (SELECT m.query_id AS query_id, m.k AS k, m.ids AS ids, h.doc_id AS doc_id, h.rank AS rank, round(0.6::DOUBLE * h.score - 0.4::DOUBLE * list_max(list_transform(m.ids, lambda i: p.near[i])), 9) AS gain
+      FROM m JOIN h ON h.query_id = m.query_id AND NOT list_contains(m.ids, h.doc_id) JOIN p ON p.query_id = h.query_id AND p.doc_id = h.doc_id WHERE m.k < 10) GROUP BY query_id, k, ids)
+  SELECT m.query_id AS query_id, h.doc_id AS doc_id, round(h.score, 9) AS score, CAST(m.i AS INTEGER) AS mmr_rank FROM (SELECT query_id, unnest(ids) AS doc_id, generate_subscripts(ids, 1) AS i FROM m WHERE k = 10) m JOIN h ON h.query_id = m.query_id AND h.doc_id = m.doc_id""")
 def hybrid_diverse(s, d):
     items, docs, vectors = _asked(s, d)
-    return retrieval.hybrid(items, docs, tokens=ascii_tokens(), q_tokens=ascii_tokens(), vectors=vectors, diversify=True)
+    found = retrieval.hybrid(items, docs, tokens=ascii_tokens(), q_tokens=ascii_tokens(), vectors=vectors, diversify=True)
+    return found.withColumn("score", F.round("score", 9))
 
 
 @query(f"""WITH s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, {_COS} AS score FROM embeddings q, embeddings c WHERE q.vec_id % 100 = 0)
@@ -586,21 +593,33 @@ def range_search(s, d):
     return retrieval.dense_search(asked, v, None, 0.5).select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"))
 
 
-@query()
+@query(f"""WITH RECURSIVE h AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, {_COS} AS score FROM embeddings q, embeddings c WHERE q.vec_id % 100 = 0)) WHERE rank <= 50),
+  p AS (SELECT query_id, vec_id, map(list(other), list(x)) AS near FROM (SELECT a.query_id AS query_id, a.vec_id AS vec_id, b.vec_id AS other, {_DOT} / ({_NORM.format("q")} * {_NORM.format("c")}) AS x FROM h a JOIN h b ON a.query_id = b.query_id JOIN embeddings q ON q.vec_id = a.vec_id JOIN embeddings c ON c.vec_id = b.vec_id) GROUP BY 1, 2),
+  m AS (SELECT query_id, 1 AS k, [vec_id] AS ids FROM h WHERE rank = 1 UNION ALL
+    SELECT query_id, k + 1, list_append(ids, arg_min(vec_id, [-gain, rank::DOUBLE])) FROM (SELECT m.query_id AS query_id, m.k AS k, m.ids AS ids, h.vec_id AS vec_id, h.rank AS rank, round(0.6::DOUBLE * h.score - 0.4::DOUBLE * list_max(list_transform(m.ids, lambda i: p.near[i])), 9) AS gain
+      FROM m JOIN h ON h.query_id = m.query_id AND NOT list_contains(m.ids, h.vec_id) JOIN p ON p.query_id = h.query_id AND p.vec_id = h.vec_id WHERE m.k < 10) GROUP BY query_id, k, ids)
+  SELECT m.query_id AS query_id, h.vec_id AS vec_id, round(h.score, 6) AS score, CAST(m.i AS INTEGER) AS mmr_rank FROM (SELECT query_id, unnest(ids) AS vec_id, generate_subscripts(ids, 1) AS i FROM m WHERE k = 10) m JOIN h ON h.query_id = m.query_id AND h.vec_id = m.vec_id""")
 def mmr_rerank(s, d):
     v = view(s, d, "embeddings")
     asked = v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
     hits = retrieval.dense_search(asked, v, 50).join(v.select("vec_id", F.col("embedding").alias("vector")), "vec_id")
-    return retrieval.mmr(hits.drop("rank"), key="vec_id")
+    return retrieval.mmr(hits.drop("rank"), key="vec_id").withColumn("score", F.round("score", 6))
 
 
-@query()
+@query(f"""WITH RECURSIVE h AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, c.label AS doc, {_COS} AS score FROM embeddings q, embeddings c WHERE q.vec_id % 100 = 0)) WHERE rank <= 50),
+  p AS (SELECT query_id, vec_id, map(list(other), list(x)) AS near FROM (SELECT a.query_id AS query_id, a.vec_id AS vec_id, b.vec_id AS other, {_DOT} / ({_NORM.format("q")} * {_NORM.format("c")}) AS x FROM h a JOIN h b ON a.query_id = b.query_id JOIN embeddings q ON q.vec_id = a.vec_id JOIN embeddings c ON c.vec_id = b.vec_id) GROUP BY 1, 2),
+  m AS (SELECT DISTINCT query_id, 0 AS k, 0::BIGINT AS t, 0::BIGINT AS b, []::BIGINT[] AS ids, []::BIGINT[] AS docs, false AS ended FROM h UNION ALL
+    SELECT query_id, k + 1, CASE WHEN (over OR burst) THEN t ELSE t + nt END, CASE WHEN (over OR burst) THEN b ELSE b + nb END, CASE WHEN (over OR burst) THEN ids ELSE list_append(ids, vec_id) END, CASE WHEN (over OR burst) THEN docs ELSE list_append(docs, doc) END, NOT over AND burst
+    FROM (SELECT m.*, h.vec_id AS vec_id, h.doc::BIGINT AS doc, h.vec_id % 90 + 10 AS nt, h.vec_id % 700 + 100 AS nb, len(list_filter(m.docs, lambda x: x = h.doc)) >= 3 OR coalesce(list_max(list_transform(m.ids, lambda i: p.near[i])) >= 0.98, false) AS over, m.t + h.vec_id % 90 + 10 > 2000 OR m.b + h.vec_id % 700 + 100 > 32000 AS burst
+      FROM m JOIN h ON h.query_id = m.query_id AND h.rank = m.k + 1 JOIN p ON p.query_id = h.query_id AND p.vec_id = h.vec_id WHERE NOT m.ended)),
+  z AS (SELECT query_id, arg_max(ids, k) AS ids FROM m GROUP BY query_id)
+  SELECT z.query_id AS query_id, h.vec_id AS chunk_id, h.doc::BIGINT AS doc, round(h.score, 6) AS score, CAST(h.rank AS INTEGER) AS fused_rank FROM z JOIN h ON h.query_id = z.query_id AND list_contains(z.ids, h.vec_id)""")
 def shaped_results(s, d):
     v = view(s, d, "embeddings")
     asked = v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
     hits = retrieval.dense_search(asked, v, 50).join(v.select("vec_id", "label", F.col("embedding").alias("vector")), "vec_id")
     rows = hits.select("query_id", F.col("vec_id").alias("chunk_id"), F.col("label").cast("long").alias("doc"), "score", F.col("rank").alias("fused_rank"), (F.col("vec_id") % 90 + 10).alias("tokens"), (F.col("vec_id") % 700 + 100).alias("bytes"), "vector")
-    return retrieval.shape(rows)
+    return retrieval.shape(rows).withColumn("score", F.round("score", 6))
 
 
 @query("""SELECT doc_id, n_chars FROM documents WHERE n_chars < 3000 OR (n_chars = 3000 AND doc_id > 10) ORDER BY n_chars DESC, doc_id LIMIT 20""")
