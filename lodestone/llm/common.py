@@ -34,6 +34,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or getattr(spark, "_lodestone_shared", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set, and executors do not see a folder of the driver")
         folder = "file://" + tempfile.mkdtemp(prefix="lodestone-")
         spark._lodestone_shared = folder
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
@@ -73,6 +75,15 @@ def settle(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers that one task takes: so few are not worth a shuffle.
+ONE_TASK = 1 << 17
+
+
+def only_task(df: DataFrame, whole: bool) -> DataFrame:
+    """The table in one partition, if it is known to be small: joins and groups of such tables need no shuffle."""
+    return df.coalesce(1) if whole else df
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column, and its offsets; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

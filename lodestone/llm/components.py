@@ -5,21 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle
-
-#: Links that one task takes: so few are not worth a shuffle.
-ONE_TASK = 1 << 17
+from .common import ONE_TASK, only_task, settle
 
 
 def _stars(e: DataFrame, large: bool, whole: bool) -> DataFrame:
     """e: (u, v) with u > v. Large star: every larger neighbour of a node is tied to the node's least neighbour; small star: every smaller one is."""
-    one = lambda df: df.coalesce(1) if whole else df
-    sym = one(e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else e)
+    sym = only_task(e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else e, whole)
     least = sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     tied = sym.filter("v > u") if large else sym
     tied = tied.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
     if not large:
-        tied = one(tied.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))))
+        tied = only_task(tied.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))), whole)
     return tied.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
 
 

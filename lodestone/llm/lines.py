@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, settle
+from .common import ONE_TASK, only_task, prepare, settle
 
 MIN_WORDS = 10
 GAP = "[\\x20\\x09-\\x0D]+"
@@ -42,28 +42,35 @@ def suffixes(docs: DataFrame, min_words: int) -> DataFrame:
     return some.select(*PLACE, F.col("s.line").alias("line"), F.col("s.line").alias("last"), F.xxhash64("s.x").alias("h1"), F.xxhash64(F.lit(7), "s.x").alias("h2"), F.least(words, F.lit(min_words)).alias("words"))
 
 
-def _groups(rows: DataFrame, by: list[str]) -> DataFrame:
+def _groups(rows: DataFrame, by: list[str], whole: bool) -> DataFrame:
     """Of groups found at two places or more: their keys, rank (their place in the order of their keys) and first place."""
     place = F.struct(*PLACE)
-    seen = rows.groupBy(*by).agg(F.min(place).alias("first"), F.max(place).alias("end")).filter("first <> end")
+    seen = only_task(rows, whole).groupBy(*by).agg(F.min(place).alias("first"), F.max(place).alias("end")).filter("first <> end")
     seen = seen.select(*by, *(F.col(f"first.{p}").alias(f) for p, f in zip(PLACE, FIRST)))
-    return settle(seen.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("rank", F.monotonically_increasing_id()), "ranks")
+    seen = seen if whole else seen.repartitionByRange(*by)
+    return only_task(settle(seen.sortWithinPartitions(*by).withColumn("rank", F.monotonically_increasing_id()), "ranks"), whole)
 
 
 def _same(a: tuple, b: tuple) -> Column:
     return reduce(lambda x, y: x & y, (F.col(i) == F.col(j) for i, j in zip(a, b)))
 
 
-def levels(docs: DataFrame, min_words: int) -> list[DataFrame]:
-    """Level k has (key, sub, ord, line, last, words, rank, fk, fs, fo) of the suffixes whose first 2**k lines are found again, with the first place of these lines."""
-    rows = settle(suffixes(docs, min_words).distinct(), "suffixes")
-    out, by = [], ["h1", "h2"]
+def levels(docs: DataFrame, min_words: int) -> list[tuple[DataFrame, int]]:
+    """Level k has (key, sub, ord, line, last, words, rank, fk, fs, fo) of the suffixes whose first 2**k lines are found again, with the first place of these lines; and its number of rows."""
+    rows = settle(suffixes(docs, min_words), "suffixes")
+    out: list[tuple[DataFrame, int]] = []
+    by, whole = ["h1", "h2"], rows.count() <= ONE_TASK
     while True:
-        out.append(settle(rows.join(_groups(rows, by), by).select(*PLACE, "line", "last", "words", "rank", *FIRST), "level"))
-        if out[-1].isEmpty():
-            return out[:-1]
-        on = out[-1].select(*DOC, F.col("ord").alias("at"), F.col("last").alias("to"), F.col("words").alias("more"), F.col("rank").alias("r2"))
-        rows = out[-1].withColumn("at", F.col("ord") + F.lit(1 << (len(out) - 1))).join(on, [*DOC, "at"])
+        found = only_task(rows, whole).join(_groups(rows, by, whole), by).select(*PLACE, "line", "last", "words", "rank", *FIRST)
+        # rows that are repeated whole are one document
+        found = settle(found if out else found.distinct(), "level")
+        n = found.count()
+        if not n:
+            return out
+        whole = n <= ONE_TASK
+        out.append((found, n))
+        on = found.select(*DOC, F.col("ord").alias("at"), F.col("last").alias("to"), F.col("words").alias("more"), F.col("rank").alias("r2"))
+        rows = only_task(found, whole).withColumn("at", F.col("ord") + F.lit(1 << (len(out) - 1))).join(only_task(on, whole), [*DOC, "at"])
         rows = settle(rows.select(*PLACE, "line", F.col("to").alias("last"), F.least(F.col("words") + F.col("more"), F.lit(min_words)).alias("words"), F.col("rank").alias("r1"), "r2"), "pairs")
         by = ["r1", "r2"]
 
@@ -74,27 +81,30 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     names = [*PLACE, "line", "last", "words", "rank", *FIRST, "n"]
     if not level:
         return docs.sparkSession.createDataFrame([], "key long, sub long, ord int, line int, last int, n int, words int, fk long, fs long, fo int")
-    later = [x.filter(~_same(PLACE, FIRST)) for x in level]
+    later = [x.filter(~_same(PLACE, FIRST)) for x, _ in level]
     held = None
     for k in range(len(level) - 1, -1, -1):
-        here = later[k] if k + 1 == len(level) else later[k].join(later[k + 1].select(*PLACE), [*PLACE], "left_anti")
+        # what is held at level k lies in that level
+        whole = level[k][1] <= ONE_TASK
+        here = only_task(later[k], whole)
+        here = here if k + 1 == len(level) else here.join(only_task(later[k + 1].select(*PLACE), whole), [*PLACE], "left_anti")
         here = here.withColumn("n", F.lit(1 << k)).select(*names)
-        held = here if held is None else held.unionByName(here)
+        held = here if held is None else only_task(held.unionByName(here), whole)
         if k:
             d = k - 1
-            held = settle(held, "held")
+            held = only_task(settle(held, "held"), whole)
             heads = held.select("n", "rank", *FIRST).distinct().select("n", "rank", *(F.col(f).alias(p) for p, f in zip(PLACE, FIRST)))
-            all_ = held.select("n", "rank", *PLACE).unionByName(heads).withColumn("at", F.col("ord") + F.col("n"))
-            on = level[d].select(*DOC, F.col("ord").alias("at"), F.col("last").alias("to"), F.col("words").alias("more"), F.col("rank").alias("r2"))
+            all_ = only_task(held.select("n", "rank", *PLACE).unionByName(heads), whole).withColumn("at", F.col("ord") + F.col("n"))
+            on = only_task(level[d][0], level[d][1] <= ONE_TASK).select(*DOC, F.col("ord").alias("at"), F.col("last").alias("to"), F.col("words").alias("more"), F.col("rank").alias("r2"))
             far = settle(all_.join(on, [*DOC, "at"]).select("n", F.col("rank").alias("r1"), "r2", *PLACE, "to", "more"), "far")
-            grown = far.join(_groups(far, ["n", "r1", "r2"]), ["n", "r1", "r2"]).filter(~_same(PLACE, FIRST))
+            grown = only_task(far, whole).join(_groups(far, ["n", "r1", "r2"], whole), ["n", "r1", "r2"]).filter(~_same(PLACE, FIRST))
             grown = grown.select(*PLACE, F.struct("to", "more", "rank", *FIRST).alias("g"))
             held = held.join(grown, [*PLACE], "left")
             step = {"last": "g.to", "rank": "g.rank", **{f: f"g.{f}" for f in FIRST}}
             made = {c: F.when(F.col("g").isNotNull(), F.col(x)).otherwise(F.col(c)) for c, x in step.items()}
             made["n"] = F.when(F.col("g").isNotNull(), F.col("n") + F.lit(1 << d)).otherwise(F.col("n"))
             made["words"] = F.when(F.col("g").isNotNull(), F.least(F.col("words") + F.col("g.more"), F.lit(min_words))).otherwise(F.col("words"))
-            held = settle(held.select(*(made[c].alias(c) if c in made else F.col(c) for c in names)), "held")
+            held = held.select(*(made[c].alias(c) if c in made else F.col(c) for c in names))
     return held.select(*PLACE, "line", "last", "n", "words", *FIRST)
 
 
