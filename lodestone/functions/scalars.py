@@ -193,7 +193,7 @@ def human_bytes(col) -> Column:
     x = F.col(col) if isinstance(col, str) else col
     out = F.concat(x.cast("string"), F.lit(" B"))
     for k, unit in enumerate(("KB", "MB", "GB", "TB"), 1):
-        out = F.when(x >= 1024**k, F.format_string(f"%.2f {unit}", x / float(1024**k))).otherwise(out)
+        out = F.when(x >= 1024**k, F.format_string(f"%.2f {unit}", F.bround(x / float(1024**k), 2))).otherwise(out)
     return out
 
 
