@@ -30,6 +30,8 @@ CHAIN = 2
 LIKE = 0.8
 #: Documents in a range, in the mean, on large tables.
 RANGE_ROWS = 16384
+#: Documents whose results a task holds at once.
+WALK_ROWS = 64
 #: Common words of English, German, French and Spanish (our own choice).
 SPOTS = frozenset("the a an is was of to in and it that this with for der die das ein eine ist und den dem nicht mit von zu le la les un une est et de des que qui pour dans el los las una es y en por con del se".split())
 WORD = re.compile(r"[^\W_]+")
@@ -85,7 +87,8 @@ def _walk():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # part, doc_id, text, borrowed: in order of part and doc_id; a borrowed row ends its part and gives no output
         held = None
-        for batch in batches:
+        # fingerprints are longer than texts, so few rows are held at once
+        for batch in (b.slice(i, WALK_ROWS) for b in batches for i in range(0, b.num_rows, WALK_ROWS)):
             rows = []
             for part, doc, text, borrowed in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 text = text or ""
@@ -129,7 +132,8 @@ def chained(docs: DataFrame, rows: int) -> DataFrame:
     places = F.array_compact(F.array(F.struct(F.col("p.part").alias("part"), F.lit(False).alias("borrowed")), F.when(F.col("p.before") >= 0, F.struct(F.col("p.before").alias("part"), F.lit(True).alias("borrowed")))))
     dealt = placed.select("doc_id", "text", F.explode(places).alias("q")).select("q.part", "doc_id", "text", "q.borrowed").unionByName(none)
     # of rows that repeat an id, one stands for the id in the range before; those without id come first
-    return dealt.repartition("part").sortWithinPartitions("part", "borrowed", F.col("doc_id").asc_nulls_first(), "text")
+    tasks = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(tasks, "part").sortWithinPartitions("part", "borrowed", F.col("doc_id").asc_nulls_first(), "text")
 
 
 def fingerprints(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
