@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard, lines, mixing, packing, spotsigs, substrings, tokencounts, topk, toxicity, warc
+from . import hardnegatives, jaccard, lines, mixing, packing, spotsigs, substrings, tokencounts, topk, toxicity, warc
 
 QUERIES = {
     "op1_jaccard": jaccard.op1_jaccard,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_spotsigs": spotsigs.op9_spotsigs,
     "op10_packing": packing.op10_packing,
+    "op11_hard_negatives": hardnegatives.op11_hard_negatives,
 }
 
 ORACLE = {
@@ -22,4 +23,5 @@ ORACLE = {
     "op3_warc": warc.OP3_SQL,
     "op4_lines": lines.OP4_SQL,
     "op5_topk": topk.OP5_SQL,
+    "op11_hard_negatives": hardnegatives.OP11_SQL,
 }
