@@ -89,6 +89,18 @@ def settle(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settle_buckets(df: DataFrame, key: str, buckets: int, what: str) -> DataFrame:
+    """Like `settle`, with the rows of a key in one bucket, so that a join by it need not shuffle this side. No table stays in the catalog."""
+    spark = df.sparkSession
+    path = fresh_dir(spark, what)
+    name = "lodestone_" + uuid.uuid4().hex
+    df.write.bucketBy(buckets, key).option("path", path).format("parquet").saveAsTable(name)
+    table = spark.table(name)
+    _ = table.schema  # resolves the files before the name goes
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 #: Rows of a few numbers that one task takes: so few are not worth a shuffle.
 ONE_TASK = 1 << 17
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import hardnegatives, jaccard, lines, mixing, packing, spotsigs, substrings, tokencounts, topk, toxicity, warc
+from . import hardnegatives, jaccard, lines, mixing, packing, pieces, prefixtrie, spotsigs, substrings, tokencounts, topk, toxicity, warc
 
 QUERIES = {
     "op1_jaccard": jaccard.op1_jaccard,
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_spotsigs": spotsigs.op9_spotsigs,
     "op10_packing": packing.op10_packing,
     "op11_hard_negatives": hardnegatives.op11_hard_negatives,
+    "op12_prefix_trie": prefixtrie.op12_prefix_trie,
+    "op13_pieces": pieces.op13_pieces,
 }
 
 ORACLE = {
@@ -24,4 +26,5 @@ ORACLE = {
     "op4_lines": lines.OP4_SQL,
     "op5_topk": topk.OP5_SQL,
     "op11_hard_negatives": hardnegatives.OP11_SQL,
+    "op12_prefix_trie": prefixtrie.OP12_SQL,
 }
