@@ -803,4 +803,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hybrid_search(spark, sf_dir)
 
 
-from . import more  # noqa: E402, F401  its queries register here, too
+from . import more, stored  # noqa: E402, F401  their queries register here, too
