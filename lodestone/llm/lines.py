@@ -9,6 +9,7 @@
    it is not first among those that share L + d lines (d = 2**k-1, ..., 2, 1), L grows by d. Those that share L lines and
    are first at L + 2d, with the interval's own first place, are all that need to be compared, so each suffix is in one group a step.
 3. The maximal repeated run from a suffix is that interval's length. Runs of `min_words` words or more go, but for the first place.
+   Each line holds a word, so a longer run is covered by its parts of min_words lines or fewer: to delete, doubling stops at that many lines.
 Groups are counted with map-side aggregation and written out, so each join back has two plain sides, which Spark splits where one group is large.
 """
 
@@ -55,8 +56,8 @@ def _same(a: tuple, b: tuple) -> Column:
     return reduce(lambda x, y: x & y, (F.col(i) == F.col(j) for i, j in zip(a, b)))
 
 
-def levels(docs: DataFrame, min_words: int) -> list[tuple[DataFrame, int]]:
-    """Level k has (key, sub, ord, line, last, words, rank, fk, fs, fo) of the suffixes whose first 2**k lines are found again, with the first place of these lines; and its number of rows."""
+def levels(docs: DataFrame, min_words: int, most: int | None = None) -> list[tuple[DataFrame, int]]:
+    """Up to the level of `most` lines, if given: level k has (key, sub, ord, line, last, words, rank, fk, fs, fo) of the suffixes whose first 2**k lines are found again, with the first place of these lines; and its number of rows."""
     rows = settle(suffixes(docs, min_words), "suffixes")
     out: list[tuple[DataFrame, int]] = []
     by, whole = ["h1", "h2"], rows.count() <= ONE_TASK
@@ -69,15 +70,17 @@ def levels(docs: DataFrame, min_words: int) -> list[tuple[DataFrame, int]]:
             return out
         whole = n <= ONE_TASK
         out.append((found, n))
+        if most is not None and 1 << len(out) > most:
+            return out
         on = found.select(*DOC, F.col("ord").alias("at"), F.col("last").alias("to"), F.col("words").alias("more"), F.col("rank").alias("r2"))
         rows = only_task(found, whole).withColumn("at", F.col("ord") + F.lit(1 << (len(out) - 1))).join(only_task(on, whole), [*DOC, "at"])
         rows = settle(rows.select(*PLACE, "line", F.col("to").alias("last"), F.least(F.col("words") + F.col("more"), F.lit(min_words)).alias("words"), F.col("rank").alias("r1"), "r2"), "pairs")
         by = ["r1", "r2"]
 
 
-def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(key, sub, ord, line, last, n, words, fk, fs, fo): for each suffix whose first line is found earlier, the longest run of n lines that is, and the first place of that run; words stop at min_words."""
-    level = levels(docs, min_words)
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, most: int | None = None) -> DataFrame:
+    """With `most`, runs of more than that many lines may be given as shorter ones of no fewer lines. (key, sub, ord, line, last, n, words, fk, fs, fo): for each suffix whose first line is found earlier, the longest run of n lines that is, and the first place of that run; words stop at min_words."""
+    level = levels(docs, min_words, most)
     names = [*PLACE, "line", "last", "words", "rank", *FIRST, "n"]
     if not level:
         return docs.sparkSession.createDataFrame([], "key long, sub long, ord int, line int, last int, n int, words int, fk long, fs long, fo int")
@@ -118,7 +121,8 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     empty table gives no rows; other columns stay, whatever their names, but for n_lines and n_removed.
     """
     prepare(docs.sparkSession)
-    runs = repeated_runs(docs.select("doc_id", F.col("text").cast("string").alias("text")), min_words).filter(F.col("words") >= min_words)
+    # A line of a longer run lies in a part of it of min_words lines at most that has min_words words, and each such part is found for itself.
+    runs = repeated_runs(docs.select("doc_id", F.col("text").cast("string").alias("text")), min_words, min_words).filter(F.col("words") >= min_words)
     gone = runs.select(*DOC, F.explode(F.sequence("line", "last")).alias("at")).groupBy(*DOC).agg(F.sort_array(F.collect_set("at")).alias("__gone"))
     # a flag for each line up to the last that goes: zeros over each gap, then a one
     before = F.transform("__gone", lambda x, j: F.when(j > 0, F.get("__gone", j - 1)).otherwise(F.lit(-1)))
