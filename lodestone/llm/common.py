@@ -5,7 +5,6 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-import itertools
 import os
 import tempfile
 import uuid
@@ -68,24 +67,11 @@ def tidied(run):
     return then_tidy
 
 
-#: Written tables between two collections of the driver's garbage.
-RELIEVE_EVERY = 3
-_settled = itertools.count(1)
-
-
-def relieve(spark: SparkSession) -> None:
-    """Collect what finished plans, generated classes and task records leave on the driver, so that its heap shrinks again in long chains of jobs."""
-    tidy()  # first, as plans that Python still names are not garbage
-    spark._jvm.System.gc()
-
-
 def settle(df: DataFrame, what: str) -> DataFrame:
     """Write a table into the shared folder and read it again: cuts the lineage, and survives lost executors."""
     spark = df.sparkSession
     path = fresh_dir(spark, what)
     df.write.parquet(path)
-    if next(_settled) % RELIEVE_EVERY == 0:
-        relieve(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
