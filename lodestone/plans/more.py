@@ -2,27 +2,17 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import percentiles, scalars
 from ..operators import catalog, dedup, documents, evaluation, lifecycle, retrieval, telemetry, vector_index
 from ..sources import datasets, readers
+from ..sources.shared import fresh_dir
 from .catalogue import _COS, query, view
 
 
-def _folder(s, what: str) -> str:
-    """A new folder that executors share: below spark.checkpoint.dir, or, in local mode alone, a temporary one."""
-    root = s.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        if not s.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir is not set")
-        root = "file://" + os.path.join(tempfile.gettempdir(), "lodestone")
-    return f"{root.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+_folder = fresh_dir
 
 
 # --- percentile and scalar rules

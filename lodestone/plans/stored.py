@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import retrieval
+from ..operators import retrieval, vector_join
 from ..operators.lexical_index import LexicalIndex
 from .catalogue import _POST, ORACLE, ascii_tokens, query, view
 from .more import _folder
@@ -67,3 +67,27 @@ def stored_postings(s, d):
     index = _lexical(s, d)
     live = index.postings().join(F.broadcast(asked.select("query_id", "term").distinct()), "term").groupBy("query_id").agg(F.count(F.lit(1)).alias("postings"))
     return live.join(index.search(asked, 10, "bm25")[1], "query_id").select("query_id", "postings", (F.col("scored") <= F.col("total")).alias("skips"))
+
+
+# --- near duplicates among vectors
+
+_REPS = """r AS (SELECT min(vec_id) AS id, any_value(embedding) AS embedding FROM embeddings WHERE len(embedding) > 0 GROUP BY embedding)"""
+_LIKE = """round(list_sum(list_transform(range(1, len(x.embedding) + 1), lambda i: x.embedding[i]::DOUBLE * y.embedding[i]::DOUBLE)) / (sqrt(list_sum(list_transform(x.embedding, lambda v: v::DOUBLE * v::DOUBLE))) * sqrt(list_sum(list_transform(y.embedding, lambda v: v::DOUBLE * v::DOUBLE)))), 9)"""
+
+
+@query(f"WITH {_REPS} SELECT x.id AS a, y.id AS b, round({_LIKE}, 6) AS score FROM r x JOIN r y ON x.id < y.id WHERE {_LIKE} >= 0.35")
+def near_vectors(s, d):
+    pairs = vector_join.near_duplicates(view(s, d, "embeddings"), 0.35)[1]
+    return pairs.select("a", "b", F.round("score", 6).alias("score"))
+
+
+@query("SELECT vec_id AS id, min(vec_id) OVER (PARTITION BY embedding) AS rep FROM embeddings WHERE len(embedding) > 0")
+def vector_classes(s, d):
+    return vector_join.classes(view(s, d, "embeddings"))[0]
+
+
+@query(f"""SELECT vec_id FROM embeddings y WHERE vec_id % 3 = 0 AND NOT EXISTS (SELECT 1 FROM embeddings x WHERE (x.vec_id % 3 <> 0 OR x.vec_id < y.vec_id) AND {_LIKE} >= 0.35)""")
+def ingested_vectors(s, d):
+    """A third of the vectors taken in beside the others, less those that are near to one that is there or comes earlier."""
+    v = view(s, d, "embeddings")
+    return vector_join.ingest(v.where("vec_id % 3 = 0"), v.where("vec_id % 3 <> 0"), 0.35).select("vec_id")
