@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.percentiles import linear
+from ..functions.percentiles import order_statistics
 
 
 def field(name: str, kind: str = "string") -> Column:
@@ -26,8 +26,10 @@ def _share(cond: Column) -> Column:
 
 def net_latency_distribution(events: DataFrame) -> DataFrame:
     e = _of(events, "net.request").select("service", field("elapsed_ms", "double").alias("ms"))
-    ps = [linear("ms", p / 100).alias(f"p{p}_ms") for p in (50, 95, 99)]
-    return e.groupBy("service").agg(F.count(F.lit(1)).alias("request_count"), *ps, F.avg("ms").alias("avg_ms"), F.max("ms").alias("max_ms"))
+    ps = order_statistics(e, ["service"], "ms", {f"p{p}_ms": ("linear", p / 100) for p in (50, 95, 99)})
+    sums = e.groupBy("service").agg(F.count(F.lit(1)).alias("request_count"), F.avg("ms").alias("avg_ms"), F.max("ms").alias("max_ms"))
+    out = sums.alias("a").join(ps.alias("b"), F.col("a.service").eqNullSafe(F.col("b.service")), "left")
+    return out.select("a.service", "request_count", "p50_ms", "p95_ms", "p99_ms", "avg_ms", "max_ms")
 
 
 def net_cache_hit_ratio(events: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.percentiles import by_index
+from ..functions.percentiles import by_index, order_statistics
 from ..functions.scalars import ratio
 
 #: Targets of job objectives: name -> (target, budget, whether more is better) (fixed values).
@@ -56,7 +56,7 @@ def open_durations(transitions: DataFrame) -> DataFrame:
 def advisor_metrics(http: DataFrame, now, seconds: int = 600) -> DataFrame:
     """By host over the last `seconds`: calls, 429 ratio, failures, median Retry-After."""
     h = http.where(F.col("ts") >= F.lit(now).cast("timestamp") - F.expr(f"interval {seconds} seconds"))
-    return h.groupBy("host").agg(F.count(F.lit(1)).alias("calls"), ratio(F.count_if(F.col("status") == 429), F.count(F.lit(1)), 6).alias("limited_ratio"), F.count_if(F.col("status") >= 500).alias("failures"), F.median("retry_after_s").alias("retry_after_s"))
+    return h.groupBy("host").agg(F.count(F.lit(1)).alias("calls"), ratio(F.count_if(F.col("status") == 429), F.count(F.lit(1)), 6).alias("limited_ratio"), F.count_if(F.col("status") >= 500).alias("failures")).join(order_statistics(h, ["host"], "retry_after_s", {"retry_after_s": ("linear", 0.5)}), "host", "left")
 
 
 def advice(metrics: DataFrame) -> DataFrame:

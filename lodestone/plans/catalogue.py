@@ -397,7 +397,7 @@ def limiter_rollup(s, d):
 
 @query("SELECT host, role, quantile_disc(delay_ms, 0.95) AS p95 FROM @rate WHERE action = 'acquire' GROUP BY host, role")
 def nearest_rank_p95(s, d):
-    return view(s, d, "rate").where("action = 'acquire'").groupBy("host", "role").agg(percentiles.nearest("delay_ms", 0.95).cast("long").alias("p95"))
+    return percentiles.by_index(view(s, d, "rate").where("action = 'acquire'"), ["host", "role"], "delay_ms", {"p95": 0.95}, "nearest")
 
 
 @query("""SELECT gate, count(*) AS n, round(count(*) FILTER (passed) / count(*)::DOUBLE, 6) AS pass_rate, min(elapsed_ms) AS min_ms, max(elapsed_ms) AS max_ms, round(avg(elapsed_ms), 4) AS avg_ms,

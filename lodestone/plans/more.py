@@ -25,7 +25,7 @@ def index_span_p95(s, d):
 
 @query("""SELECT host, round(quantile_cont(elapsed_ms, 0.99), 6) AS p99 FROM @http GROUP BY host""")
 def inclusive_p99(s, d):
-    return view(s, d, "http").groupBy("host").agg(F.round(percentiles.linear("elapsed_ms", 0.99), 6).alias("p99"))
+    return percentiles.by_index(view(s, d, "http"), ["host"], "elapsed_ms", {"p99": 0.99}, "inclusive").select("host", F.round("p99", 6).alias("p99"))
 
 
 @query("""SELECT event_id, date_trunc('second', ts) AS http_date, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day FROM events""")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import percentiles
 from ..operators import retrieval, vector_join
 from ..operators.lexical_index import LexicalIndex
 from .catalogue import _POST, ORACLE, ascii_tokens, query, view
@@ -91,3 +92,19 @@ def ingested_vectors(s, d):
     """A third of the vectors taken in beside the others, less those that are near to one that is there or comes earlier."""
     v = view(s, d, "embeddings")
     return vector_join.ingest(v.where("vec_id % 3 = 0"), v.where("vec_id % 3 <> 0"), 0.35).select("vec_id")
+
+
+# --- order statistics of a table in which one key holds nine rows of ten
+
+_HOT = "SELECT CASE WHEN event_id % 10 < 9 THEN 'hot' WHEN event_id % 20 < 10 THEN NULL ELSE event_type END AS k, value FROM events"
+
+
+@query(f"""WITH g AS (SELECT k, list_sort(list(value)) AS l, count(value) AS n, quantile_cont(value, 0.95) AS a, quantile_cont(value, 0.13) AS b FROM ({_HOT}) GROUP BY k)
+  SELECT k, round(a, 6) AS linear, round(b, 6) AS inclusive, l[CAST(floor(n * 0.5) AS BIGINT) + 1] AS floored, l[CAST(ceil(0.99 * n) AS BIGINT)] AS nearest, l[CAST(floor((n - 1) * 0.9) AS BIGINT) + 1] AS spanned, l[n // 2 + 1] AS middle, n FROM g""")
+def hot_percentiles(s, d):
+    e = view(s, d, "events")
+    k = F.when(F.col("event_id") % 10 < 9, "hot").when(F.col("event_id") % 20 < 10, None).otherwise(F.col("event_type"))
+    rows = e.select(k.alias("k"), "value")
+    rules = {"linear": ("linear", 0.95), "inclusive": ("inclusive", 0.1234), "floored": ("index_floor", 0.5), "nearest": ("nearest", 0.99), "spanned": ("index_span", 0.9), "middle": ("middle", 0.5)}
+    out = percentiles.order_statistics(rows, ["k"], "value", rules).alias("p").join(rows.groupBy("k").agg(F.count("value").alias("n")).alias("c"), F.col("p.k").eqNullSafe(F.col("c.k")))
+    return out.select("p.k", F.round("linear", 6).alias("linear"), F.round("inclusive", 6).alias("inclusive"), "floored", "nearest", "spanned", "middle", "n")
