@@ -8,6 +8,8 @@ from ..functions import percentiles
 from ..operators import retrieval, vector_join
 from ..operators.lexical_index import LexicalIndex
 from .catalogue import _POST, ORACLE, ascii_tokens, query, view
+from ..sources import partitioned
+from ..streaming import timers
 from .more import _folder
 
 _BUILT: dict[tuple[str, str, str], object] = {}
@@ -108,3 +110,31 @@ def hot_percentiles(s, d):
     rules = {"linear": ("linear", 0.95), "inclusive": ("inclusive", 0.1234), "floored": ("index_floor", 0.5), "nearest": ("nearest", 0.99), "spanned": ("index_span", 0.9), "middle": ("middle", 0.5)}
     out = percentiles.order_statistics(rows, ["k"], "value", rules).alias("p").join(rows.groupBy("k").agg(F.count("value").alias("n")).alias("c"), F.col("p.k").eqNullSafe(F.col("c.k")))
     return out.select("p.k", F.round("linear", 6).alias("linear"), F.round("inclusive", 6).alias("inclusive"), "floored", "nearest", "spanned", "middle", "n")
+
+
+# --- planned partitions, commits and timers
+
+
+@query("SELECT doc_id, lang, source, n_chars, text FROM documents")
+def rotated_round_trip(s, d):
+    """The documents as JSON lines in parts closed by bytes, read again by ranges of bytes."""
+    path = _folder(s, "rotated").removeprefix("file://")
+    partitioned.write_lines(view(s, d, "documents"), path, 1 << 20)
+    return partitioned.read_lines(s, path, "doc_id long, lang string, source string, n_chars long, text string", 300_000)
+
+
+@query("""WITH RECURSIVE e AS (SELECT host, event_id, epoch_us(ts) // 1000 AS ms, status >= 429 AS failed, row_number() OVER (PARTITION BY host ORDER BY ts, event_id) AS n FROM @http),
+  s AS (
+    SELECT DISTINCT host, 0::BIGINT AS n, 'CLOSED' AS name, []::BIGINT[] AS fails, -1::BIGINT AS due, -1::BIGINT AS ms, NULL::BIGINT AS fired, NULL::VARCHAR AS was FROM e
+    UNION ALL
+    SELECT host, n, CASE WHEN opens THEN 'OPEN' WHEN closes THEN 'CLOSED' ELSE name END, CASE WHEN opens OR closes THEN [] WHEN failed AND name <> 'OPEN' THEN f ELSE fails END, CASE WHEN opens THEN ms + 3600000 WHEN name = 'OPEN' THEN due ELSE -1 END, ms, fired, CASE WHEN opens OR closes THEN name END
+    FROM (SELECT *, name <> 'OPEN' AND failed AND (name = 'HALF_OPEN' OR len(f) >= 3) AS opens, name = 'HALF_OPEN' AND NOT failed AS closes
+      FROM (SELECT *, list_append(list_filter(fails, lambda x: ms - x < 7200000)[-2:], ms) AS f
+        FROM (SELECT s.host, e.n, e.ms, e.failed, CASE WHEN s.name = 'OPEN' AND s.due <= e.ms THEN 'HALF_OPEN' ELSE s.name END AS name, CASE WHEN s.name = 'OPEN' AND s.due <= e.ms THEN [] ELSE s.fails END AS fails, s.due, CASE WHEN s.name = 'OPEN' AND s.due <= e.ms THEN s.due END AS fired
+          FROM s JOIN e ON e.host = s.host AND e.n = s.n + 1))))
+  SELECT host AS key, fired AS at_ms, 'OPEN' AS old_state, 'HALF_OPEN' AS new_state FROM s WHERE fired IS NOT NULL
+  UNION ALL SELECT host, ms, was, name FROM s WHERE was IS NOT NULL""")
+def timed_breaker(s, d):
+    """Breakers whose cooldowns end by a timer, at the moment they are due."""
+    calls = view(s, d, "http").select(F.col("host").alias("key"), "ts", F.col("event_id").alias("seq"), (F.col("status") >= 429).alias("event"))
+    return timers.changes_batch(calls, timers.Breaker(3, 7_200_000, 3_600_000))

@@ -91,4 +91,5 @@ def with_views(sql: str) -> str:
     if not done:
         return body
     ctes = ", ".join(f"v_{k} AS ({v})" for k, v in done.items())
-    return f"WITH {ctes}, {body.lstrip()[5:]}" if body.lstrip().upper().startswith("WITH ") and not body.lstrip().upper().startswith("WITH RECURSIVE") else f"WITH {ctes} {body}"
+    own = re.match(r"\s*WITH\s+(RECURSIVE\s+)?", body, re.IGNORECASE)
+    return f"WITH {own[1] or ''}{ctes}, {body[own.end():]}" if own else f"WITH {ctes} {body}"
