@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -113,16 +115,20 @@ def _pieces(path: str, size: int, end_id: int, keep_ids: bool, cache: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, cache)
+        # equal rows of a partition are told apart by their number, whatever order they come in
+        part, seen = TaskContext.get().partitionId() << 32, Counter()
         for batch in batches:
             out: list[tuple] = []
             for doc, ids in zip(batch.column(0).to_pylist(), enc.batch(batch.column(1).to_pylist())):
                 ids += tail
                 n, whole = len(ids) // 4, zlib.crc32(ids)
+                nth = part + seen[doc, whole]
+                seen[doc, whole] += 1
                 for a in range(0, n, size):
                     piece = ids[4 * a : 4 * (a + size)]
-                    out.append((doc, a, len(piece) // 4, zlib.crc32(piece), n, whole, *([piece] if keep_ids else [])))
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "whole", *(["ids"] if keep_ids else [])]
-            kinds = [pa.int64()] * 6 + [pa.binary()] * keep_ids
+                    out.append((doc, a, len(piece) // 4, zlib.crc32(piece), n, whole, nth, *([piece] if keep_ids else [])))
+            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "whole", "nth", *(["ids"] if keep_ids else [])]
+            kinds = [pa.int64()] * 7 + [pa.binary()] * keep_ids
             cols = list(zip(*out)) or [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
 
@@ -176,7 +182,8 @@ def pack(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, end_id: int = EN
     """Pack documents (doc_id, text) into sequences of at most `size` tokens; a row for each piece.
 
     A document's ids are those of `tokenizer` without special tokens, then `end_id`; documents over `size` are cut at
-    multiples of it. Groups are drawn by a hash of doc_id, the document's ids and the seed, so rows without doc_id are spread too; in each, pieces go by falling length to the
+    multiples of it. Groups are drawn by a hash of doc_id, the document's ids, its partition, its number among
+    equal rows there and the seed, so that equal rows, and those without doc_id, are spread too; in each, pieces go by falling length to the
     first sequence with room. sequence_id holds the group in its upper half. keep_ids adds the ids themselves
     (`ids`, little-endian unsigned 32 bits). `cache` bounds the words that a worker remembers.
 
@@ -187,8 +194,8 @@ def pack(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, end_id: int = EN
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     groups = max(1, -(-docs.count() // group_docs))
     kinds = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long{}" + ", ids binary" * keep_ids
-    pieces = docs.mapInArrow(tidied(_pieces(tokenizer, size, end_id, keep_ids, cache)), kinds.format(", whole long"))
-    pieces = pieces.withColumn("grp", F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("whole")), F.lit(groups))).drop("whole")
+    pieces = docs.mapInArrow(tidied(_pieces(tokenizer, size, end_id, keep_ids, cache)), kinds.format(", whole long, nth long"))
+    pieces = pieces.withColumn("grp", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "whole", "nth"), F.lit(groups))).drop("whole", "nth")
     kinds = kinds.format("")
     packed = pieces.groupBy("grp").applyInArrow(_pack_group(size), f"{kinds}, sequence_id long, offset long")
     return packed

@@ -63,3 +63,11 @@ def test_little_padding_and_rows_without_id(spark):
     assert one["sum(length)"] / (sequences * 4096) > 0.95
     # rows without doc_id are spread over the groups
     assert {s.sequence_id >> 32 for s in got.filter("doc_id is null").collect()} == groups and len(groups) == 5
+
+
+def test_equal_rows_are_spread_over_groups(spark):
+    """A third of rows without id and text, a third of equal rows: no group is over twice as large as it is meant to be."""
+    rows = [(None, None)] * 3000 + [(7, "the same text in all of them")] * 3000 + [(100 + k, f"text {k}") for k in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = packing.pack(df, PATH, group_docs=500).selectExpr("sequence_id >> 32 AS g").groupBy("g").count().toPandas()["count"]
+    assert out.sum() == 9000 and out.max() <= 1000
