@@ -1,29 +1,25 @@
-"""Row numbers in a global order, without a task that sorts all rows of a key."""
+"""Row numbers in a global order, without a task that sorts or counts all rows of a key."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows that are numbered together, in the mean.
-RANGE_ROWS = 4096
+from ..sources.shared import settle
 
 
 def numbered(rows: DataFrame, by: list[str], order: str, name: str = "at") -> DataFrame:
-    """rows with their place (from 0) in the order of an integer column within `by`; equal values are in any order.
+    """rows with their place (from 0) in the order of a column of any type within `by`, null first; equal values are in any order.
 
-    Rows are counted in ranges of the order; a range is sorted by one task, and the sums of earlier ranges carry the places on.
+    Rows are dealt to ranges at sampled splitters, whatever their spread or type, and written in order once; a range's rows are numbered as
+    they lie, and counts of the ranges before carry the numbers on. Equal values are told apart, so that no value has to fit one range.
     """
-    lo, hi, n = rows.agg(F.min(order), F.max(order), F.count(order)).first()
-    width = max(1, (hi - lo + 1) * RANGE_ROWS // max(1, n)) if n else 1
-    g = F.coalesce(F.floor((F.col(order) - F.lit(lo)) / F.lit(width)), F.lit(-1)).cast("long")
-    rows = rows.withColumn("__g", g)
-    keys = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"__k{i}") for i, c in enumerate(by)]
-    nulls = [F.col(c).isNull().alias(f"__n{i}") for i, c in enumerate(by)]
-    rows = rows.select("*", *keys, *nulls)
-    same = [f"__{x}{i}" for i in range(len(by)) for x in "kn"]
-    ahead = rows.groupBy(*same, "__g").agg(F.count(F.lit(1)).alias("__n"))
-    before = F.sum("__n").over(Window.partitionBy(*same).orderBy("__g").rowsBetween(Window.unboundedPreceding, -1))
-    ahead = ahead.select(*same, "__g", F.coalesce(before, F.lit(0)).alias("__a"))
-    here = F.row_number().over(Window.partitionBy(*same, "__g").orderBy(order)) - 1
-    return rows.join(ahead, [*same, "__g"]).withColumn(name, F.col("__a") + here).drop(*same, "__g", "__a")
+    key = F.struct(*(F.col(c).alias(f"k{i}") for i, c in enumerate(by))) if by else F.struct(F.lit(0).alias("k0"))
+    marked = rows.withColumn("__key", key).withColumn("__nth", F.monotonically_increasing_id())
+    placed = marked.repartitionByRange("__key", order, "__nth").sortWithinPartitions("__key", order, "__nth").drop("__nth")
+    placed = settle(placed.withColumn("__range", F.spark_partition_id()).withColumn("__placed", F.monotonically_increasing_id()), "numbered")
+    # a row for each key and range that it lies in
+    counts = placed.groupBy("__key", "__range").agg(F.count(F.lit(1)).alias("__n"), F.min("__placed").alias("__first"))
+    before = F.sum("__n").over(Window.partitionBy("__key").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
+    ahead = counts.select("__key", "__range", (F.coalesce(before, F.lit(0)) - F.col("__first")).alias("__shift"))
+    return placed.join(ahead, ["__key", "__range"]).withColumn(name, F.col("__placed") + F.col("__shift")).drop("__key", "__range", "__placed", "__shift")

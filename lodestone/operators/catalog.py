@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ordering import numbered
 from ..functions.scalars import ratio
+from ..sources.shared import settle
 
 
 def page(df: DataFrame, order: list[Column], limit: int | None = None, offset: int = 0, prefix: tuple[str, str] | None = None, **equal) -> DataFrame:
@@ -212,17 +214,66 @@ def canonical_triples(triples: DataFrame) -> DataFrame:
 def named_blanks(triples: DataFrame) -> DataFrame:
     """Distinct triples in order of (s, p, o), with blank nodes (_:x) renamed _:b0, _:b1, ... in the order in which they are first met there.
 
-    Only the distinct blank nodes are put in one order; triples are joined to their names.
+    Only the distinct blank nodes are numbered, in ranges of their order; triples are joined to their names. Names follow the labels: see `blank_colours` for what does not.
     """
     rows = triples.select("s", "p", "o").distinct()
     met = rows.select(F.struct("s", "p", "o").alias("at"), F.posexplode(F.array("s", "o")).alias("i", "x")).where(F.col("x").startswith("_:"))
     first = met.groupBy("x").agg(F.min(F.struct("at", "i")).alias("f"))
-    names = first.select("x", F.concat(F.lit("_:b"), (F.row_number().over(Window.orderBy("f")) - 1).cast("string")).alias("name"))
+    names = numbered(first, [], "f").select("x", F.concat(F.lit("_:b"), F.col("at").cast("string")).alias("name"))
     a, b = names.select(F.col("x").alias("s"), F.col("name").alias("__s")), names.select(F.col("x").alias("o"), F.col("name").alias("__o"))
     out = rows.join(a, "s", "left").join(b, "o", "left")
     return out.orderBy("s", "p", "o").select(F.coalesce("__s", "s").alias("s"), "p", F.coalesce("__o", "o").alias("o"))
 
 
+def _number(x) -> Column:
+    """128 bits of SHA-256 as a pair of whole numbers, which add up in any order."""
+    h = F.sha2(F.encode(x, "UTF-8"), 256)
+    return F.array(*(F.conv(F.substring(h, at, 15), 16, 10).cast("decimal(38,0)") for at in (1, 16)))
+
+
+def _added(pairs: Column) -> Column:
+    return F.concat_ws(":", F.sum(F.get(pairs, F.lit(0))).cast("string"), F.sum(F.get(pairs, F.lit(1))).cast("string"))
+
+
+def blank_colours(triples: DataFrame) -> DataFrame:
+    """(x, colour) of each blank node of (s, p, o): a hash of what surrounds it, whatever it is called.
+
+    In a round a node's colour takes up those of its neighbours, with predicate and direction; sums of hashes are partial first, so
+    a node in most triples is no task's burden. Rounds end when they part no more nodes. Nodes that still share a colour look alike from
+    everywhere that rounds reach.
+    """
+    rows = settle(triples.select("s", "p", "o").distinct(), "triples")
+    is_blank = lambda c: F.col(c).startswith("_:")
+    blanks = rows.where(is_blank("s")).select(F.col("s").alias("x")).union(rows.where(is_blank("o")).select("o")).distinct()
+    colours, parts = settle(blanks.withColumn("colour", F.lit("blank")), "colours"), 1 if not blanks.isEmpty() else 0
+    while True:
+        seen = coloured(rows, colours)
+        out = seen.where(is_blank("s")).select(F.col("s").alias("x"), F.concat_ws("\u001f", F.lit(">"), "p", "co").alias("e"))
+        into = seen.where(is_blank("o")).select(F.col("o").alias("x"), F.concat_ws("\u001f", F.lit("<"), "p", "cs").alias("e"))
+        around = out.union(into).groupBy("x").agg(_added(_number(F.col("e"))).alias("around"))
+        new = colours.join(around, "x").select("x", F.sha2(F.encode(F.concat_ws("\u001f", "colour", "around"), "UTF-8"), 256).alias("colour"))
+        new = settle(new, "colours")
+        now = new.select("colour").distinct().count()
+        if now <= parts:
+            return new
+        colours, parts = new, now
+
+
+def coloured(rows: DataFrame, colours: DataFrame) -> DataFrame:
+    """Triples with cs and co: their ends, or the colours of those that are blank."""
+    a, b = (colours.select(F.col("x").alias(c), F.col("colour").alias(f"__{c}")) for c in ("s", "o"))
+    out = rows.join(a, "s", "left").join(b, "o", "left")
+    return out.select("s", "p", "o", F.coalesce(F.concat(F.lit("_:"), "__s"), F.concat(F.lit("="), "s")).alias("cs"), F.coalesce(F.concat(F.lit("_:"), "__o"), F.concat(F.lit("="), "o")).alias("co"))
+
+
+def graph_hash(triples: DataFrame) -> DataFrame:
+    """One row (n_triples, hash): equal for graphs that differ in the names of blank nodes only."""
+    rows = triples.select("s", "p", "o").distinct()
+    seen = coloured(rows, blank_colours(triples))
+    one = seen.agg(F.count(F.lit(1)).alias("n_triples"), _added(_number(F.concat_ws("\u001f", "cs", "p", "co"))).alias("sum"))
+    return one.select("n_triples", F.sha2(F.encode(F.concat_ws(":", F.col("n_triples").cast("string"), F.coalesce("sum", F.lit(""))), "UTF-8"), 256).alias("hash"))
+
+
 def committed(versions: DataFrame, stages: dict[str, DataFrame]) -> DataFrame:
     """Versions with the first of the stages (in order: download, extract, validate, ...) that has no row for them; null where all are there, so that they may become latest."""
     out = versions
