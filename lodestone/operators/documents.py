@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordering import numbered
-from ..functions.scalars import chunk_uuid, tokenize, unescape_html
+from ..functions.scalars import chunk_uuid, tokenize
 
 #: Texts that open a section (fixed values).
 HEADING_MARKERS = ("#",)
@@ -83,15 +83,6 @@ def with_uuids(chunks: DataFrame) -> DataFrame:
     return chunks.withColumn("uuid", chunk_uuid(F.col("doc_id").cast("string"), F.col("offset"), F.col("text")))
 
 
-def html_metadata(pages: DataFrame, preview: int = 500) -> DataFrame:
-    """title, description, keywords, lang and the start of the body's text."""
-    meta = lambda n: F.nullif(F.regexp_extract("html", f"(?is)<meta\\s+[^>]*name=[\"']{n}[\"'][^>]*content=[\"']([^\"']*)", 1), F.lit(""))
-    body = F.regexp_replace(F.regexp_replace(F.regexp_replace("html", "(?is)<(script|style|head|nav|footer)\\b.*?</\\1>", " "), "(?s)<!--.*?-->", " "), "(?s)<[^>]+>", " ")
-    body = F.trim(F.regexp_replace(unescape_html(body), "\\s+", " "))
-    title = F.trim(unescape_html(F.regexp_extract("html", "(?is)<title[^>]*>(.*?)</title>", 1)))
-    return pages.select("page_id", F.nullif(title, F.lit("")).alias("title"), meta("description").alias("description"), meta("keywords").alias("keywords"), F.nullif(F.regexp_extract("html", "(?is)<html[^>]*\\blang=[\"']?([A-Za-z-]+)", 1), F.lit("")).alias("lang"), F.substring(body, 1, preview).alias("preview"))
-
-
 def validated(rows: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
     """Rows that keep all rules, and the quarantine with the names of those broken (an unknown outcome breaks a rule)."""
     broken = F.array_compact(F.array(*(F.when(~F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in rules.items())))
@@ -166,14 +157,18 @@ def json_metadata(docs: DataFrame, key: str = "doc_id", body: str = "text", prev
     return docs.select(key, got("title", "name").alias("title"), got("description").alias("description"), F.from_json(F.get_json_object(body, "$.keywords"), "array<string>").alias("keywords"), F.substring(got("content", "text"), 1, preview).alias("preview"))
 
 
-#: Elements that hold no text of the page (fixed values).
-NOT_TEXT = ("script", "style", "noscript", "template", "iframe", "svg", "canvas", "form", "nav", "footer", "aside")
+#: What each profile takes out, in order; permissive takes nothing (patterns, fixed values).
+BALANCED = (r"(?is)<script\b.*?</script>", r"(?is)<style\b.*?</style>")
+STRICT = (
+    *BALANCED, r"(?is)<iframe\b.*?</iframe>", r"(?i)<link\b[^>]*rel=\s*['\"]?stylesheet[^>]*>", r"(?i)<meta\b[^>]*>", r"(?s)<!--.*?-->",
+    r"(?i)\s+on[a-z]+\s*=\s*(\".*?\"|'[^']*'|[^\s>]+)",
+)
+PROFILES = {"permissive": (), "balanced": BALANCED, "strict": STRICT}
 
 
-def sanitised(html) -> Column:
-    """HTML without comments, elements that hold no text, event handlers and script links."""
-    out = F.regexp_replace(html, "(?s)<!--.*?-->", "")
-    for tag in NOT_TEXT:
-        out = F.regexp_replace(F.regexp_replace(out, f"(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>", ""), f"(?is)</?{tag}\\b[^>]*>", "")
-    out = F.regexp_replace(out, "(?i)\\s+on[a-z]+\\s*=\\s*(\"[^\"]*\"|'[^']*'|[^\\s>]+)", "")
-    return F.regexp_replace(out, "(?i)(href|src)\\s*=\\s*([\"']?)\\s*javascript:[^\"'>\\s]*", "$1=$2#")
+def sanitised(html, profile: str = "balanced") -> Column:
+    """HTML under a profile: `permissive` as it is; `balanced` without scripts and styles; `strict` also without frames, style sheet links, meta elements, comments and event handlers."""
+    out = F.col(html) if isinstance(html, str) else html
+    for pattern in PROFILES[profile.lower()]:
+        out = F.regexp_replace(out, pattern, "")
+    return out

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.percentiles import by_index, order_statistics
 from ..functions.scalars import ratio
+from .frames import recent_sum
 
 #: Targets of job objectives: name -> (target, budget, whether more is better) (fixed values).
 OBJECTIVES = {
@@ -186,8 +187,8 @@ def queue_stats(jobs: DataFrame) -> DataFrame:
 
 def bandwidth(downloads: DataFrame, seconds: int = 60) -> DataFrame:
     """Bytes over the last `seconds` before each download, by host."""
-    w = Window.partitionBy("host").orderBy(F.col("ts").cast("timestamp").cast("long")).rangeBetween(-seconds, 0)
-    return downloads.withColumn("recent_bytes", F.sum("bytes").over(w))
+    rows = downloads.withColumn("__s", F.col("ts").cast("timestamp").cast("long"))
+    return recent_sum(rows, ["host"], "__s", "bytes", seconds, "recent_bytes").drop("__s")
 
 
 def limit_streaks(http: DataFrame) -> DataFrame:

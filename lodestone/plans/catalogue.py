@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import percentiles, scalars
-from ..operators import catalog, dedup, documents, observability, retrieval, telemetry
+from ..operators import catalog, dedup, documents, frames, markup, observability, retrieval, telemetry
 from ..streaming import telemetry as streams
 from .views import view, with_views
 
@@ -668,12 +668,12 @@ def chunk_uuids(s, d):
 @query(r"""SELECT page_id, nullif(regexp_extract(html, '(?is)<html[^>]*\blang=["'']?([A-Za-z-]+)', 1), '') AS lang,
   nullif(regexp_extract(html, '(?is)<meta\s+[^>]*name=["'']description["''][^>]*content=["'']([^"'']*)', 1), '') AS description, nullif(regexp_extract(html, '(?is)<meta\s+[^>]*name=["'']keywords["''][^>]*content=["'']([^"'']*)', 1), '') AS keywords FROM pages""")
 def html_language(s, d):
-    return documents.html_metadata(view(s, d, "pages")).select("page_id", "lang", "description", "keywords")
+    return markup.page_metadata(view(s, d, "pages")).select("page_id", "lang", "description", "keywords")
 
 
 @query()
 def html_metadata(s, d):
-    return documents.html_metadata(view(s, d, "pages"))
+    return markup.page_metadata(view(s, d, "pages"))
 
 
 @query()
@@ -742,8 +742,8 @@ def except_customers(s, d):
 @query("SELECT e.event_id, max(p.ts) AS last_purchase FROM events e JOIN events p ON p.user_id = e.user_id AND p.event_type = 'purchase' AND p.ts <= e.ts WHERE e.event_type = 'error' GROUP BY e.event_id")
 def as_of_purchase(s, d):
     e = view(s, d, "events")
-    last = F.max(F.when(F.col("event_type") == "purchase", F.col("ts"))).over(Window.partitionBy("user_id").orderBy("ts").rangeBetween(Window.unboundedPreceding, 0))
-    return e.withColumn("last_purchase", last).where("event_type = 'error' and last_purchase is not null").select("event_id", "last_purchase")
+    bought = e.where("event_type = 'purchase'").select("user_id", "ts", F.col("ts").alias("last_purchase"))
+    return frames.as_of(e.where("event_type = 'error'").select("event_id", "user_id", "ts"), bought, ["user_id"], "ts", ["last_purchase"]).where("last_purchase is not null").select("event_id", "last_purchase")
 
 
 @query("""WITH m AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL '6' HOUR THEN 0 ELSE 1 END AS new FROM events), g AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM m)

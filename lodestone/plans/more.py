@@ -73,18 +73,13 @@ def json_metadata(s, d):
     return documents.json_metadata(o, "event_id", "body").select("event_id", "title", "description")
 
 
-def _sanitise_sql() -> str:
-    out = "regexp_replace(html, '(?s)<!--.*?-->', '', 'g')"
-    for tag in documents.NOT_TEXT:
-        out = f"regexp_replace(regexp_replace({out}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', '', 'g'), '(?is)</?{tag}\\b[^>]*>', '', 'g')"
-    out = f"regexp_replace({out}, '(?i)\\s+on[a-z]+\\s*=\\s*(\"[^\"]*\"|''[^'']*''|[^\\s>]+)', '', 'g')"
-    return f"regexp_replace({out}, '(?i)(href|src)\\s*=\\s*([\"'']?)\\s*javascript:[^\"''>\\s]*', '\\1=\\2#', 'g')"
-
-
-@query(f"SELECT page_id, sha256({_sanitise_sql()}) AS clean, CAST(length({_sanitise_sql()}) AS INTEGER) AS n FROM pages")
+@query(r"""WITH b AS (SELECT page_id, html, regexp_replace(regexp_replace(html, '<script\b.*?</script>', '', 'gis'), '<style\b.*?</style>', '', 'gis') AS balanced FROM pages),
+  x AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(balanced, '<iframe\b.*?</iframe>', '', 'gis'), '<link\b[^>]*rel=\s*[''"]?stylesheet[^>]*>', '', 'gi'), '<meta\b[^>]*>', '', 'gi'), '<!--.*?-->', '', 'gs') AS most FROM b),
+  s AS (SELECT *, regexp_replace(most, '\s+on[a-zA-Z]+\s*=\s*(".*?"|''[^'']*''|[^\s>]+)', '', 'gi') AS strict FROM x)
+  SELECT page_id, sha256(html) AS permissive, sha256(balanced) AS balanced, sha256(strict) AS strict, CAST(length(strict) AS INTEGER) AS n FROM s""")
 def sanitised_pages(s, d):
-    clean = documents.sanitised(F.col("html"))
-    return view(s, d, "pages").select("page_id", F.sha2(clean, 256).alias("clean"), F.length(clean).alias("n"))
+    clean = {p: documents.sanitised("html", p) for p in documents.PROFILES}
+    return view(s, d, "pages").select("page_id", *(F.sha2(c, 256).alias(p) for p, c in clean.items()), F.length(clean["strict"]).alias("n"))
 
 
 @query("""SELECT doc_id, 'r' || (doc_id % 3) AS refs, CASE WHEN doc_id % 5 = 0 THEN '1' ELSE '1,' || (doc_id % 5 + 1) END AS pages FROM documents""")

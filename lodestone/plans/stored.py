@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import percentiles
-from ..operators import retrieval, vector_join
+from ..operators import markup, retrieval, vector_join
 from ..operators.lexical_index import LexicalIndex
 from .catalogue import _POST, ORACLE, ascii_tokens, query, view
 from ..sources import partitioned
@@ -138,3 +138,22 @@ def timed_breaker(s, d):
     """Breakers whose cooldowns end by a timer, at the moment they are due."""
     calls = view(s, d, "http").select(F.col("host").alias("key"), "ts", F.col("event_id").alias("seq"), (F.col("status") >= 429).alias("event"))
     return timers.changes_batch(calls, timers.Breaker(3, 7_200_000, 3_600_000))
+
+
+# --- whole documents
+
+
+@query()
+def chunked_documents(s, d):
+    return markup.chunk_documents(view(s, d, "documents"), least=40, most=120)
+
+
+@query()
+def chunked_pages(s, d):
+    return markup.chunk_documents(view(s, d, "pages"), "page_id", "html", "html", 40, 120)
+
+
+@query("""SELECT vec_id, CASE WHEN r >= 0.8 THEN 0.7 WHEN r <= 0.3 THEN 1.25 ELSE 1.0 END::DOUBLE AS weight FROM (SELECT vec_id, (vec_id % 11) / 10.0 AS r FROM embeddings)""")
+def dense_weights(s, d):
+    v = view(s, d, "embeddings")
+    return v.select("vec_id", retrieval.dense_weight(1.0, (F.col("vec_id") % 11) / F.lit(10.0)).cast("double").alias("weight"))

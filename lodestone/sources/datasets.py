@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shared import fresh_dir
+
 _S, _I, _L, _TS = T.StringType(), T.IntegerType(), T.LongType(), T.TimestampType()
 _FLOATS = T.ArrayType(T.FloatType())
 CHUNKS = (
@@ -67,16 +69,14 @@ def partition_keys(path) -> dict:
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, most_errors: int = 0) -> DataFrame:
-    """JSON lines by schema; more broken lines than allowed are an error, others are left out."""
+    """JSON lines by schema; more broken lines than allowed are an error, others are left out. Lines are parsed once: good rows go to the shared folder while broken ones are counted."""
     full = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    df = spark.read.schema(full).option("mode", "PERMISSIVE").json(path).cache()
-    try:
-        bad = df.where("_corrupt_record is not null").count()
-        if bad > most_errors:
-            raise ValueError(f"{bad} broken lines in {path}; {most_errors} are allowed")
-    finally:
-        df.unpersist()
-    return spark.read.schema(full).json(path).where("_corrupt_record is null").drop("_corrupt_record")
+    told, target = Observation(), fresh_dir(spark, "jsonl")
+    df = spark.read.schema(full).option("mode", "PERMISSIVE").json(path)
+    df.observe(told, F.count("_corrupt_record").alias("bad")).where("_corrupt_record is null").drop("_corrupt_record").write.parquet(target)
+    if (bad := told.get["bad"]) > most_errors:
+        raise ValueError(f"{bad} broken lines in {path}; {most_errors} are allowed")
+    return spark.read.schema(schema).parquet(target)
 
 
 def write_rows(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "append") -> None:

@@ -33,28 +33,37 @@ def count_footers(spark: SparkSession, path: str) -> int:
         return spark.read.parquet(path).agg(F.count(F.lit(1))).first()[0]
 
 
-def footers(spark: SparkSession, df: DataFrame, most: int = 1000) -> list[dict]:
-    """(file, rows, row groups, key-value metadata) of the first `most` files of a Parquet table, read by the driver through Hadoop."""
-    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    out = []
-    for name in sorted(df.inputFiles())[:most]:
-        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(name), conf))
-        try:
-            meta = reader.getFooter().getFileMetaData().getKeyValueMetaData()
-            out.append({"file": name, "rows": reader.getRecordCount(), "row_groups": reader.getRowGroups().size(), "metadata": {k: meta[k] for k in meta}})
-        finally:
-            reader.close()
-    return out
+def footers(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """(file, rows, row_groups, metadata) of every file of a Parquet table; tasks read the footers, and no rows."""
+    names = spark.createDataFrame([(f,) for f in df.inputFiles()], "file string")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        for batch in batches:
+            files, told = batch.column(0).to_pylist(), []
+            for name in files:
+                system, path = fs.FileSystem.from_uri(name)
+                with system.open_input_file(path) as f:
+                    told.append(pq.read_metadata(f))
+            meta = [[(k.decode(), v.decode("utf-8", "replace")) for k, v in (m.metadata or {}).items()] for m in told]
+            columns = [pa.array(files), pa.array([m.num_rows for m in told], pa.int64()), pa.array([m.num_row_groups for m in told], pa.int32()), pa.array(meta, pa.map_(pa.string(), pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, ["file", "rows", "row_groups", "metadata"])
+
+    return names.repartition("file").mapInArrow(run, "file string, rows long, row_groups int, metadata map<string,string>")
 
 
-def problems(spark: SparkSession, path: str, schema: T.StructType, keys: tuple[str, ...] = ()) -> list[str]:
-    """What is wrong with a Parquet dataset: columns that are missing or of another type, footers without the keys asked for, no rows."""
+def problems(spark: SparkSession, path: str, schema: T.StructType, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(problem) for all that is wrong with a Parquet dataset: columns that are missing or of another type, any footer without the keys asked for, no rows."""
     df = spark.read.parquet(path)
     have = {f.name: f.dataType.simpleString() for f in df.schema}
-    out = [f"{f.name}: {have.get(f.name, 'missing')}, not {f.dataType.simpleString()}" for f in schema if have.get(f.name) != f.dataType.simpleString()]
-    for one in footers(spark, df):
-        out += [f"{one['file']}: no {k} in its footer" for k in keys if k not in one["metadata"]]
-    return out if count_footers(spark, path) else [*out, "no rows"]
+    out = [(f"{f.name}: {have.get(f.name, 'missing')}, not {f.dataType.simpleString()}",) for f in schema if have.get(f.name) != f.dataType.simpleString()]
+    out += [] if count_footers(spark, path) else [("no rows",)]
+    found = spark.createDataFrame(out, "problem string")
+    missing = F.explode(F.filter(F.array(*(F.lit(k) for k in keys)).cast("array<string>"), lambda k: ~F.array_contains(F.map_keys("metadata"), k)))
+    told = footers(spark, df).select("file", missing.alias("k"))
+    return found.unionByName(told.select(F.concat("file", F.lit(": no "), "k", F.lit(" in its footer")).alias("problem")))
 
 
 def head(df: DataFrame, n: int = 5) -> pa.Table:

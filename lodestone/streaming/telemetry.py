@@ -108,21 +108,3 @@ def running_counts(stream: DataFrame, keys: list[str], value: str | None = None)
     """Counts (and a sum) by key over all of a stream so far; in update mode a batch gives the keys that changed."""
     sums = [F.sum(value).alias("total")] if value else []
     return stream.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *sums)
-
-
-def deltas(counts: DataFrame, keys: list[str], path: str, checkpoint: str, value: str = "n"):
-    """A foreachBatch sink in update mode that writes what each batch adds to the counters: the batch against the last total that was written for its keys."""
-
-    def put(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        now = batch.select(*keys, F.col(value).alias("total"))
-        if number:
-            told = spark.read.parquet(path).where(F.col("batch") < number)
-            last = told.groupBy(*keys).agg(F.max_by("total", "number").alias("before"))
-            now = now.join(last, keys, "left")
-        else:
-            now = now.withColumn("before", F.lit(None).cast("long"))
-        out = now.select(*keys, "total", (F.col("total") - F.coalesce("before", F.lit(0))).alias("added"), F.lit(number).alias("number"))
-        out.write.mode("overwrite").parquet(f"{path}/batch={number}")
-
-    return counts.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", checkpoint)

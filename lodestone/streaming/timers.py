@@ -168,3 +168,30 @@ def changes_batch(events: DataFrame, machine, upto_ms: int | None = None) -> Dat
         return _frame(pdf["key"].iloc[0], out)
 
     return events.selectExpr("key", "unix_millis(cast(ts as timestamp)) AS at_ms", "seq", "event").groupBy("key").applyInPandas(run, CHANGES)
+
+
+class _Counter(StatefulProcessor):
+    def __init__(self, keys: list[str]):
+        self.keys = keys
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.total = handle.getValueState("total", "n long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        added = sum(int(pdf["lodestone_n"].sum()) for pdf in rows)
+        total = added + (self.total.get()[0] if self.total.exists() else 0)
+        self.total.update((total,))
+        yield pd.DataFrame({**{k: [v] for k, v in zip(self.keys, key)}, "total": [total], "added": [added]})
+
+    def close(self) -> None:
+        pass
+
+
+def counter_deltas(stream: DataFrame, keys: list[str], value: str | None = None) -> DataFrame:
+    """(keys, total, added) in append mode: for each key of a micro-batch its rows (or the sum of `value`, a whole number) so far, and what the batch adds. State is one number a key; no earlier batch is read."""
+    spark = stream.sparkSession
+    ship(spark)
+    spark.conf.set(PROVIDER, ROCKS)
+    kinds = dict(stream.dtypes)
+    counted = stream.selectExpr(*keys, f"cast({value or '1'} AS long) AS lodestone_n")
+    return counted.groupBy(*keys).transformWithStateInPandas(_Counter(keys), ", ".join([*(f"{k} {kinds[k]}" for k in keys), "total long", "added long"]), "Append", "None")
