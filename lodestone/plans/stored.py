@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import percentiles
-from ..operators import markup, retrieval, vector_join
+from ..functions import percentiles, scalars
+from ..operators import documents, markup, retrieval, telemetry, vector_join
 from ..operators.lexical_index import LexicalIndex
 from .catalogue import _POST, ORACLE, ascii_tokens, query, view
-from ..sources import partitioned
+from ..sources import datasets, partitioned, readers
+from ..streaming import telemetry as streams
 from ..streaming import timers
 from .more import _folder
 
@@ -157,3 +158,98 @@ def chunked_pages(s, d):
 def dense_weights(s, d):
     v = view(s, d, "embeddings")
     return v.select("vec_id", retrieval.dense_weight(1.0, (F.col("vec_id") % 11) / F.lit(10.0)).cast("double").alias("weight"))
+
+
+# --- tokens of any script, states, effects, readers
+
+_WORDS = "regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{Nd}\\p{Pc}'']+')"
+_UNICODE = _POST.replace("regexp_extract_all(lower(text), '[a-z0-9'']+')", _WORDS)
+
+
+@query(f"WITH {_UNICODE} SELECT doc_id, term, tf FROM d")
+def unicode_tokens(s, d):
+    return retrieval.postings(view(s, d, "documents"))
+
+
+ORACLE["unicode_bm25"] = ORACLE["stored_bm25"].replace("regexp_extract_all(lower(text), '[a-z0-9'']+')", _WORDS)
+
+
+@query(ORACLE["unicode_bm25"])
+def unicode_bm25(s, d):
+    """The stored index over words of any script, which is what it takes by itself."""
+
+    def make(path):
+        index = LexicalIndex(s, path)
+        index.append(view(s, d, "documents"))
+        return index
+
+    asked = retrieval.postings(view(s, d, "benchmark").withColumnRenamed("item_id", "query_id"), "query_id")
+    hits, _ = built(s, d, "words", make).search(asked, 10)
+    return hits.select("query_id", "doc_id", "rank", F.round("score", 3).alias("score"))
+
+
+@query("""SELECT item_id AS job_id, CASE max(CASE status WHEN 'failure' THEN 0 WHEN 'skip' THEN 1 ELSE 2 END) WHEN 0 THEN 'failure' WHEN 1 THEN 'skip' ELSE 'success' END AS state FROM @manifest GROUP BY item_id""")
+def furthest_states(s, d):
+    m = view(s, d, "manifest").select(F.col("item_id").alias("job_id"), F.col("status").alias("state"))
+    return telemetry.state_of(m, {"failure": 0, "skip": 1, "success": 2})
+
+
+@query("SELECT DISTINCT user_id, event_type FROM events")
+def effects_once(s, d):
+    """A stream of effects of which each is written once a key."""
+    path, e = _folder(s, "effects"), view(s, d, "events")
+    stream = s.readStream.schema(e.schema).parquet(f"{d}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp"))
+    once = streams.distinct_effects(stream, ["user_id", "event_type"], "3650 days").select("user_id", "event_type")
+    once.writeStream.format("parquet").option("path", path).option("checkpointLocation", _folder(s, "effects-check")).trigger(availableNow=True).start().awaitTermination()
+    return s.read.schema("user_id long, event_type string").parquet(path)
+
+
+@query("""SELECT doc_id, len(p) AS n, len(list_filter(p, lambda x: starts_with(ltrim(x), '#') OR starts_with(ltrim(x), 'Figure caption:') OR starts_with(ltrim(x), 'Table:') OR starts_with(ltrim(x), 'Picture description:') OR starts_with(ltrim(x), '<!-- image -->'))) AS opening
+  FROM (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS p FROM documents) WHERE len(p) > 0""")
+def paragraph_counts(s, d):
+    return documents.paragraphs(view(s, d, "documents")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.count_if("boundary").alias("opening"))
+
+
+@query(r"""SELECT page_id, substr(regexp_replace(regexp_replace(url, '\.[A-Za-z0-9]{1,8}$', ''), '[^A-Za-z0-9._/-]', '_', 'g'), 1, 512) AS rel_id FROM pages""")
+def relative_ids(s, d):
+    return view(s, d, "pages").select("page_id", scalars.relative_id(F.col("url")).alias("rel_id"))
+
+
+@query("SELECT vec_id, label FROM embeddings WHERE vec_id % 5 <> 0 UNION ALL SELECT vec_id, -1 AS label FROM embeddings WHERE vec_id % 5 = 0")
+def upserted_rows(s, d):
+    v = view(s, d, "embeddings").select("vec_id", "label")
+    return retrieval.upsert(v, v.where("vec_id % 5 = 0").withColumn("label", F.lit(-1)), "vec_id")
+
+
+@query("SELECT doc_id, lang, n_chars FROM documents ORDER BY doc_id LIMIT 300 OFFSET 50")
+def rows_of_a_range(s, d):
+    return readers.rows_between(view(s, d, "documents").select("doc_id", "lang", "n_chars"), 50, 350, "doc_id")
+
+
+@query("SELECT c_custkey, c_name, kind FROM customer, (VALUES ('csv'), ('jsonl'), ('parquet')) AS k(kind)")
+def rows_by_suffix(s, d):
+    """Customers written in three formats, each read by the suffix of its path."""
+    c, root, out = view(s, d, "customer").select("c_custkey", "c_name"), _folder(s, "suffix"), None
+    for kind in ("csv", "jsonl", "parquet"):
+        datasets.write_rows(c, f"{root}/rows.{kind}", {"jsonl": "json"}.get(kind, kind))
+        some = readers.read_rows(s, f"{root}/rows.{kind}", c.schema).withColumn("kind", F.lit(kind))
+        out = some if out is None else out.unionByName(some)
+    return out
+
+
+@query("SELECT seq, item_id, status, CASE WHEN seq % 2 = 0 THEN 'jsonl' ELSE 'csv' END AS origin FROM @manifest")
+def entries_of_earlier_runs(s, d):
+    m, root = view(s, d, "manifest").select("seq", "item_id", "status"), _folder(s, "entries")
+    datasets.write_rows(m.where("seq % 2 = 0"), f"{root}/a", "json")
+    datasets.write_rows(m.where("seq % 2 = 1"), f"{root}/b", "csv")
+    return readers.previous_entries(s, m.schema, f"{root}/a", f"{root}/b")
+
+
+@query("SELECT CAST(vec_id AS STRING) AS uuid, CAST(len(embedding) AS INTEGER) AS dim FROM embeddings WHERE label < 5")
+def vector_dataset(s, d):
+    """Dense vectors written as a dataset by month, and read back with a filter."""
+    root, v = _folder(s, "vectors"), view(s, d, "embeddings")
+    made = {"uuid": F.col("vec_id").cast("string"), "vec": F.col("embedding"), "dim": F.size("embedding"), "created_at": F.to_timestamp(F.format_string("2024-%02d-01", F.col("label") + 1))}
+    rows = v.select(*(made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in datasets.DENSE))
+    datasets.write_dataset(rows, root, datasets.DENSE, family="dense", fmt="parquet")
+    return datasets.open_vectors(s, root, "dense", ["uuid", "dim"], "mm < '06'")

@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import contextlib
-import sqlite3
 from collections.abc import Iterator
 from fnmatch import translate
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .partitioned import read_table
+
 
 @contextlib.contextmanager
 def _settings(spark: SparkSession, **conf: str):
@@ -127,19 +127,9 @@ def read_evaluation(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
     return rows.select("document.*").where("doc_id is not null"), rows.select(F.explode("queries").alias("q")).select("q.*")
 
 
-def read_sqlite(spark: SparkSession, path: str, table: str, schema: str, size: int = 4096) -> DataFrame:
-    """A table of an SQLite file that executors see, in batches of `size` rows, by one task (a file has one reader)."""
-    names = [f.name for f in T.StructType.fromDDL(schema)]
-
-    def run(frames):
-        for pdf in frames:
-            for file in pdf["path"]:
-                with contextlib.closing(sqlite3.connect(file)) as con:
-                    rows = con.execute(f"SELECT {', '.join(names)} FROM {table}")  # noqa: S608
-                    while some := rows.fetchmany(size):
-                        yield pd.DataFrame(some, columns=names)
-
-    return spark.createDataFrame([(path.removeprefix("file://"),)], "path string").mapInPandas(run, schema)
+def read_sqlite(spark: SparkSession, path: str, table: str, schema: str, size: int = 1 << 20) -> DataFrame:
+    """A table of an SQLite file that executors see; a task reads `size` rowids."""
+    return read_table(spark, path.removeprefix("file://"), table, schema, size)
 
 
 def previous_entries(spark: SparkSession, schema: T.StructType, jsonl: str | None = None, csv: str | None = None, sqlite: tuple[str, str] | None = None) -> DataFrame:
