@@ -12,6 +12,7 @@ from ..sources import datasets, partitioned, readers
 from ..streaming import telemetry as streams
 from ..streaming import timers
 from .more import _folder
+from .views import with_views
 
 _BUILT: dict[tuple[str, str, str], object] = {}
 
@@ -253,3 +254,17 @@ def vector_dataset(s, d):
     rows = v.select(*(made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in datasets.DENSE))
     datasets.write_dataset(rows, root, datasets.DENSE, family="dense", fmt="parquet")
     return datasets.open_vectors(s, root, "dense", ["uuid", "dim"], "mm < '06'")
+
+
+# A breaker whose cooldown ends with the next call after it, in SQL.
+ORACLE["circuit_breaker"] = with_views("""WITH RECURSIVE e AS (SELECT host, event_id, epoch_us(ts) / 1000000.0 AS ms, status >= 429 AS failed, row_number() OVER (PARTITION BY host ORDER BY ts, event_id) AS n FROM @http),
+  s AS (
+    SELECT DISTINCT host, 0::BIGINT AS n, 'CLOSED' AS name, []::DOUBLE[] AS fails, -1::DOUBLE AS due, -1::DOUBLE AS ms, NULL::DOUBLE AS fired, NULL::VARCHAR AS was FROM e
+    UNION ALL
+    SELECT host, n, CASE WHEN opens THEN 'OPEN' WHEN closes THEN 'CLOSED' ELSE name END, CASE WHEN opens OR closes THEN [] WHEN failed AND name <> 'OPEN' THEN f ELSE fails END, CASE WHEN opens THEN ms WHEN name = 'OPEN' THEN due ELSE -1 END, ms, fired, CASE WHEN opens OR closes THEN name END
+    FROM (SELECT *, name <> 'OPEN' AND failed AND (name = 'HALF_OPEN' OR len(f) >= 3) AS opens, name = 'HALF_OPEN' AND NOT failed AS closes
+      FROM (SELECT *, list_append(list_filter(fails, lambda x: ms - x < 7200)[-2:], ms) AS f
+        FROM (SELECT s.host, e.n, e.ms, e.failed, CASE WHEN s.name = 'OPEN' AND e.ms - s.due >= 3600 THEN 'HALF_OPEN' ELSE s.name END AS name, CASE WHEN s.name = 'OPEN' AND e.ms - s.due >= 3600 THEN [] ELSE s.fails END AS fails, s.due, CASE WHEN s.name = 'OPEN' AND e.ms - s.due >= 3600 THEN e.ms END AS fired
+          FROM s JOIN e ON e.host = s.host AND e.n = s.n + 1))))
+  SELECT host, fired AS ts, 'OPEN' AS old_state, 'HALF_OPEN' AS new_state FROM s WHERE fired IS NOT NULL
+  UNION ALL SELECT host, ms, was, name FROM s WHERE was IS NOT NULL""")
