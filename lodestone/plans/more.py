@@ -338,17 +338,19 @@ def namespace_leaks(s, d):
 def index_search(s, d):
     v = view(s, d, "embeddings")
     codes = vector_index.train(v, parts=16, codes=256)
-    return vector_index.search(evaluation.sampled(v, 100), vector_index.build(v, codes), codes, probes=13, refine=20)
+    # the given vectors have no clusters, so recall asks for most cells; of vectors, each query reads 80
+    return vector_index.search(evaluation.sampled(v, 100), vector_index.build(v, codes), codes, probes=-(-3 * len(codes.centres) // 4), refine=8)
 
 
-@query("SELECT CAST(label % 3 AS STRING) AS namespace, count(*) AS rows FROM embeddings WHERE label % 3 < 2 GROUP BY 1")
+@query("SELECT vec_id AS id, CAST(label % 3 AS STRING) AS namespace, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 4) AS total FROM embeddings WHERE label % 3 < 2")
 def restored_index(s, d):
     v = view(s, d, "embeddings").withColumn("ns", F.col("label") % 3)
     codes = vector_index.train(v, cells=8, parts=4, codes=16)
     path = _folder(s, "index")
     vector_index.save(vector_index.build(v, codes, namespace="ns"), codes, path)
     rows, _ = vector_index.load(s, path)
-    return vector_index.snapshot(rows.where("namespace in ('0', '1')")).select("namespace", "rows")
+    total = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double"))
+    return rows.where("namespace in ('0', '1')").select("id", "namespace", F.round(total, 4).alias("total"))
 
 
 @query("SELECT vec_id AS id, CAST(len(embedding) AS INTEGER) AS dim, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 4) AS total FROM embeddings WHERE vec_id % 10 = 0 UNION ALL SELECT -1, NULL, NULL")

@@ -72,3 +72,26 @@ def test_no_rows(spark):
     members, found = vector_join.near_duplicates(none, 0.9)
     assert members.collect() == [] and found.collect() == []
     assert vector_join.ingest(none, none, 0.9).collect() == []
+
+
+def test_index_finds_neighbours_of_clustered_vectors_in_few_cells(spark):
+    """Vectors around 40 centres: a tenth of the rows is read, a hot cell among them, and nearly all neighbours are found."""
+    from pyspark.sql import functions as F
+
+    from lodestone.operators import retrieval, vector_index
+
+    r = np.random.default_rng(3)
+    centres = r.normal(size=(40, 16))
+    data = [(k, (centres[0 if k % 3 == 0 else k % 40] + 0.2 * r.normal(size=16)).astype(np.float32).tolist()) for k in range(3000)]
+    v = spark.createDataFrame(data, "vec_id long, embedding array<float>").repartition(4).cache()
+    q = v.where("vec_id % 60 = 7").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    codes = vector_index.train(v, parts=4, codes=64)
+    index = vector_index.build(v, codes).cache()
+    assert len(codes.centres) == 55
+    truth = retrieval.dense_search(q, v, 10)
+    found = vector_index.search(q, index, codes, 10, probes=6, refine=8).withColumnRenamed("id", "vec_id")
+    assert retrieval.recall_at(found, truth, 10).agg(F.avg("recall")).first()[0] >= 0.9
+    did = vector_index.work(q, index, codes, 6).agg(F.sum("read"), F.sum("total")).first()
+    assert did[0] * 4 < did[1]
+    none = vector_index.search(q.where("false"), index, codes)
+    assert none.columns == found.withColumnRenamed("vec_id", "id").columns and none.collect() == []
