@@ -207,9 +207,42 @@ def range_search(queries: DataFrame, vectors: DataFrame, least: float, limit: in
     return over.withColumn("fell_back", F.lit(False)).unionByName(best.withColumn("fell_back", F.lit(True)))
 
 
-def adaptive_k(k: int, live: int, oversample: float = 2.0, most: int = 10_000) -> int:
-    """How many rows a channel reads for a page of k: more than asked for, within the rows there are."""
-    return max(1, min(int(math.ceil(k * oversample)), live, most))
+#: Bounds of a planned k and of a pass rate, and the weight of a new observation (fixed values).
+MOST_K, LEAST_RATE, ALPHA = 10_000, 1e-3, 0.2
+
+
+def planned_k(page: int, rate: float = 1.0, top_k: int = CHANNEL_K, oversample: float = 1.0, overfetch: float = 1.5, least: int = 0) -> int:
+    """How many rows to search for so that `page` are left by filters that pass a share `rate`: no fewer than `top_k` or `least`, MOST_K at most."""
+    page, over = max(1, page), max(1.0, oversample) * max(1.0, overfetch)
+    return min(MOST_K, max(top_k, least, math.ceil(page * over), math.ceil(page / max(LEAST_RATE, rate) * max(1.0, oversample) * max(1.0, overfetch))))
+
+
+def blended_rate(before: float, observed: float, alpha: float = ALPHA) -> float:
+    return max(LEAST_RATE, min(1.0, alpha * max(0.0, min(1.0, observed)) + (1 - alpha) * before))
+
+
+def overfetched(search, queries: DataFrame, passes: DataFrame, page: int, key: str = "vec_id", rate: float = 0.75, top_k: int = CHANNEL_K) -> tuple[DataFrame, int]:
+    """The best `page` rows a query that pass (keys in `passes`), of a search that cannot filter by itself: search(queries, k) gives (query_id, key, score, rank).
+
+    k starts from the pass rate and grows with what is observed, until each query's page is full, its rows are used up, or k is MOST_K. Gives the
+    rows with their rank among those that pass, and the k of the last round.
+    """
+    k = planned_k(page, rate, top_k)
+    while True:
+        hits = search(queries, k)
+        kept = hits.join(passes.select(key).distinct(), key, "left_semi")
+        # of all queries: rows found and kept, and whether one lacks rows that a larger k may bring
+        each = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).join(kept.groupBy("query_id").agg(F.count(F.lit(1)).alias("m")), "query_id", "left")
+        n, m, short = each.agg(F.sum("n"), F.coalesce(F.sum("m"), F.lit(0)), F.count_if((F.coalesce("m", F.lit(0)) < page) & (F.col("n") >= k))).first()
+        rate = blended_rate(rate, m / n if n else 0.0)
+        more = planned_k(page, rate, top_k, least=min(MOST_K, 2 * k))
+        if not short or more <= k:
+            return top_k_of(kept, page, key), k
+        k = more
+
+
+def top_k_of(rows: DataFrame, k: int, key: str) -> DataFrame:
+    return top_k(rows.drop("rank"), k, key)
 
 
 def rrf(channels: list[tuple[DataFrame, float]], k0: float = K0, key: str = "doc_id") -> DataFrame:

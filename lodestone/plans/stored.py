@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import percentiles, scalars
 from ..operators import documents, markup, retrieval, telemetry, vector_join
 from ..operators.lexical_index import LexicalIndex
-from .catalogue import _POST, ORACLE, ascii_tokens, query, view
+from .catalogue import _COS, _POST, ORACLE, ascii_tokens, query, view
 from ..sources import datasets, partitioned, readers
 from ..streaming import telemetry as streams
 from ..streaming import timers
@@ -142,6 +142,16 @@ def timed_breaker(s, d):
     return timers.changes_batch(calls, timers.Breaker(3, 7_200_000, 3_600_000))
 
 
+@query(f"""WITH r AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, {_COS} AS score FROM embeddings q JOIN embeddings c ON c.label = 3 AND q.vec_id % 100 = 0)
+  SELECT query_id, vec_id, CAST(n AS INTEGER) AS rank, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM r) WHERE n <= 12""")
+def overfetched_search(s, d):
+    """A search that cannot filter, asked for more until twelve rows of one label are left."""
+    v = view(s, d, "embeddings")
+    asked = v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    found, _ = retrieval.overfetched(lambda q, k: retrieval.dense_search(q, v, k), asked, v.where("label = 3"), 12)
+    return found.select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"))
+
+
 # --- whole documents
 
 

@@ -77,7 +77,8 @@ def test_range_search_falls_back(spark):
     q = spark.createDataFrame([(0, [1.0, 0.0]), (1, [-1.0, 0.0])], "query_id long, vector array<float>")
     got = [(r.query_id, r.vec_id, r["rank"], r.fell_back) for r in retrieval.range_search(q, v, 0.9, 2, 1).orderBy("query_id", "rank").collect()]
     assert got == [(0, 5, 1, False), (0, 4, 2, False), (1, 0, 1, True)]
-    assert retrieval.adaptive_k(10, 1000) == 20 and retrieval.adaptive_k(10, 12) == 12 and retrieval.adaptive_k(10, 0) == 1
+    assert [retrieval.planned_k(*a) for a in ((10,), (100,), (10, 0.1), (10, 0.0), (0, 1.0, 1))] == [50, 150, 150, 10_000, 2]
+    assert retrieval.planned_k(10, 1.0, 50, least=77) == 77 and retrieval.blended_rate(1.0, 0.0) == 0.8 and retrieval.blended_rate(0.001, -1) == 0.001
 
 
 def test_hybrid_equals_a_plain_version(spark):
