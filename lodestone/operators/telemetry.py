@@ -95,6 +95,31 @@ def objective(name: str, actual: Column, directional: bool = True) -> Column:
     return F.when(miss <= 0 if directional else miss <= budget, "pass").when(miss <= (budget if directional else 2 * budget), "warn").otherwise("fail")
 
 
+#: Of each objective of the job report: target and allowed distance (fixed values; times in ms).
+REPORTED = {
+    "job_completion_rate": (0.995, 0.005), "time_to_complete_p50": (30000.0, 5000.0), "time_to_complete_p95": (120000.0, 20000.0),
+    "crash_recovery_success_rate": (0.999, 0.001), "lease_acquisition_p99": (100.0, 50.0), "operation_replay_rate": (0.05, 0.10),
+}
+
+
+def objectives_report(jobs: DataFrame, ops: DataFrame) -> DataFrame:
+    """(objective, actual, target, status) of jobs and their operations: pass within the allowed distance from the target, warning within twice, else fail. Recovery counts as whole, as jobs that ended have recovered; times without jobs are 0."""
+    times = time_to_complete(jobs, []).select((F.col("p50_s") * 1000).alias("time_to_complete_p50"), (F.col("p95_s") * 1000).alias("time_to_complete_p95"))
+    leases = by_index(lease_latency(jobs, ops), [], "lease_s", {"p": 0.99}, clamp=True).select((F.col("p") * 1000).alias("lease_acquisition_p99"))
+    rates = completion(jobs).select(F.col("completion_rate").alias("job_completion_rate"), F.lit(1.0).alias("crash_recovery_success_rate"))
+    parts = (rates, times, leases, replay_rate(ops).select(F.col("replay_rate").alias("operation_replay_rate")))
+    out = None
+    for one in parts:  # a row each
+        rows = one.select(F.explode(F.array(*(F.struct(F.lit(c).alias("objective"), F.col(c).cast("double").alias("actual")) for c in one.columns))).alias("o")).select("o.*")
+        out = rows if out is None else out.unionByName(rows)
+    pick = lambda i: F.element_at(F.create_map(*(F.lit(x) for name, v in REPORTED.items() for x in (name, v[i]))), F.col("objective"))
+    known = jobs.sparkSession.createDataFrame([(n,) for n in REPORTED], "objective string").join(out, "objective", "left")
+    known = known.select("objective", F.coalesce("actual", F.lit(0.0)).alias("actual"), pick(0).alias("target"), pick(1).alias("allowed"))
+    far = F.abs(F.col("actual") - F.col("target"))
+    status = F.when(far <= F.col("allowed"), "pass").when(far <= 2 * F.col("allowed"), "warning").otherwise("fail")
+    return known.select("objective", "actual", "target", status.alias("status"))
+
+
 def attempts_overall(a: DataFrame, *keys: str) -> DataFrame:
     """Attempts, success rate and mean time; times of 0 or null do not count."""
     t = F.when(F.col("elapsed_ms") > 0, F.col("elapsed_ms"))

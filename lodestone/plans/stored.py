@@ -152,6 +152,18 @@ def overfetched_search(s, d):
     return found.select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"))
 
 
+@query("""WITH d AS (SELECT list_sort(list(CAST(job_id % 1000 AS DOUBLE))) AS x FROM @jobs WHERE state = 'FINALIZED'),
+  l AS (SELECT list_sort(list(epoch(t) - epoch(created_at))) AS x FROM @jobs JOIN (SELECT job_id, min(started_at) AS t FROM @ops GROUP BY job_id) USING (job_id)),
+  g AS (SELECT job_id, kind, count(*) AS n FROM @ops GROUP BY job_id, kind),
+  r AS (SELECT 'job_completion_rate' AS objective, round(count(*) FILTER (state = 'FINALIZED') / count(*)::DOUBLE, 6) AS actual, 0.995::DOUBLE AS target, 0.005::DOUBLE AS allowed FROM @jobs
+    UNION ALL SELECT 'time_to_complete_p50', 1000 * x[least(CAST(floor(len(x) * 0.5) AS BIGINT), len(x) - 1) + 1], 30000, 5000 FROM d UNION ALL SELECT 'time_to_complete_p95', 1000 * x[least(CAST(floor(len(x) * 0.95) AS BIGINT), len(x) - 1) + 1], 120000, 20000 FROM d
+    UNION ALL SELECT 'crash_recovery_success_rate', 1, 0.999, 0.001 UNION ALL SELECT 'lease_acquisition_p99', 1000 * x[least(CAST(floor(len(x) * 0.99) AS BIGINT), len(x) - 1) + 1], 100, 50 FROM l
+    UNION ALL SELECT 'operation_replay_rate', round(sum(n - 1) / sum(n)::DOUBLE, 6), 0.05, 0.10 FROM g)
+  SELECT objective, actual, target, CASE WHEN abs(actual - target) <= allowed THEN 'pass' WHEN abs(actual - target) <= 2 * allowed THEN 'warning' ELSE 'fail' END AS status FROM r""")
+def objectives_report(s, d):
+    return telemetry.objectives_report(view(s, d, "jobs"), view(s, d, "ops"))
+
+
 # --- whole documents
 
 
