@@ -172,3 +172,19 @@ def test_registered_hash_embeddings_have_the_default_length(spark):
     if not os.path.isdir(d):
         pytest.skip("no test tables")
     assert len(catalogue.QUERIES["hash_embeddings"](spark, d).first().vec) == 2560
+
+
+def test_hash_embedding_holds_one_row_at_a_time():
+    import hashlib
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rows = [[f"w{(i * j) % 97}" for j in range(20)] for i in range(3000)] + [[], None]
+    sent = pa.array(rows, pa.list_(pa.string()))
+    tracemalloc.start()
+    got = retrieval._token_hashes(sent, 2560).to_pylist()
+    assert tracemalloc.get_traced_memory()[1] < 30 << 20
+    tracemalloc.stop()
+    plain = np.resize(sum(np.frombuffer(hashlib.sha256(w.encode()).digest(), np.uint8) / 255.0 for w in rows[7]), 2560)
+    assert np.array_equal(np.resize(np.array(got[7], np.float32), 2560), (plain / np.linalg.norm(plain)).astype(np.float32)) and not any(got[-1] + got[-2])
