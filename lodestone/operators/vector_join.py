@@ -5,6 +5,9 @@ to any pivot, and if x lies nearest to pivot p, then y is at most 2a further fro
 with its nearest pivot, in a band of its angle to it, and visits only cells and bands where a partner can be; each pair meets once. Rows of a
 cell and band are packed into tiles of bounded size, and pairs of tiles are compared as matrix products, so a crowded cell
 is many tasks' work. Equal vectors are one class first: copies cost one row.
+
+Where angles tell little (a wide angle, vectors without clusters), a row would visit nearly all places. A sample tells, and such vectors are dealt
+to groups instead, of which each pair is compared: a row is then sent as often as there are groups.
 """
 
 from __future__ import annotations
@@ -28,6 +31,10 @@ CELL_ROWS = 256
 TILE_ROWS = 512
 #: Parts that the rows of one cell and band are dealt to for packing.
 SALT = 16
+#: Rows that a group of the plain square has at least and at most, and groups where neither holds.
+GROUP_ROWS, GROUPS = (1024, 16384), 16
+#: Rows that the visits are judged by, and visits that one Arrow batch holds.
+JUDGED, VISITS = 256, 1 << 14
 #: Slack of angles against rounding.
 SLACK = 1e-6
 #: Bands are no narrower, in radians.
@@ -59,31 +66,55 @@ def _unit(v: np.ndarray) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
+def _visits(v: np.ndarray, pivots: np.ndarray | None, angle: float) -> tuple[np.ndarray, ...]:
+    """(row, cell, whether it is the row's own, first band, last band, its band there) of the cells that unit vectors are in or visit."""
+    width = max(angle, BAND)
+    far = np.arccos(np.clip(v @ pivots.T, -1, 1)) if pivots is not None else np.zeros((len(v), 1))
+    home = far.argmin(1)
+    near = far[np.arange(len(v)), home]
+    # cells before a row's own that may hold a partner, and its own
+    row, cell = np.nonzero((far <= near[:, None] + 2 * angle + SLACK) & (np.arange(far.shape[1]) <= home[:, None]))
+    own = cell == home[row]
+    low = np.maximum(0, np.floor((far[row, cell] - angle - SLACK) / width)).astype(int)
+    high = np.floor((far[row, cell] + angle + SLACK) / width).astype(int)
+    mine = np.floor(far[row, cell] / width).astype(int)
+    high[own] = mine[own]
+    return row, cell, own, low, high, mine
+
+
 def _place(sent, angle: float):
     """(id, fresh, v) -> the cell and band where each vector is at home, and those it visits."""
-    width = max(angle, BAND)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(k, JUDGED) for b in batches for k in range(0, b.num_rows, JUDGED)):
             ids, fresh = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
             for at, v in _matrix(batch.column(2)):
-                pivots = sent.value.get(v.shape[1])
-                far = np.arccos(np.clip(_unit(v) @ pivots.T, -1, 1)) if pivots is not None else np.zeros((len(v), 1))
-                home = far.argmin(1)
-                near = far[np.arange(len(v)), home]
-                # cells before a row's own that may hold a partner, and its own
-                row, cell = np.nonzero((far <= near[:, None] + 2 * angle + SLACK) & (np.arange(far.shape[1]) <= home[:, None]))
-                own = cell == home[row]
-                low = np.maximum(0, np.floor((far[row, cell] - angle - SLACK) / width)).astype(int)
-                high = np.floor((far[row, cell] + angle + SLACK) / width).astype(int)
-                mine = np.floor(far[row, cell] / width).astype(int)
-                high[own] = mine[own]
+                row, cell, own, low, high, mine = _visits(_unit(v), sent.value.get(v.shape[1]), angle)
                 n = high - low + 1
                 row, cell, own, mine = (np.repeat(x, n) for x in (row, cell, own, mine))
                 band = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 raw = [x.tobytes() for x in v]
+                for k in range(0, len(row), VISITS):
+                    r, c, b, m = (x[k : k + VISITS] for x in (row, cell, band, own & (band == mine)))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(m), pa.array(np.full(len(r), v.shape[1], np.int32)), pa.array(ids[at][r]), pa.array(fresh[at][r].astype(bool)), pa.array([raw[x] for x in r], pa.binary())],
+                        [c.split()[0] for c in PLACED.split(", ")],
+                    )
+
+    return run
+
+
+def _deal(groups: dict[int, int]):
+    """(id, fresh, v) -> each vector at home in one of its length's groups, by a hash of its id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, fresh = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+            for at, v in _matrix(batch.column(2)):
+                group = (ids[at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(groups[v.shape[1]])
+                n = len(at)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell.astype(np.int32)), pa.array(band.astype(np.int32)), pa.array(own & (band == mine)), pa.array(np.full(len(row), v.shape[1], np.int32)), pa.array(ids[at][row]), pa.array(fresh[at][row].astype(bool)), pa.array([raw[k] for k in row], pa.binary())],
+                    [pa.array(group.astype(np.int32)), pa.array(np.zeros(n, np.int32)), pa.array(np.ones(n, bool)), pa.array(np.full(n, v.shape[1], np.int32)), pa.array(ids[at]), pa.array(fresh[at].astype(bool)), pa.array([x.tobytes() for x in v], pa.binary())],
                     [c.split()[0] for c in PLACED.split(", ")],
                 )
 
@@ -114,8 +145,8 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _compare(least: float):
-    """Pairs of tiles of one cell and band -> pairs of vectors with a cosine of `least` or more."""
+def _compare(least: float, gone: bool):
+    """Pairs of tiles of one place -> pairs of vectors with a cosine of `least` or more; or, with `gone`, of each such pair the fresh one (the larger, where both are)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, x = None, None
@@ -127,34 +158,68 @@ def _compare(least: float):
                     raw = {c: batch.column(f"h_{c}")[k].as_py() for c in ("ids", "fresh", "v")}
                     last, x = mine, (np.frombuffer(raw["ids"], np.int64), np.frombuffer(raw["fresh"], bool), _unit(np.frombuffer(raw["v"], np.float32).reshape(-1, r["dim"])))
                 ids, fresh, v = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["fresh"], bool), _unit(np.frombuffer(r["v"], np.float32).reshape(-1, r["dim"]))
-                s = np.round(x[2] @ v.T, DIGITS)
-                ok = (s >= least) & (x[1][:, None] | fresh[None, :])
+                s = x[2] @ v.T
+                ok = s >= least - 10**-DIGITS  # and rounded below
+                if not (x[1].all() and fresh.all()):
+                    ok &= x[1][:, None] | fresh[None, :]
                 a, b = np.nonzero(np.triu(ok, 1) if r["tile"] == mine else ok)
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x[0][a], ids[b])), pa.array(np.maximum(x[0][a], ids[b])), pa.array(s[a, b])], ["a", "b", "score"])
+                s = np.round(s[a, b], DIGITS)
+                a, b, s = a[s >= least], b[s >= least], s[s >= least]
+                if len(a) and gone:
+                    both = x[1][a] & fresh[b]
+                    out = np.where(both, np.maximum(x[0][a], ids[b]), np.where(fresh[b], ids[b], x[0][a]))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.unique(out))], ["id"])
+                elif len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x[0][a], ids[b])), pa.array(np.maximum(x[0][a], ids[b])), pa.array(s)], ["a", "b", "score"])
 
     return run
 
 
-def near_pairs(reps: DataFrame, least: float, pivots: int | None = None) -> DataFrame:
-    """(a, b, score), a < b, of all pairs of `reps` (id, fresh, v; see classes) with a cosine of `least` or more of which one is fresh. Vectors of unlike length never pair."""
+def _met(homes: DataFrame, others: DataFrame) -> DataFrame:
+    """Home tiles beside all tiles of their place."""
+    homes = homes.select("dim", "cell", "band", *(F.col(c).alias(f"h_{c}") for c in ("tile", "any_fresh", "ids", "fresh", "v")))
+    # in a merge join a home tile meets all tiles of its place in turn
+    met = homes.hint("merge").join(others, ["dim", "cell", "band"]).where((~F.col("home") | (F.col("tile") >= F.col("h_tile"))) & (F.col("any_fresh") | F.col("h_any_fresh")))
+    return met.select("h_tile", "h_ids", "h_fresh", "h_v", "dim", "tile", "ids", "fresh", "v")
+
+
+def groups_of(n: int) -> int:
+    """Groups that n vectors are dealt to where all pairs of groups are compared."""
+    return max(1, -(-n // min(GROUP_ROWS[1], max(GROUP_ROWS[0], n // GROUPS))))
+
+
+def near_pairs(reps: DataFrame, least: float, pivots: int | None = None, gone: bool = False) -> DataFrame:
+    """(a, b, score), a < b, of all pairs of `reps` (id, fresh, v; see classes) with a cosine of `least` or more of which one is fresh. Vectors of unlike length never pair.
+
+    With `gone`, (id) of what such pairs take out: of two fresh vectors the larger, else the fresh one. `pivots` asks for so many, whatever they spare.
+    """
     spark = reps.sparkSession
     ship(spark)
     angle = math.acos(max(-1.0, min(1.0, least - 10**-DIGITS)))
     dims = [(r[0], r[1]) for r in reps.groupBy(F.size("v")).count().orderBy(F.desc("count")).limit(64).collect()]  # vectors of rarer lengths share a cell
-    sent = {}
+    sent, groups = {}, {}
     for dim, n in dims:
         most = max(1, min(pivots or PIVOTS, n // CELL_ROWS if pivots is None else n, NUMBERS // (dim * len(dims)) or 1))
-        some = reps.where(F.size("v") == dim).orderBy(F.xxhash64(F.lit(3), "id"), "id").limit(most).select("v").toArrow()["v"].to_pylist()
-        sent[dim] = _unit(np.array(some, np.float32))
-    placed = reps.select("id", "fresh", "v").mapInArrow(_place(spark.sparkContext.broadcast(sent), angle), PLACED)
+        some = reps.where(F.size("v") == dim).orderBy(F.xxhash64(F.lit(3), "id"), "id").limit(most + JUDGED).select("v").toArrow()["v"].to_pylist()
+        unit = _unit(np.array(some, np.float32))
+        sent[dim] = unit[:most]
+        if pivots is None and len(unit) > most:
+            _, _, _, low, high, _ = _visits(unit[most:], sent[dim], angle)
+            if (high - low + 1).sum() > groups_of(n) * (len(unit) - most):
+                groups[dim] = groups_of(n)
+    square = F.size("v").isin(list(groups))
+    placed = reps.where(~square).select("id", "fresh", "v").mapInArrow(_place(spark.sparkContext.broadcast(sent), angle), PLACED)
     dealt = placed.repartition("dim", "cell", "band", F.pmod(F.xxhash64("id"), F.lit(SALT))).sortWithinPartitions("dim", "cell", "band", "home")
     tiles = settle(dealt.mapInArrow(_pack, TILE), "tiles")
-    at = ["dim", "cell", "band"]
-    homes = tiles.where("home").select(*at, *(F.col(c).alias(f"h_{c}") for c in ("tile", "any_fresh", "ids", "fresh", "v")))
-    # in a merge join a home tile meets all tiles of its place in turn
-    met = homes.hint("merge").join(tiles, at).where((~F.col("home") | (F.col("tile") >= F.col("h_tile"))) & (F.col("any_fresh") | F.col("h_any_fresh")))
-    return met.select("h_tile", "h_ids", "h_fresh", "h_v", "dim", "tile", "ids", "fresh", "v").mapInArrow(_compare(least), "a long, b long, score double")
+    met = _met(tiles.where("home"), tiles)
+    if groups:
+        dealt = reps.where(square).select("id", "fresh", "v").mapInArrow(_deal(groups), PLACED).repartition("dim", "cell").sortWithinPartitions("dim", "cell")
+        tiles = settle(dealt.mapInArrow(_pack, TILE), "tiles")
+        last = F.element_at(F.create_map(*(F.lit(x) for kv in groups.items() for x in kv)), F.col("dim")) - 1
+        others = tiles.select("dim", F.explode(F.sequence(F.lit(0), "cell")).alias("to"), *(c for c in tiles.columns if c not in ("dim", "band", "home"))).withColumnRenamed("cell", "band").withColumnRenamed("to", "cell")
+        met = met.unionByName(_met(tiles.withColumn("band", F.explode(F.sequence("cell", last))), others.withColumn("home", F.col("cell") == F.col("band"))))
+    found = met.mapInArrow(_compare(least, gone), "id long" if gone else "a long, b long, score double")
+    return found.distinct() if gone else found
 
 
 def near_duplicates(vectors: DataFrame, least: float, key: str = "vec_id", vec: str = "embedding", pivots: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -167,11 +232,9 @@ def ingest(new: DataFrame, held: DataFrame, least: float, key: str = "vec_id", v
     """The new rows to take in: those whose vector is not equal or near to one that is held or to a new one of smaller key. New rows whose vector takes no part (null, empty, zero, not finite) are taken in as they are."""
     both = held.select(key, vec).withColumn("__new", F.lit(False)).unionByName(new.select(key, vec).withColumn("__new", F.lit(True)))
     members, reps = classes(both, key, vec, "__new")
-    pairs = near_pairs(reps, least)
     new_reps = reps.where("fresh").select("id")
     # of a pair the larger new key goes; beside a held one, the new one
-    pairs = pairs.join(new_reps.select(F.col("id").alias("a"), F.lit(True).alias("a_new")), "a", "left").join(new_reps.select(F.col("id").alias("b"), F.lit(True).alias("b_new")), "b", "left")
-    out = pairs.select(F.when(F.col("b_new"), F.col("b")).otherwise(F.col("a")).alias("id")).distinct()
+    out = near_pairs(reps, least, gone=True)
     stay = new_reps.join(out, "id", "left_anti")
     dropped = members.join(stay, "id", "left_anti").select(F.col("id").alias(key))
     return new.join(dropped, key, "left_anti")

@@ -95,3 +95,34 @@ def test_index_finds_neighbours_of_clustered_vectors_in_few_cells(spark):
     assert did[0] * 4 < did[1]
     none = vector_index.search(q.where("false"), index, codes)
     assert none.columns == found.withColumnRenamed("vec_id", "id").columns and none.collect() == []
+
+
+def test_vectors_without_clusters_are_compared_in_groups(spark, monkeypatch):
+    """Where each row would visit nearly every place, it is sent once a group; places are still taken where angles tell."""
+    monkeypatch.setattr(vector_join, "CELL_ROWS", 8)
+    monkeypatch.setattr(vector_join, "GROUP_ROWS", (50, 16384))
+    monkeypatch.setattr(vector_join, "GROUPS", 8)
+    monkeypatch.setattr(vector_join, "TILE_ROWS", 16)
+    r = np.random.default_rng(8)
+    data = [(k, r.normal(size=16).astype(np.float32).tolist(), "x", 1) for k in range(600)] + [(900, [1.0, 2.0], "x", 1), (901, [2.0, 4.1], "x", 1)]
+    df = spark.createDataFrame(data, SCHEMA)
+    settled = []
+    settle = vector_join.settle
+    monkeypatch.setattr(vector_join, "settle", lambda df, what: settled.append((what, settle(df, what))) or settled[-1][1])
+    found = {(x.a, x.b): round(x.score, 6) for x in vector_join.near_duplicates(df, 0.35)[1].collect()}
+    assert found == pytest.approx(pairs(classes(data)[0], 0.35), abs=2e-6)
+    rows = sum(len(t.ids) // 8 for what, x in settled if what == "tiles" for t in x.collect())
+    assert rows == 602  # each row lies in one tile
+
+
+def test_a_batch_of_visits_is_bounded(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(vector_join, "VISITS", 500)
+    v = np.random.default_rng(1).normal(size=(2000, 8)).astype(np.float32)
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(2000)), pa.array(np.ones(2000, bool)), pa.array(list(v), pa.list_(pa.float32()))], ["id", "fresh", "v"])
+    sent = type("Sent", (), {"value": {8: vector_join._unit(v[:100])}})
+    out = list(vector_join._place(sent, 1.2)(iter([batch])))
+    assert max(b.num_rows for b in out) <= 500 and sum(b.num_rows for b in out) > 2000 * 20
+    home = pa.Table.from_batches(out).filter(pa.compute.field("home"))
+    assert sorted(home["id"].to_pylist()) == list(range(2000))
