@@ -188,3 +188,14 @@ def test_hash_embedding_holds_one_row_at_a_time():
     tracemalloc.stop()
     plain = np.resize(sum(np.frombuffer(hashlib.sha256(w.encode()).digest(), np.uint8) / 255.0 for w in rows[7]), 2560)
     assert np.array_equal(np.resize(np.array(got[7], np.float32), 2560), (plain / np.linalg.norm(plain)).astype(np.float32)) and not any(got[-1] + got[-2])
+
+
+def test_range_fallback_finds_other_queries_rows(spark, tmp_path):
+    rows = [(0, [1.0, 0.0], 0), (100, [1.0, 0.001], 0), (7, [0.0, 1.0], 0), (200, [0.5, 0.5], 0), (201, [0.4, 0.6], 0)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {(r.query_id, r.vec_id, r.fell_back) for r in catalogue.QUERIES["range_fallback"](spark, str(tmp_path)).collect()}
+    assert got == {(0, 100, False), (100, 0, False), *((200, k, True) for k in (0, 7, 100, 201))}
+    q = spark.createDataFrame([(r[0], r[1]) for r in rows], "query_id long, vector array<float>")
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    blocks = retrieval.dense_search(q, v, 2, most_queries=2, block=2, others=True).collect()
+    assert len(blocks) == 10 and all(r.query_id != r.vec_id for r in blocks)
