@@ -199,3 +199,23 @@ def test_range_fallback_finds_other_queries_rows(spark, tmp_path):
     v = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     blocks = retrieval.dense_search(q, v, 2, most_queries=2, block=2, others=True).collect()
     assert len(blocks) == 10 and all(r.query_id != r.vec_id for r in blocks)
+
+
+def test_micro_batches_go_by_the_rows_own_clock(spark):
+    rows = [(1, "2024-03-31 02:30:00"), (2, "2024-03-31 02:31:00.0005"), (None, "2024-03-31 02:31:00.0005"), (3, None), (4, "1969-12-31 23:55:00")]
+    df = spark.createDataFrame(rows, "event_id long, t string").selectExpr("event_id", "cast(t as timestamp_ntz) as ts")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")  # 02:30 is not there on that day
+        got = {(r.event_id, r.slot, r.batch) for r in retrieval.micro_batches(df, 600_000, 2, key="event_id").collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    slot = 1711852200000 // 600_000
+    assert got == {(1, slot, 0), (2, slot, 0), (None, slot, 1), (3, None, 0), (4, 0, 0)}
+
+
+def test_postings_are_dealt_by_bytes_of_text(spark, monkeypatch):
+    monkeypatch.setattr(retrieval, "TASK_BYTES", 1000)
+    docs = spark.createDataFrame([(i, "a b c a " * 25) for i in range(40)] + [(40, None)], "doc_id long, text string")
+    post = retrieval.postings(docs)
+    assert post.rdd.getNumPartitions() == 8
+    assert {(r.doc_id, r.term, r.tf) for r in post.collect()} == {(i, w, n) for i in range(40) for w, n in (("a", 50), ("b", 25), ("c", 25))}
