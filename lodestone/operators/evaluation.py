@@ -26,8 +26,8 @@ def perturbed(queries: DataFrame, noise: float = NOISE, seed: int = 7) -> DataFr
 
 def hits_within(found: DataFrame, k: int, key: str = "vec_id") -> DataFrame:
     """(n, hits, share): queries whose own row is among their first k."""
-    own = found.where((F.col(key) == F.col("query_id")) & (F.col("rank") <= k)).select("query_id").distinct().withColumn("hit", F.lit(1))
-    every = found.select("query_id").distinct().join(own, "query_id", "left")
+    own = F.max(F.when((F.col(key) == F.col("query_id")) & (F.col("rank") <= k), 1)).alias("hit")
+    every = found.groupBy("query_id").agg(own)
     return every.agg(F.count(F.lit(1)).alias("n"), F.count("hit").alias("hits"), F.round(F.count("hit") / F.count(F.lit(1)), 6).alias("share"))
 
 

@@ -219,3 +219,68 @@ def test_postings_are_dealt_by_bytes_of_text(spark, monkeypatch):
     post = retrieval.postings(docs)
     assert post.rdd.getNumPartitions() == 8
     assert {(r.doc_id, r.term, r.tf) for r in post.collect()} == {(i, w, n) for i in range(40) for w, n in (("a", 50), ("b", 25), ("c", 25))}
+
+
+def _ties():
+    g = np.random.default_rng(9)
+    m = np.repeat(g.integers(-2, 3, size=(60, 4)), 5, axis=0).astype(np.float32)
+    m[m.any(axis=1) == 0, 0] = 1
+    u = m.astype(float) / np.linalg.norm(m.astype(float), axis=1, keepdims=True)
+    return m, np.round(u @ u.T, 9), u
+
+
+def _plain(s, k, floor, others):
+    out = set()
+    for i in range(0, 300, 3):
+        order = [j for j in np.lexsort((np.arange(300), -s[i])) if (floor is None or s[i, j] >= floor) and not (others and i == j)]
+        out |= {(i, int(j), r + 1, s[i, j]) for r, j in enumerate(order[:k])}
+    return out
+
+
+CUTS = ((4, None, False), (4, None, True), (40, None, False), (None, 0.4, True), (3, 0.9, False))
+
+
+@pytest.mark.parametrize("k,floor,others", CUTS)
+def test_kept_pairs_are_bounded_and_whole(monkeypatch, k, floor, others):
+    """Small steps: rows leave before the end, and none of the best is lost."""
+    for name, value in (("STEP", 64), ("TILE", 16), ("HELD", 150)):
+        monkeypatch.setattr(retrieval, name, value)
+    _, s, u = _ties()
+    at = np.random.default_rng(1).permutation(300)
+    kept = retrieval._Kept(np.arange(0, 300, 3), u[::3], k, floor, others)
+    kept.most = min(kept.most, 150)
+    out, most = [], 0
+    for a in range(0, 300, 50):
+        for b in kept.add(at[a : a + 50], u[at[a : a + 50]]):
+            out.append(b)
+        most = max(most, kept.n)
+    out += list(kept.rest())
+    assert most <= 150 and len(out) > 1
+    rows = [r for b in out for r in zip(*(c.to_pylist() for c in b.columns))]
+    got = set()
+    for i in range(0, 300, 3):
+        mine = sorted(((-x, j) for q, j, x in rows if q == i))
+        assert len(mine) == len(set(mine))
+        got |= {(i, j, r + 1, -x) for r, (x, j) in enumerate(mine[:k])}
+    assert got == _plain(s, k, floor, others)
+
+
+def test_many_queries_meet_rows_in_a_grid(spark):
+    """Ties go to smaller keys, and the plan has no side that is collected or broadcast."""
+    m, s, _ = _ties()
+    v = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(m)], "vec_id long, embedding array<float>").repartition(3)
+    q = v.where("vec_id % 3 = 0").selectExpr("vec_id as query_id", "transform(embedding, x -> double(x)) as vector")
+    for most in (4096, 7):
+        for k, floor, others in CUTS:
+            found = retrieval.dense_search(q, v, k, floor, most_queries=most, block=40, others=others)
+            assert {tuple(r) for r in found.select("query_id", "vec_id", "rank", "score").collect()} == _plain(s, k, floor, others), (most, k, floor)
+    plan = retrieval.dense_search(q, v, 4, most_queries=7, block=40)._jdf.queryExecution().toString()
+    assert "Join" not in plan and "MapInArrow" in plan
+
+
+def test_own_rows_are_counted_in_one_pass(spark):
+    from lodestone.operators import evaluation
+
+    found = spark.createDataFrame([(1, 1, 1), (1, 5, 2), (2, 3, 1), (2, 2, 4), (3, 9, 1)], "query_id long, vec_id long, rank int")
+    got = evaluation.hits_within(found, 3)
+    assert got.first()[:] == (3, 1, 0.333333) and "Join" not in got._jdf.queryExecution().toString()
