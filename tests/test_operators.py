@@ -284,3 +284,22 @@ def test_own_rows_are_counted_in_one_pass(spark):
     found = spark.createDataFrame([(1, 1, 1), (1, 5, 2), (2, 3, 1), (2, 2, 4), (3, 9, 1)], "query_id long, vec_id long, rank int")
     got = evaluation.hits_within(found, 3)
     assert got.first()[:] == (3, 1, 0.333333) and "Join" not in got._jdf.queryExecution().toString()
+
+
+def test_probes_multiply_cells_with_their_queries(spark):
+    """The rows of the cells that a query probes, ranked as brute force does, without a joined row for each pair."""
+    g = np.random.default_rng(6)
+    m = np.repeat(g.normal(size=(100, 8)), 3, axis=0).astype(np.float32)
+    v = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(m)], "vec_id long, embedding array<float>")
+    q = v.where("vec_id % 10 = 0").selectExpr("vec_id as query_id", "embedding as vector")
+    c, rows = retrieval.partition_vectors(v, 6)
+    found = retrieval.probe_search(q, c, rows, 7, 2, block=4)
+    cell = {r.vec_id: r.cell for r in rows.select("vec_id", "cell").collect()}
+    u = m.astype(float) / np.linalg.norm(m.astype(float), axis=1, keepdims=True)
+    s, want = np.round(u @ u.T, 9), set()
+    for i in range(0, 300, 10):
+        near = set(np.argsort(-(m[i] @ c.T))[:2].tolist())
+        order = [j for j in np.lexsort((np.arange(300), -s[i])) if cell[int(j)] in near]
+        want |= {(i, int(j), r + 1) for r, j in enumerate(order[:7])}
+    assert {(r.query_id, r.vec_id, r["rank"]) for r in found.collect()} == want
+    assert "Join" not in found._jdf.queryExecution().toString()
