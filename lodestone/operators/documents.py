@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordering import numbered
 from ..functions.scalars import chunk_uuid, tokenize
+from ..sources.shared import ship
+
+#: Documents whose chunks are Python objects at a time.
+AT_ONCE = 64
 
 #: Texts that open a section (fixed values).
 HEADING_MARKERS = ("#",)
@@ -59,22 +66,45 @@ def coalesce_rows(rows: list[dict], least: int, most: int = 512, count=_words) -
 def coalesce_small_runs(chunks: DataFrame, least: int, most: int = 512) -> DataFrame:
     """chunks (doc_id, chunk, text, tokens, offset, boundary, refs, pages, confidence) after coalescing within each document, in order of chunk."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values("chunk").to_dict("records")
-        for r in rows:
-            r["refs"], r["pages"] = list(r["refs"] if r["refs"] is not None else []), list(r["pages"] if r["pages"] is not None else [])
-        out = pd.DataFrame(coalesce_rows(rows, least, most))
-        out["doc_id"], out["chunk"] = pdf["doc_id"].iloc[0], range(len(out))
-        return out[["doc_id", "chunk", "text", "tokens", "offset", "refs", "pages", "confidence"]]
-
-    return chunks.groupBy("doc_id").applyInPandas(run, "doc_id long, chunk int, text string, tokens int, offset int, refs array<string>, pages array<int>, confidence double")
+    kinds = {"text": pa.string(), "tokens": pa.int32(), "offset": pa.int32(), "refs": pa.list_(pa.string()), "pages": pa.list_(pa.int32()), "confidence": pa.float64()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, AT_ONCE):
+                part = batch.slice(at, AT_ONCE)
+                docs, numbers, out = [], [], []
+                for doc, rows in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    rows.sort(key=lambda r: r["chunk"])
+                    for r in rows:
+                        r["refs"], r["pages"] = r["refs"] or [], r["pages"] or []
+                    rows = coalesce_rows(rows, least, most)
+                    docs += [doc] * len(rows)
+                    numbers += range(len(rows))
+                    out += rows
+                columns = [pa.array(docs, pa.int64()), pa.array(numbers, pa.int32()), *(pa.array([r[c] for r in out], k) for c, k in kinds.items())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "chunk", *kinds])
+
+    ship(chunks.sparkSession)
+    rows = F.collect_list(F.struct("chunk", "text", "tokens", "offset", "boundary", "refs", "pages", "confidence")).alias("rows")
+    whole = chunks.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(rows)
+    return whole.mapInArrow(run, "doc_id long, chunk int, text string, tokens int, offset int, refs array<string>, pages array<int>, confidence double")
+
+
+def _sums_before(numbers: pa.Array) -> pa.Array:
+    """For each list of whole numbers the sum of those before each one; one pass over all of them."""
+    n, flat = numbers.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), numbers.flatten().to_numpy(zero_copy_only=False)
+    ends = np.cumsum(n)
+    before = np.append(0, np.cumsum(flat, dtype=np.int64))
+    out = before[:-1] - np.repeat(before[ends - n], n)
+    return pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(out.astype(np.int32)))
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
     """A chunk for each line that is not blank, with its words, offset and whether it opens a section."""
     lines = F.split("text", "\n", -1)
-    ends = F.aggregate(lines, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + F.length(x) + 1)))
-    rows = docs.select("doc_id", F.posexplode(F.arrays_zip(lines.alias("x"), F.slice(ends, F.lit(1), F.size(lines)).alias("o"))).alias("chunk", "l"))
+    ship(docs.sparkSession)
+    starts = F.arrow_udf(_sums_before, "array<int>")(F.transform(lines, lambda x: F.length(x) + 1))
+    rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.posexplode(F.arrays_zip(lines.alias("x"), starts.alias("o"))).alias("chunk", "l"))
     rows = rows.select("doc_id", "chunk", F.col("l.x").alias("text"), F.col("l.o").alias("offset")).where(F.trim("text") != "")
     return rows.withColumn("tokens", F.size(F.filter(F.split("text", "\\s+"), lambda w: w != ""))).withColumn("boundary", is_boundary(F.col("text")))
 

@@ -303,3 +303,28 @@ def test_probes_multiply_cells_with_their_queries(spark):
         want |= {(i, int(j), r + 1) for r, j in enumerate(order[:7])}
     assert {(r.query_id, r.vec_id, r["rank"]) for r in found.collect()} == want
     assert "Join" not in found._jdf.queryExecution().toString()
+
+
+def test_coalescing_by_document_and_offsets_in_one_pass(spark):
+    texts = ["# a\nb c\n\n  d\u00e9 e\n" + "x\n" * 30, None, "", "\n \n", "one", "\U0001f600\u00a0y\nz\nFigure caption: q\nw " + "v " * 60 + "\nend"] * 40
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    p = documents.paragraphs(docs)
+    want, chunks = {}, []
+    for i, text in enumerate(texts):
+        at = 0
+        for k, x in enumerate((text.split("\n") if text is not None else [])):
+            if x.strip(" ") != "":
+                want[i, k] = (x, at)
+            at += len(x) + 1
+    assert {(r.doc_id, r.chunk): (r.text, r.offset) for r in p.collect()} == want
+    assert "lambda" in p._jdf.queryExecution().toString() and "aggregate(" not in p._jdf.queryExecution().toString()  # no array that grows by copies
+    full = p.withColumn("refs", F.lit(None).cast("array<string>")).withColumn("pages", F.array("chunk")).withColumn("confidence", F.lit(1.0))
+    for r in full.collect():
+        chunks.append({**r.asDict(), "refs": []})
+    plain = set()
+    for i in range(len(texts)):
+        rows = documents.coalesce_rows(sorted((c for c in chunks if c["doc_id"] == i), key=lambda c: c["chunk"]), 5, 20)
+        plain |= {(i, k, r["text"], r["tokens"], r["offset"], tuple(r["pages"])) for k, r in enumerate(rows)}
+    got = documents.coalesce_small_runs(full, 5, 20)
+    assert {(r.doc_id, r.chunk, r.text, r.tokens, r.offset, tuple(r.pages)) for r in got.collect()} == plain
+    assert "MapInArrow" in got._jdf.queryExecution().toString()  # no data frame a document
