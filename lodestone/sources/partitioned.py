@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -27,7 +27,9 @@ from .shared import ship
 RANGE_BYTES = 64 << 20
 RANGE_ROWS = 1 << 20
 PART_BYTES = 64 << 20
-BATCH = 4096
+#: Rows and characters of a batch that is read, and rows that are Python objects at a time when written.
+BATCH, BATCH_CHARS = 4096, 4 << 20
+AT_ONCE = 64
 
 
 def _open(path: str) -> tuple[fs.FileSystem, str]:
@@ -67,12 +69,13 @@ def lines_of_range(file, start: int, end: int) -> Iterator[bytes]:
 
 
 def _batches(rows: Iterator[list], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    held: list = []
+    held, chars = [], 0
     for row in rows:
         held.append(row)
-        if len(held) == BATCH:
+        chars += sum(len(x) for x in row if isinstance(x, (str, bytes)))
+        if len(held) == BATCH or chars >= BATCH_CHARS:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
-            held = []
+            held, chars = [], 0
     if held:
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
@@ -163,12 +166,23 @@ class Parts(WriterCommitMessage):
 
 
 def _plain(x):
+    if isinstance(x, datetime.datetime) and x.tzinfo:
+        x = x.astimezone().replace(tzinfo=None)  # the worker's own clock
     if isinstance(x, (datetime.date, datetime.datetime)):
         return x.isoformat()
     return x.hex() if isinstance(x, (bytes, bytearray)) else str(x)
 
 
-class _RotatingWriter(DataSourceWriter):
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
+    """A JSON line a row; few rows of a batch are Python objects at a time."""
+    for batch in batches:
+        names = batch.schema.names
+        for at in range(0, batch.num_rows, AT_ONCE):
+            for row in zip(*(c.to_pylist(maps_as_pydicts="strict") for c in batch.slice(at, AT_ONCE).columns)):
+                yield (json.dumps(dict(zip(names, row)), ensure_ascii=False, separators=(",", ":"), default=_plain) + "\n").encode()
+
+
+class _RotatingWriter(DataSourceArrowWriter):
     def __init__(self, path: str, size: int):
         self.path, self.size, self.write_id = path, size, uuid.uuid4().hex
 
@@ -183,8 +197,7 @@ class _RotatingWriter(DataSourceWriter):
         folder, staged, out, held, rows = self._stage(), [], None, 0, 0
         system.create_dir(folder)
         try:
-            for row in iterator:
-                line = (json.dumps(row.asDict(True), ensure_ascii=False, separators=(",", ":"), default=_plain) + "\n").encode()
+            for line in _lines(iterator):
                 if out is not None and held + len(line) > self.size:
                     out.close()
                     out = None
@@ -221,7 +234,7 @@ class RotatingLines(DataSource):
     def name(cls) -> str:
         return "rotating_lines"
 
-    def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
+    def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
         if overwrite:
             raise ValueError("rotating_lines appends: use mode('append')")
         return _RotatingWriter(self.options["path"], int(self.options.get("bytes", PART_BYTES)))

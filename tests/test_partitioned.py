@@ -65,3 +65,30 @@ def test_a_failed_write_leaves_nothing(spark, tmp_path):
     with pytest.raises(Exception, match="no"):
         partitioned.write_lines(bad, path)
     assert sorted(os.listdir(path)) == before
+
+
+def test_few_rows_are_python_objects_at_a_time():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rows = pa.RecordBatch.from_pylist([{"id": k, "text": "\u00e9x" * 2500} for k in range(4000)])
+    tracemalloc.start()
+    n = sum(len(x) for x in partitioned._lines(iter([rows])))
+    assert n > 4000 * 7500 and tracemalloc.get_traced_memory()[1] < 4 << 20
+    tracemalloc.reset_peak()
+    lines = ([k, "y" * 50_000] for k in range(2000))
+    sizes = [b.num_rows for b in partitioned._batches(lines, pa.schema([("id", pa.int64()), ("text", pa.string())]))]
+    assert sum(sizes) == 2000 and max(sizes) < 100 and tracemalloc.get_traced_memory()[1] < 32 << 20
+    tracemalloc.stop()
+
+
+def test_written_values_of_all_kinds(spark, tmp_path):
+    path = str(tmp_path / "kinds")
+    df = spark.sql("SELECT 1L AS id, timestamp'2024-01-02 03:04:05.5' AS t, timestamp_ntz'2024-01-02 03:04:05' AS n, map('a', 1) AS m, named_struct('x', array(1, null)) AS s, 1.50BD AS d, X'0aff' AS b, CAST(NULL AS string) AS z")
+    partitioned.write_lines(df, path)
+    (line,) = [x for f in os.listdir(path) for x in open(f"{path}/{f}")]
+    import datetime
+
+    local = datetime.datetime(2024, 1, 2, 3, 4, 5, 500000, datetime.timezone.utc).astimezone().replace(tzinfo=None).isoformat()
+    assert json.loads(line) == {"id": 1, "t": local, "n": "2024-01-02T03:04:05", "m": {"a": 1}, "s": {"x": [1, None]}, "d": "1.50", "b": "0aff", "z": None}
