@@ -328,3 +328,23 @@ def test_coalescing_by_document_and_offsets_in_one_pass(spark):
     got = documents.coalesce_small_runs(full, 5, 20)
     assert {(r.doc_id, r.chunk, r.text, r.tokens, r.offset, tuple(r.pages)) for r in got.collect()} == plain
     assert "MapInArrow" in got._jdf.queryExecution().toString()  # no data frame a document
+
+
+def test_overfetching_searches_once_a_round(spark):
+    v = spark.createDataFrame([(i, [1.0, float(i)], i % 10) for i in range(100)], "vec_id long, embedding array<float>, label int")
+    q = v.where("vec_id % 50 = 0").selectExpr("vec_id as query_id", "embedding as vector")
+    seen = spark.sparkContext.accumulator(0)
+    rounds = []
+
+    def counted(batches):
+        seen.add(1)
+        yield from batches
+
+    def search(asked, k):
+        rounds.append(k)
+        hits = retrieval.dense_search(asked, v, k).coalesce(1)
+        return hits.mapInArrow(counted, hits.schema)
+
+    found, k = retrieval.overfetched(search, q, v.where("label = 3"), 8, top_k=5)
+    assert {(r.query_id, r.vec_id) for r in found.where("rank <= 8").collect()} <= {(a, b) for a in (0, 50) for b in range(3, 100, 10)}
+    assert found.count() == 16 and k == rounds[-1] and len(rounds) > 1 and seen.value == len(rounds)
