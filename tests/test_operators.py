@@ -348,3 +348,31 @@ def test_overfetching_searches_once_a_round(spark):
     found, k = retrieval.overfetched(search, q, v.where("label = 3"), 8, top_k=5)
     assert {(r.query_id, r.vec_id) for r in found.where("rank <= 8").collect()} <= {(a, b) for a in (0, 50) for b in range(3, 100, 10)}
     assert found.count() == 16 and k == rounds[-1] and len(rounds) > 1 and seen.value == len(rounds)
+
+
+def test_kept_pairs_that_leave_at_the_end_are_whole(monkeypatch):
+    """The last cut keeps over half of what may be held, so its rows leave in the cut itself."""
+    monkeypatch.setattr(retrieval, "HELD", 100)
+    _, _, u = _ties()
+    kept = retrieval._Kept(np.arange(8), u[:8], 10, None, False)
+    out = [*kept.add(np.arange(10), u[:10]), *kept.rest()]
+    assert {(r["query_id"], r["key"]) for b in out for r in b.to_pylist()} == {(i, j) for i in range(8) for j in range(10)} and not kept.held
+
+
+def test_overfetching_fills_pages_beyond_the_largest_planned_k(spark, monkeypatch):
+    monkeypatch.setattr(retrieval, "MOST_K", 20)
+    # rows that pass are the farthest of query 0 and the nearest of query 150, and query 999 is no vector
+    v = spark.createDataFrame([(i, [1.0, i / 100], 3 if i >= 140 else 1) for i in range(160)], "vec_id long, embedding array<float>, label int")
+    q = spark.createDataFrame([(0, [1.0, 0.0]), (150, [1.0, 1.5]), (999, None)], "query_id long, vector array<float>")
+    rounds = []
+
+    def search(asked, k):
+        rounds.append((k, {r.query_id for r in asked.collect()}))
+        return retrieval.dense_search(asked, v, k)
+
+    found = retrieval.overfetched(search, q, v.where("label = 3"), 12, top_k=5)[0].collect()
+    assert sorted((r.query_id, r.rank) for r in found) == [(i, n) for i in (0, 150) for n in range(1, 13)]
+    assert [r.vec_id for r in sorted(found, key=lambda r: r.rank) if r.query_id == 0] == list(range(140, 152))
+    assert rounds[0][1] == {0, 150, 999} and all(asked == {0} for _, asked in rounds[1:]) and rounds[-1][0] > 140
+    none = retrieval.overfetched(lambda q, k: retrieval.dense_search(q, v, k), q, v.where("label = 7"), 12, top_k=5)[0]
+    assert none.count() == 0
