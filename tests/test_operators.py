@@ -3,6 +3,7 @@ import os
 import unicodedata
 import uuid
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -213,6 +214,20 @@ def test_micro_batches_go_by_the_rows_own_clock(spark):
     assert got == {(1, slot, 0), (2, slot, 0), (None, slot, 1), (3, None, 0), (4, 0, 0)}
 
 
+def test_micro_batches_round_to_milliseconds_as_the_sql(spark, tmp_path):
+    """Slots change half a millisecond early; rows of both kinds of time, beside the registered SQL."""
+    last = ["2024-01-01 00:09:59.9994", "2024-01-01 00:09:59.999499", "2024-01-01 00:09:59.9995", "2024-01-01 00:09:59.999999", "2024-01-01 00:10:00", "2024-02-29 23:59:59.999501", "1969-12-31 23:49:59.9996", "1969-12-31 23:49:59.9995", "1969-12-31 23:50:00.0005", "1969-12-31 23:50:00.000501", "1969-12-31 23:40:00.0005", "1969-12-31 23:40:00.0004", "1899-12-31 23:40:00.000499", None]
+    rows = [(i, t) for i, t in enumerate(last * 3)]
+    for kind in ("timestamp_ntz", "timestamp"):
+        path = f"{tmp_path}/{kind}"
+        spark.createDataFrame(rows, "event_id long, t string").selectExpr("event_id", f"cast(t as {kind}) as ts").write.parquet(f"{path}/events.parquet")
+        got = {tuple(r) for r in catalogue.QUERIES["micro_batches"](spark, path).collect()}
+        with duckdb.connect() as c:
+            c.sql(f"create view events as select * from '{path}/events.parquet/*.parquet'")
+            want = set(c.sql(catalogue.ORACLE["micro_batches"]).fetchall())
+        assert got == want and len(got) == len(rows)
+
+
 def test_postings_are_dealt_by_bytes_of_text(spark, monkeypatch):
     monkeypatch.setattr(retrieval, "TASK_BYTES", 1000)
     docs = spark.createDataFrame([(i, "a b c a " * 25) for i in range(40)] + [(40, None)], "doc_id long, text string")
